@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference has no streams (no watermarks, windows over event time, state
+or late data); every operator here is a batch DataFrame plan.  The package
+exists so a later round can add stream sources without moving modules.
+"""
