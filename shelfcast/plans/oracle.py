@@ -103,3 +103,89 @@ def round_ratio(total: str, count: str, in_scale: int, out_scale: int) -> str:
     d = f"(cast({count} as hugeint) * {10 ** in_scale})"
     k = f"(2 * abs({s}) * {10 ** out_scale} + {d}) // (2 * {d})"
     return f"(case when ({count}) > 0 then cast(sign({s}) * {k} as double) / {10 ** out_scale} end)"
+
+
+def _shift_key(months: int) -> str:
+    d = f"(date_trunc('month', c.date) - interval {months} month)"
+    return f"cast(year({d}) * 100 + month({d}) as int)"
+
+
+def baseline_sql(year_from: int, year_to: int) -> str:
+    """Distinct products.nodeid x calendar days in the year range (source baseline)."""
+    d1 = "(date_trunc('month', c.date) - interval 1 month)"
+    return f"""
+select distinct cast(p.nodeid as bigint) as nodeid, c.year, c.month, c.monthabbr,
+  cast(c.year * 100 + c.month as int) as yyyymm, c.season, c.holidayseason,
+  cast(month({d1}) as int) as pm, cast(year({d1}) as int) as pmy,
+  {_shift_key(3)} as p3myyyymm, {_shift_key(12)} as p12myyyymm
+from (select distinct nodeid from products) p cross join calendar c
+where c.year >= {year_from} and c.year <= {year_to}"""
+
+
+def _sales_window(measure: str, lo: str) -> str:
+    return (f"(select sum(s.{measure}) from salesaggregate s "
+            f"where s.year * 100 + s.month >= b.{lo} and s.year * 100 + s.month < b.yyyymm "
+            f"and s.nodeid = b.nodeid)")
+
+
+def _review_window(select: str, lo: str) -> str:
+    return (f"(select {select} from reviews r join products p on p.asin = r.asin "
+            f"join calendar c on c.date = r.reviewtime "
+            f"where b.nodeid = coalesce(cast(p.nodeid as bigint), 0) "
+            f"and c.year * 100 + c.month >= b.{lo} and c.year * 100 + c.month < b.yyyymm)")
+
+
+def features_ctes(year_from: int, year_to: int) -> dict[str, str]:
+    """CTEs ``salesaggregate``, ``baseline``, ``rev``, ``ml_features``, ``mlview`` (source view shapes)."""
+    rating = round_mean("r.overall", 0, 2)
+    sent = round_mean("r.sentiment", 2, 2)
+    ml = f"""
+select b.nodeid, b.year as yr, b.month as mn,
+  cast(coalesce(curr.total_sales_price, 0) as double) as sales,
+  cast(coalesce(curr.total_sales_volume, 0) as bigint) as vol,
+  cast(coalesce(prev.total_sales_price, 0) as double) as pm_sales,
+  cast(coalesce(prev.total_sales_volume, 0) as bigint) as pm_vol,
+  cast(coalesce({_sales_window('total_sales_price', 'p3myyyymm')}, 0) as double) as p3m_sales,
+  cast(coalesce({_sales_window('total_sales_volume', 'p3myyyymm')}, 0) as bigint) as p3m_vol,
+  cast(coalesce({_sales_window('total_sales_price', 'p12myyyymm')}, 0) as double) as p12m_sales,
+  cast(coalesce({_sales_window('total_sales_volume', 'p12myyyymm')}, 0) as bigint) as p12m_vol,
+  cast(coalesce(rev.numreviews, 0) as bigint) as pm_numreviews,
+  coalesce(rev.avgrating, 0) as pm_avgrating,
+  cast(coalesce({_review_window('count(r.reviewid)', 'p3myyyymm')}, 0) as bigint) as p3m_numreviews,
+  coalesce({_review_window(rating, 'p3myyyymm')}, 0) as p3m_avgrating,
+  cast(coalesce({_review_window('count(r.reviewid)', 'p12myyyymm')}, 0) as bigint) as p12m_numreviews,
+  coalesce({_review_window(rating, 'p12myyyymm')}, 0) as p12m_avgrating
+from baseline b
+  left join salesaggregate curr on b.nodeid = curr.nodeid and b.month = curr.month and b.year = curr.year
+  left join salesaggregate prev on b.nodeid = prev.nodeid and b.pm = prev.month and b.pmy = prev.year
+  left join rev on b.nodeid = rev.nodeid and b.pm = rev.month and b.pmy = rev.year"""
+    mlview = f"""
+select b.nodeid, b.year as yr, b.month as mn,
+  coalesce(rev.avgsntp, 0) as pm_avgsntp,
+  coalesce({_review_window(sent, 'p3myyyymm')}, 0) as p3m_avgsntp,
+  coalesce({_review_window(sent, 'p12myyyymm')}, 0) as p12m_avgsntp
+from baseline b
+  left join rev on b.nodeid = rev.nodeid and b.pm = rev.month and b.pmy = rev.year"""
+    return {
+        "salesaggregate": """
+select nodeid, month, year, season, sum(numunits) as total_sales_volume, sum(totalprice) as total_sales_price
+from sales group by nodeid, month, year, season""",
+        "baseline": baseline_sql(year_from, year_to),
+        "rev": f"""
+select coalesce(cast(p.nodeid as bigint), 0) as nodeid, c.month, c.year, count(r.reviewid) as numreviews,
+  {rating} as avgrating, {sent} as avgsntp
+from reviews r left join products p on p.asin = r.asin join calendar c on c.date = r.reviewtime
+group by coalesce(cast(p.nodeid as bigint), 0), c.month, c.year""",
+        "ml_features": ml,
+        "mlview": mlview,
+    }
+
+
+FEATURE_COLS = ("nodeid, yr, mn, sales, vol, pm_sales, pm_vol, p3m_sales, p3m_vol, p12m_sales, p12m_vol, "
+                "pm_numreviews, pm_avgrating, p3m_numreviews, p3m_avgrating, p12m_numreviews, p12m_avgrating")
+
+
+def mlfeatures_cte() -> str:
+    """S1 natural-join S2 on (nodeid, yr, mn): the 20-attribute relation."""
+    return ("select f.*, v.pm_avgsntp, v.p3m_avgsntp, v.p12m_avgsntp from ml_features f "
+            "join mlview v on f.nodeid = v.nodeid and f.yr = v.yr and f.mn = v.mn")
