@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SKIP = ("_", None)
@@ -88,3 +88,20 @@ def top_n_op(df: DataFrame, n: int, order: Sequence = ()) -> DataFrame:
     named = {item if isinstance(item, str) else item[0] for item in order}
     keys = sort_keys(order) + [F.col(c).asc_nulls_last() for c in df.columns if c not in named]
     return df.orderBy(*keys).limit(n)
+
+
+def dense_rank_top(df: DataFrame, col: str, k: int, descending: bool = True,
+                   rank_name: str = "rank") -> DataFrame:
+    """Rows whose ``col`` value is among the ``k`` best distinct values, with their dense rank.
+
+    Distributed form of ``dense_rank() over (order by col) <= k``: the
+    distinct values go through a top-k (each task keeps k), the k winners
+    are ranked (k rows) and broadcast back (size bounded by ``k``).  No
+    window ever holds the whole table.  Descending puts NULLs first,
+    ascending last (PostgreSQL order).
+    """
+    order = F.col("_v").desc_nulls_first() if descending else F.col("_v").asc_nulls_last()
+    best = df.select(F.col(col).alias("_v")).distinct().orderBy(order).limit(k)
+    ranked = best.select("_v", F.dense_rank().over(Window.orderBy(order)).alias(rank_name))
+    return (df.join(F.broadcast(ranked), F.col(col).eqNullSafe(F.col("_v")))
+              .drop("_v"))

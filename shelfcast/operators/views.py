@@ -150,6 +150,14 @@ def days_in_month(cal: DataFrame) -> DataFrame:
     return cal.groupBy("month", "year").agg(F.max("dom").alias("tot_days_in_month"))
 
 
+def monthly_sales_with_days(src: SourceSet) -> DataFrame:
+    """All-node monthly units and sales joined to the days per month."""
+    m = (node_month_sales(src).groupBy("year", "month")
+         .agg(F.sum("units").alias("vol"), F.sum("price").alias("sales")))
+    return m.join(days_in_month(src.calendar), ["month", "year"]).select(
+        "year", "month", "tot_days_in_month", "vol", "sales")
+
+
 def is_sales_by_month(src: SourceSet, with_season: bool = False) -> DataFrame:
     """D7 (v2) / D8 (v3, with season and the join to days per month).
 

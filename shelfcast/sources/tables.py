@@ -54,6 +54,7 @@ class SourceSet:
     calendar_table: DataFrame | None = None
     classification: DataFrame | None = None   # nested documents
     review_text: DataFrame | None = None      # reviewid, text
+    root: str | None = None                   # folder of the tables read
     _cal: DataFrame | None = field(default=None, repr=False)
 
     @property
@@ -64,6 +65,10 @@ class SourceSet:
             self._cal = base if "season" in base.columns else enrich_calendar(base)
         return self._cal
 
+    def table(self, name: str) -> DataFrame:
+        """Another parquet table of the same folder (e.g. a raw test table)."""
+        return _read(self.spark, self.root, name)
+
     # ------------------------------------------------------------------ loaders
     @classmethod
     def load(cls, spark: SparkSession, sf_dir: str) -> "SourceSet":
@@ -129,7 +134,7 @@ class SourceSet:
         return cls(spark=spark, orders=orders, orderlines=orderlines, products=products,
                    customers=customers, campaigns=campaigns, reviews=reviews,
                    span=TEST_CALENDAR, classification=classification_from_part(part),
-                   review_text=review_text)
+                   review_text=review_text, root=sf_dir)
 
     @classmethod
     def from_tables(cls, spark: SparkSession, table_dir: str, span: CalendarSpan | None = None,
@@ -146,7 +151,7 @@ class SourceSet:
                    customers=r("customers"), campaigns=r("campaigns"), reviews=r("reviews"),
                    span=span, calendar_table=cal,
                    classification=read_classification(spark, classification_json) if classification_json else None,
-                   review_text=text)
+                   review_text=text, root=table_dir)
 
 
 def classification_from_part(part: DataFrame) -> DataFrame:
