@@ -20,33 +20,39 @@ TOKEN_SPLIT = r"[^\p{L}]+"    # a token is a maximal run of letters, after lower
 
 
 # --------------------------------------------------------------------------- L1 TF-IDF
-def tokens(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, term) for every letter run of the whole text, lower-cased."""
-    t = docs.select(F.col(id_col).alias("id"),
-                    F.explode(F.split(F.lower(F.col(text_col)), TOKEN_SPLIT)).alias("term"))
-    return t.where(F.col("term") != "")
+def term_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, term, cnt, len): occurrences of each term per document and the
+    document's token count, from one tokenisation of the whole text."""
+    arr = F.filter(F.split(F.lower(F.col(text_col)), TOKEN_SPLIT), lambda t: t != "")
+    tok = docs.select(F.col(id_col).alias("id"), arr.alias("terms"))
+    ex = tok.select("id", F.size("terms").alias("len"), F.explode("terms").alias("term"))
+    return ex.groupBy("id", "term", "len").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def tfidf(docs: DataFrame, id_col: str, text_col: str, top_n: int = 50, digits: int = 6):
     """L1: (vocabulary, weights) for the ``top_n`` terms of highest document frequency.
 
     tf = count of term in doc / tokens in doc; idf = ln(N / df) with N the
-    number of documents; weight = tf * idf rounded to ``digits``.  The
-    vocabulary (termid 0.., ties by word) is a distributed top-k of
-    ``top_n`` rows, broadcast for the lookup (its size is the parameter).
-    Weights are pivoted to term0..term{n-1}; a document without any
-    vocabulary term gets zeros.
+    number of documents; weight = tf * idf rounded to ``digits``.
+
+    Plan: the text is tokenised once; the (doc, term, count, length) table
+    feeds both the document frequencies and the weights, so it is
+    checkpointed (reliable, in the cluster's checkpoint folder) instead of
+    being tokenised again for each consumer.  The vocabulary (termid 0..,
+    ties by word) is a distributed top-k of ``top_n`` rows, broadcast for the
+    lookup (its size is the parameter).  Weights are pivoted to
+    term0..term{n-1} with the pivot values given, so no extra job looks for
+    them.
     """
-    tok = tokens(docs, id_col, text_col)
-    tf = tok.groupBy("id", "term").agg(F.count(F.lit(1)).alias("cnt"))
+    from ..session import shared_dir
+    shared_dir(docs.sparkSession)          # make sure a checkpoint folder is set (tests)
+    tf = term_counts(docs, id_col, text_col).checkpoint(eager=True)
     n_docs = docs.select(F.count_distinct(F.col(id_col))).scalar()
     dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     top = dfreq.orderBy(F.col("df").desc(), F.col("term").asc()).limit(top_n)
     vocab = top.select((F.row_number().over(Window.orderBy(F.col("df").desc(), F.col("term").asc())) - 1)
                        .alias("termid"), F.col("term").alias("word"), "df")
-    doc_len = tf.groupBy("id").agg(F.sum("cnt").alias("len"))
     w = (tf.join(F.broadcast(vocab.select("termid", F.col("word").alias("term"), "df")), "term")
-           .join(doc_len, "id")
            .select("id", "termid",
                    F.round(F.col("cnt") / F.col("len") * F.log(n_docs / F.col("df")), digits).alias("w")))
     wide = w.groupBy("id").pivot("termid", list(range(top_n))).agg(F.first("w"))

@@ -14,6 +14,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.conditions import condition_attr, conjunction
 from ..operators.relational import SKIP, bind, group_by_op, natural_join, order_by_op, top_n_op
@@ -32,11 +33,13 @@ class Relation:
     name: str
     attrs: tuple[str, ...]
     sources: tuple[Source, ...]
+    fused: str | None = None    # table holding every attribute, computed in one pass (optional)
 
 
-def _rel(name, attrs, *sources):
+def _rel(name, attrs, *sources, fused=None):
     attrs = tuple(attrs.split())
-    return Relation(name, attrs, tuple(Source(s, t, tuple(a.split()) if a else attrs, k) for s, t, a, k in sources))
+    return Relation(name, attrs, tuple(Source(s, t, tuple(a.split()) if a else attrs, k) for s, t, a, k in sources),
+                    fused)
 
 
 # The six mediated relations, their attribute order and source
@@ -56,7 +59,8 @@ RELATIONS: dict[str, Relation] = {r.name: r for r in (
          ("S1", "reviews_agg_yrmn", None, None)),
     _rel("mlfeatures", _FEATURES + " pm_avgsntp p3m_avgsntp p12m_avgsntp",
          ("S1", "mv_ml_features", _FEATURES, "nodeid"),
-         ("S2", "mlview", "nodeid yr mn pm_avgsntp p3m_avgsntp p12m_avgsntp", "nodeid")),
+         ("S2", "mlview", "nodeid yr mn pm_avgsntp p3m_avgsntp p12m_avgsntp", "nodeid"),
+         fused="mlfeatures"),
 )}
 
 
@@ -95,8 +99,20 @@ class Mediator:
         if len(cols) != len(rel.attrs):
             raise ValueError(f"wrong number of atoms in {name}: {len(cols)} given, {len(rel.attrs)} expected")
         binding = {a: v for a, v in zip(rel.attrs, cols) if v not in SKIP}
+        kept = used_sources(rel, binding)
+        if len(kept) > 1 and rel.fused in self.tables:
+            # The sources share their key space one to one, so their natural
+            # join equals the fused table without rows whose join variables
+            # are NULL (NULL never joins).
+            shared = set.intersection(*[{binding[a] for a in s.attrs if a in binding} for s in kept])
+            if not shared:
+                raise ValueError("atoms share no variable; a cross product is not evaluated")
+            df = bind(self.tables[rel.fused](), list(cols), list(rel.attrs))
+            for v in sorted(shared):
+                df = df.where(F.col(v).isNotNull())
+            return df
         frames = []
-        for s in used_sources(rel, binding):
+        for s in kept:
             df = self.tables[f"{s.source}.{s.table}"]()
             frames.append(bind(df, [binding.get(a) for a in s.attrs], list(s.attrs)))
         return natural_join(frames)
@@ -167,4 +183,5 @@ def default_tables(src, year_from: int, year_to: int) -> dict[str, Callable[[],
         "S1.reviews_agg_yrmn": lambda: views.reviews_agg_yrmn(src),
         "S1.mv_ml_features": lambda: features.ml_features(src, year_from, year_to),
         "S2.mlview": lambda: features.mlview(src, year_from, year_to),
+        "mlfeatures": lambda: features.ml_features_all(src, year_from, year_to),
     }
