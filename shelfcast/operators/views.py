@@ -58,8 +58,11 @@ def _star(src: SourceSet, with_calendar: bool, cast_node: bool) -> DataFrame:
     cp = src.campaigns.select("campaignid", F.col("channel").alias("campaignchannel"),
                               F.col("discount").alias("campaigndiscount"),
                               F.col("freeshppingflag").alias("campaignfreeshippingflag"))
-    return (o.join(ol, "orderid").join(p, "productid")
-             .join(c, "customerid", "left").join(cp, "campaignid", "left"))
+    # Order-level dimensions are attached to orders before the line join: their
+    # predicates read only order columns, so the result is the same as joining
+    # them last, but the customer shuffle moves orders, not order lines.
+    enriched = o.join(c, "customerid", "left").join(cp, "campaignid", "left")
+    return enriched.join(ol, "orderid").join(p, "productid")
 
 
 def sales(src: SourceSet) -> DataFrame:
