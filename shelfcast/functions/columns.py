@@ -63,17 +63,29 @@ def month_shift(date_col, months: int) -> Column:
     return F.add_months(F.trunc(_col(date_col), "month"), months)
 
 
-def rounded_mean(total, count, scale: int) -> Column:
-    """round(total / count, scale), half away from zero, exact; NULL if count is 0.
+def rounded_mean(total, count, scale: int, total_scale: int = 0) -> Column:
+    """round(total / 10^total_scale / count, scale), half away from zero, exact; NULL if count is 0.
 
     ``total`` is an exact (decimal or integral) sum, so partial sums can be
-    combined across pre-aggregation steps before the single division.
+    combined across pre-aggregation steps before the single division;
+    ``total_scale=2`` reads an integer number of cents.
     """
     n = _col(count)
-    q = _col(total).cast(_MEAN_NUM) / n.cast("decimal(20,0)")
+    denom = n if total_scale == 0 else n * (10 ** total_scale)
+    q = _col(total).cast(_MEAN_NUM) / denom.cast("decimal(20,0)")
     return F.when(n > 0, F.round(q, scale)).cast("double")
 
 
+def cents(amount) -> Column:
+    """Money amount -> exact integer cents (bigint), so sums stay on the long fast path."""
+    return (_col(amount) * 100).cast("bigint")
+
+
+def money_from_cents(c) -> Column:
+    """Integer cents -> exact decimal(38,2) amount."""
+    return (_col(c).cast("decimal(38,0)") / 100).cast("decimal(38,2)")
+
+
 def decimals_to_double(df: DataFrame) -> DataFrame:
     """Present decimal columns as doubles (exact sums convert correctly rounded)."""
     from pyspark.sql.types import DecimalType

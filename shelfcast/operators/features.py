@@ -25,7 +25,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import holiday_season, month_index, node_id, rounded_mean, season, yyyymm
+from ..functions.columns import (holiday_season, money_from_cents, month_index, node_id, rounded_mean,
+                                 season, yyyymm)
 from ..sources.tables import SourceSet
 from .views import asin_month_reviews, node_month_sales
 
@@ -77,7 +78,7 @@ def _measure_rows(src: SourceSet, year_from: int, year_to: int) -> DataFrame:
     """Union of grid rows and monthly measure rows, keyed by (nodeid, midx)."""
     lo, hi = _month_bounds(src, year_from, year_to)
     in_frame = F.col("midx").between(lo - 12, hi)
-    measures = ["units", "price", "a_n", "a_sum", "a_cnt", "a_ssum", "a_scnt",
+    measures = ["units", "price_c", "a_n", "a_sum", "a_cnt", "a_ssum", "a_scnt",
                 "m_n", "m_sum", "m_cnt", "m_ssum", "m_scnt"]
 
     def shaped(df, present):
@@ -87,7 +88,7 @@ def _measure_rows(src: SourceSet, year_from: int, year_to: int) -> DataFrame:
     grid = shaped(_grid_index(src, year_from, year_to), "grid")
 
     s = node_month_sales(src).where(F.col("nodeid").isNotNull())
-    s = s.select("nodeid", month_index("year", "month").alias("midx"), "units", "price").where(in_frame)
+    s = s.select("nodeid", month_index("year", "month").alias("midx"), "units", "price_c").where(in_frame)
 
     p = src.products.select("asin", node_id("nodeid").alias("pnode"), F.lit(True).alias("hit"))
     r = asin_month_reviews(src).withColumn("midx", month_index("year", "month")).where(in_frame)
@@ -118,7 +119,7 @@ def _windowed(src: SourceSet, year_from: int, year_to: int, which: tuple[str, ..
     cols = {}
     if "sales" in which:
         for pre in ("", "pm_", "p3m_", "p12m_"):
-            cols[f"{pre}sales"] = F.coalesce(total("price", pre), zero.cast("decimal(38,2)"))
+            cols[f"{pre}sales"] = money_from_cents(F.coalesce(total("price_c", pre), zero.cast("bigint")))
             cols[f"{pre}vol"] = F.coalesce(total("units", pre), zero.cast("bigint"))
         for pre, tag in (("pm_", "a"), ("p3m_", "m"), ("p12m_", "m")):
             cols[f"{pre}numreviews"] = F.coalesce(total(f"{tag}_n", pre), zero.cast("bigint"))

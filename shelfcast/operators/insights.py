@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import month_index, node_id, rounded_mean, season
+from ..functions.columns import money_from_cents, month_index, node_id, rounded_mean, season
 from ..sources.tables import SourceSet
 from . import hierarchy
 from .relational import dense_rank_top
@@ -25,8 +25,10 @@ def term_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     document's token count, from one tokenisation of the whole text."""
     arr = F.filter(F.split(F.lower(F.col(text_col)), TOKEN_SPLIT), lambda t: t != "")
     tok = docs.select(F.col(id_col).alias("id"), arr.alias("terms"))
-    ex = tok.select("id", F.size("terms").alias("len"), F.explode("terms").alias("term"))
-    return ex.groupBy("id", "term", "len").agg(F.count(F.lit(1)).alias("cnt"))
+    # explode_outer: a plain explode makes the optimizer add a size(terms) > 0
+    # filter below the projection, which would tokenise every text twice.
+    ex = tok.select("id", F.size("terms").alias("len"), F.explode_outer("terms").alias("term"))
+    return ex.where(F.col("term").isNotNull()).groupBy("id", "term", "len").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def tfidf(docs: DataFrame, id_col: str, text_col: str, top_n: int = 50, digits: int = 6):
@@ -61,8 +63,15 @@ def tfidf(docs: DataFrame, id_col: str, text_col: str, top_n: int = 50, digits:
 
 
 def _review_corpus(src: SourceSet) -> DataFrame:
-    """(reviewid, asin, text): review texts with their review row."""
-    return src.reviews.select("reviewid", "asin").join(src.review_text.select("reviewid", "text"), "reviewid")
+    """(reviewid, asin, text): review texts with their review row.
+
+    The text side is hash-partitioned on the join key up front.  When the
+    join is a sort-merge join (large review tables) that is the exchange the
+    join needs anyway; when the review ids are broadcast it still spreads the
+    tokenisation over all tasks instead of the few splits of the text files.
+    """
+    text = src.review_text.select("reviewid", "text").repartition("reviewid")
+    return src.reviews.select("reviewid", "asin").join(text, "reviewid")
 
 
 def tfidf_vocabulary(src: SourceSet, top_n: int = 50) -> DataFrame:
@@ -128,7 +137,8 @@ def _node_names(src: SourceSet) -> DataFrame:
 def top_categories(src: SourceSet, month: int = 12, k: int = 3) -> DataFrame:
     """Classifications ranked by sales in ``month`` (all years), dense rank <= k."""
     s = node_month_sales(src).where(F.col("month") == month)
-    g = s.join(_node_names(src), "nodeid").groupBy("classification").agg(F.sum("price").alias("sales"))
+    g = s.join(_node_names(src), "nodeid").groupBy("classification").agg(
+        money_from_cents(F.sum("price_c")).alias("sales"))
     return dense_rank_top(g, "sales", k, rank_name="rank_sales")
 
 
@@ -136,7 +146,7 @@ def category_peak(src: SourceSet, name: str) -> DataFrame:
     """Season and month with the highest sales of the nodes carrying category ``name``."""
     nodes = hierarchy.find_category(src.classification, name)
     s = node_month_sales(src).join(nodes, "nodeid", "left_semi")
-    g = s.groupBy("month").agg(F.sum("price").alias("sales"), F.sum("units").alias("vol"))
+    g = s.groupBy("month").agg(money_from_cents(F.sum("price_c")).alias("sales"), F.sum("units").alias("vol"))
     return dense_rank_top(g, "sales", 1).select(season("month").alias("season"), "month", "sales", "vol")
 
 
@@ -150,7 +160,7 @@ def demand_by_price_band(src: SourceSet, name: str, low, high, above=None) -> Da
     p = (src.products.where(band).select("productid", node_id("nodeid").alias("nodeid"))
          .join(nodes, "nodeid", "left_semi"))
     f = product_month_facts(src).join(p, "productid")
-    return f.groupBy("nodeid").agg(F.sum("units").alias("vol"), F.sum("price").alias("sales"),
+    return f.groupBy("nodeid").agg(F.sum("units").alias("vol"), money_from_cents(F.sum("price_c")).alias("sales"),
                                    F.count_distinct("productid").alias("n_products"))
 
 
@@ -174,7 +184,7 @@ def high_demand_products(src: SourceSet, as_of_year: int, as_of_month: int, k: i
     now = as_of_year * 12 + as_of_month - 1
     f = product_month_facts(src)
     f = f.where(month_index("year", "month").between(now - 12, now - 1))
-    g = f.groupBy("productid").agg(F.sum("units").alias("vol"), F.sum("price").alias("sales"))
+    g = f.groupBy("productid").agg(F.sum("units").alias("vol"), money_from_cents(F.sum("price_c")).alias("sales"))
     return dense_rank_top(g, "vol", k, rank_name="rank_vol")
 
 

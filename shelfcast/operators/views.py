@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import holiday_season, node_id, rounded_mean, season
+from ..functions.columns import cents, holiday_season, money_from_cents, node_id, rounded_mean, season
 from ..sources.tables import SourceSet
 
 
@@ -89,16 +89,16 @@ def product_month_facts(src: SourceSet, with_calendar: bool = True) -> DataFrame
     return (ol.join(o, "orderid")
               .groupBy("productid", "year", "month")
               .agg(F.sum("numunits").alias("units"), F.count("numunits").alias("n_units"),
-                   F.sum("totalprice").alias("price"), F.count("totalprice").alias("n_price")))
+                   F.sum(cents("totalprice")).alias("price_c"), F.count("totalprice").alias("n_price")))
 
 
 def node_month_sales(src: SourceSet, cast_node: bool = True) -> DataFrame:
-    """(nodeid, year, month) -> units, n_units, price, n_price (node NULL kept as a group)."""
+    """(nodeid, year, month) -> units, n_units, price_c (cents), n_price (node NULL kept as a group)."""
     p = src.products.select("productid", (node_id("nodeid") if cast_node else F.col("nodeid")).alias("nodeid"))
     return (product_month_facts(src).join(p, "productid")
               .groupBy("nodeid", "year", "month")
               .agg(F.sum("units").alias("units"), F.sum("n_units").alias("n_units"),
-                   F.sum("price").alias("price"), F.sum("n_price").alias("n_price")))
+                   F.sum("price_c").alias("price_c"), F.sum("n_price").alias("n_price")))
 
 
 # --------------------------------------------------------------------------- D1
@@ -109,8 +109,8 @@ def salesaggregate(src: SourceSet) -> DataFrame:
         "nodeid", "month", "year", season("month").alias("season"),
         F.col("units").alias("total_sales_volume"),
         rounded_mean("units", "n_units", 4).alias("avg_sales_volume"),
-        F.col("price").alias("total_sales_price"),
-        rounded_mean("price", "n_price", 2).alias("avg_sales_price"),
+        money_from_cents("price_c").alias("total_sales_price"),
+        rounded_mean("price_c", "n_price", 2, total_scale=2).alias("avg_sales_price"),
     )
 
 
@@ -124,9 +124,10 @@ def sales_agg(src: SourceSet, by: list[str]) -> DataFrame:
     names = {"yr": "year", "mn": "month"}
     f = node_month_sales(src)
     g = (f.groupBy("nodeid", *[F.col(names[b]).alias(b) for b in by])
-          .agg(F.sum("price").alias("sales"), F.sum("units").alias("vol"),
+          .agg(F.sum("price_c").alias("_sales_c"), F.sum("units").alias("vol"),
                F.sum("n_price").alias("_n_price")))
-    out = g.select("nodeid", *by, "sales", "vol", rounded_mean("sales", "_n_price", 2).alias("avgprice"))
+    out = g.select("nodeid", *by, money_from_cents("_sales_c").alias("sales"), "vol",
+                   rounded_mean("_sales_c", "_n_price", 2, total_scale=2).alias("avgprice"))
     if len(by) == 1:
         w = Window.partitionBy(by[0])
         out = out.select("*",
@@ -156,7 +157,7 @@ def days_in_month(cal: DataFrame) -> DataFrame:
 def monthly_sales_with_days(src: SourceSet) -> DataFrame:
     """All-node monthly units and sales joined to the days per month."""
     m = (node_month_sales(src).groupBy("year", "month")
-         .agg(F.sum("units").alias("vol"), F.sum("price").alias("sales")))
+         .agg(F.sum("units").alias("vol"), money_from_cents(F.sum("price_c")).alias("sales")))
     return m.join(days_in_month(src.calendar), ["month", "year"]).select(
         "year", "month", "tot_days_in_month", "vol", "sales")
 
@@ -175,8 +176,8 @@ def is_sales_by_month(src: SourceSet, with_season: bool = False) -> DataFrame:
         "nodeid", "month", "year", *([season("month").alias("season")] if with_season else []),
         F.col("units").alias("total_sales_volume"),
         rounded_mean("units", "n_units", 4).alias("avg_sales_volume"),
-        F.col("price").alias("total_sales_price"),
-        rounded_mean("price", "n_price", 2).alias("avg_sales_price"),
+        money_from_cents("price_c").alias("total_sales_price"),
+        rounded_mean("price_c", "n_price", 2, total_scale=2).alias("avg_sales_price"),
     )
     if with_season:
         out = out.join(days_in_month(src.calendar).select("month", "year"), ["month", "year"]).select(
