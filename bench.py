@@ -40,10 +40,22 @@ def main() -> None:
         fn = QUERIES[name]
         run_once(fn, spark, sf_dir)                      # warm-up (JIT, file listing)
         times[name] = round(statistics.median(run_once(fn, spark, sf_dir) for _ in range(repeat)), 3)
+    # comparison (not in the total): the source view's correlated-subquery shape
+    comparison = {}
+    if not sys.argv[1:]:
+        from shelfcast.plans.subquery_form import ml_features_subquery
+        from shelfcast.sources.tables import SourceSet
+        from shelfcast.plans.catalog import BASE_FROM, BASE_TO
+
+        def subq(spark, d):
+            return ml_features_subquery(spark, SourceSet.load(spark, d), BASE_FROM, BASE_TO)
+        run_once(subq, spark, sf_dir)
+        comparison["ml_features_correlated_subqueries"] = round(
+            statistics.median(run_once(subq, spark, sf_dir) for _ in range(repeat)), 3)
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
-                      "cpus": cpus, "repeat": repeat}))
+                      "cpus": cpus, "repeat": repeat, "comparison": comparison}))
     spark.stop()
 
 

@@ -238,3 +238,31 @@ def reviews_agg_yrmn(src: SourceSet) -> DataFrame:
     g = j.groupBy("nodeid", F.col("year").alias("yr"), F.col("month").alias("mn")).agg(*_review_sums())
     return g.select("nodeid", "yr", "mn", F.col("n_reviews").alias("numreviews"),
                     rounded_mean("sum_overall", "n_overall", 2).alias("avgrating"))
+
+
+# --------------------------------------------------------------------------- A3
+def register_views(spark, src: SourceSet, year_from: int, year_to: int, prefix: str = "") -> list[str]:
+    """A3: the integrated views as session temp views (lazy; nothing runs).
+
+    Registers the store tables and every view under ``prefix + name`` so SQL
+    users can query them: sales, salesaggregate, reviewsaggregate,
+    reviews_agg_yrmn, sales_agg_mn/yr/yrmn, baseline_grid, ml_features,
+    mlview and the flattened classification.
+    """
+    from . import features, hierarchy
+    frames = {
+        "products": src.products, "orders": src.orders, "orderlines": src.orderlines,
+        "customers": src.customers, "campaigns": src.campaigns, "reviews": src.reviews,
+        "calendar": src.calendar,
+        "sales": sales(src), "salesaggregate": salesaggregate(src), "reviewsaggregate": reviewsaggregate(src),
+        "reviews_agg_yrmn": reviews_agg_yrmn(src), "sales_agg_mn": sales_agg_mn(src),
+        "sales_agg_yr": sales_agg_yr(src), "sales_agg_yrmn": sales_agg_yrmn(src),
+        "baseline_grid": features.baseline_grid(src, year_from, year_to),
+        "ml_features": features.ml_features(src, year_from, year_to),
+        "mlview": features.mlview(src, year_from, year_to),
+    }
+    if src.classification is not None:
+        frames["classification"] = hierarchy.flatten_categories(src.classification)
+    for name, df in frames.items():
+        df.createOrReplaceTempView(prefix + name)
+    return [prefix + n for n in frames]

@@ -219,3 +219,20 @@ def test_fk_orphans_counts_rows(spark):
     got = {r.relation: r.orphan_rows for r in quality.fk_orphans(src).collect()}
     assert got == {"orders.campaignid": 1, "orders.customerid": 0, "orderlines.orderid": 1,
                    "orderlines.productid": 1}
+
+
+# --------------------------------------------------------------------------- window form == subquery form
+def test_window_form_equals_correlated_subquery_form(spark, smoke_src):
+    from shelfcast.functions.columns import decimals_to_double
+    from shelfcast.plans.subquery_form import ml_features_subquery
+    a = decimals_to_double(features.ml_features(smoke_src, 1996, 2001))
+    b = decimals_to_double(ml_features_subquery(spark, smoke_src, 1996, 2001, prefix="t_sq_"))
+    b = b.select(*[b[c].cast(a.schema[c].dataType).alias(c) for c in a.columns])
+    assert a.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_register_views(spark, smoke_src):
+    names = views.register_views(spark, smoke_src, 1996, 2001, prefix="t_rv_")
+    assert "t_rv_ml_features" in names
+    assert spark.sql("select count(*) from t_rv_sales_agg_mn where rank_sales = 1").collect()[0][0] >= 12
