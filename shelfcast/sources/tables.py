@@ -17,7 +17,6 @@ column pruning and filters reach the scan.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,21 +40,53 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-@dataclass
+_LAZY = ("orders", "orderlines", "products", "customers", "campaigns", "reviews",
+         "calendar_table", "classification", "review_text")
+
+
 class SourceSet:
-    spark: SparkSession
-    orders: DataFrame        # orderid, orderdate, customerid, city, state, zipcode, campaignid
-    orderlines: DataFrame    # orderid, productid, unitprice, numunits, totalprice
-    products: DataFrame      # productid, asin, nodeid (text), isinstock, fullprice
-    customers: DataFrame     # customerid, householdid, gender, firstname
-    campaigns: DataFrame     # campaignid, channel, discount, freeshppingflag
-    reviews: DataFrame       # reviewid, asin, overall, reviewtime, sentiment
-    span: CalendarSpan | None = None
-    calendar_table: DataFrame | None = None
-    classification: DataFrame | None = None   # nested documents
-    review_text: DataFrame | None = None      # reviewid, text
-    root: str | None = None                   # folder of the tables read
-    _cal: DataFrame | None = field(default=None, repr=False)
+    """The store tables as lazy DataFrames.
+
+    Each table is given as a DataFrame or as a zero-argument callable that
+    builds one; callables run on first use, so a query opens (and lists the
+    files of) only the tables it reads.
+
+    orders: orderid, orderdate, customerid, city, state, zipcode, campaignid
+    orderlines: orderid, productid, unitprice, numunits, totalprice
+    products: productid, asin, nodeid (text), isinstock, fullprice
+    customers: customerid, householdid, gender, firstname
+    campaigns: campaignid, channel, discount, freeshppingflag
+    reviews: reviewid, asin, overall, reviewtime, sentiment
+    classification: nested category documents; review_text: reviewid, text
+    """
+
+    def __init__(self, spark: SparkSession, orders=None, orderlines=None, products=None, customers=None,
+                 campaigns=None, reviews=None, span: CalendarSpan | None = None, calendar_table=None,
+                 classification=None, review_text=None, root: str | None = None):
+        self.spark = spark
+        self.span = span
+        self.root = root
+        self._given = dict(orders=orders, orderlines=orderlines, products=products, customers=customers,
+                           campaigns=campaigns, reviews=reviews, calendar_table=calendar_table,
+                           classification=classification, review_text=review_text)
+        self._built: dict = {}
+        self._cal = None
+
+    def _get(self, name: str):
+        if name not in self._built:
+            v = self._given.get(name)
+            self._built[name] = v if (v is None or isinstance(v, DataFrame)) else v()
+        return self._built[name]
+
+    orders = property(lambda self: self._get("orders"))
+    orderlines = property(lambda self: self._get("orderlines"))
+    products = property(lambda self: self._get("products"))
+    customers = property(lambda self: self._get("customers"))
+    campaigns = property(lambda self: self._get("campaigns"))
+    reviews = property(lambda self: self._get("reviews"))
+    calendar_table = property(lambda self: self._get("calendar_table"))
+    classification = property(lambda self: self._get("classification"))
+    review_text = property(lambda self: self._get("review_text"))
 
     @property
     def calendar(self) -> DataFrame:
@@ -73,8 +104,43 @@ class SourceSet:
     @classmethod
     def load(cls, spark: SparkSession, sf_dir: str) -> "SourceSet":
         """Bind the driver test tables (region ... documents) to the store schema."""
-        part = _read(spark, sf_dir, "part")
-        products = part.select(
+        raw: dict[str, DataFrame] = {}
+
+        def read(name):
+            if name not in raw:
+                raw[name] = _read(spark, sf_dir, name)
+            return raw[name]
+
+        def products():
+            return cls._products(read("part"))
+
+        def customers():
+            return cls._customers(read("customer"))
+
+        def orders():
+            return cls._orders(read("orders"))
+
+        def orderlines():
+            return cls._orderlines(read("lineitem"))
+
+        def campaigns():
+            return cls._campaigns(read("orders"))
+
+        def reviews():
+            return cls._reviews(read("events"))
+
+        def review_text():
+            return read("documents").select(F.col("doc_id").alias("reviewid"), "text")
+
+        return cls(spark=spark, orders=orders, orderlines=orderlines, products=products,
+                   customers=customers, campaigns=campaigns, reviews=reviews, span=TEST_CALENDAR,
+                   classification=lambda: classification_from_part(read("part")),
+                   review_text=review_text, root=sf_dir)
+
+    # bindings of the test tables (FIXTURES.md rules)
+    @staticmethod
+    def _products(part: DataFrame) -> DataFrame:
+        return part.select(
             F.col("p_partkey").alias("productid"),
             F.concat(F.lit("B"), F.lpad(F.col("p_partkey").cast("string"), 9, "0")).alias("asin"),
             F.when(F.col("p_partkey") % 97 == 0, F.lit(None).cast("string"))
@@ -82,16 +148,21 @@ class SourceSet:
             F.when(F.col("p_partkey") % 10 == 0, F.lit("N")).otherwise(F.lit("Y")).alias("isinstock"),
             F.col("p_retailprice").cast(MONEY).alias("fullprice"),
         )
+
+    @staticmethod
+    def _customers(customer: DataFrame) -> DataFrame:
         # every 50th customer is absent, so orders with unknown customers exist
-        customers = _read(spark, sf_dir, "customer").where(F.col("c_custkey") % 50 != 0).select(
+        return customer.where(F.col("c_custkey") % 50 != 0).select(
             F.col("c_custkey").alias("customerid"),
             F.col("c_nationkey").alias("householdid"),
             F.col("c_mktsegment").alias("gender"),
             F.col("c_name").alias("firstname"),
         )
-        o = _read(spark, sf_dir, "orders")
+
+    @staticmethod
+    def _orders(o: DataFrame) -> DataFrame:
         prio = F.substring("o_orderpriority", 1, 1)
-        orders = o.select(
+        return o.select(
             F.col("o_orderkey").alias("orderid"),
             F.col("o_custkey").alias("customerid"),
             prio.cast("int").alias("campaignid"),
@@ -100,8 +171,10 @@ class SourceSet:
             F.substring("o_orderpriority", 3, 100).alias("state"),
             F.lpad((F.col("o_custkey") % 100000).cast("string"), 5, "0").alias("zipcode"),
         )
-        li = _read(spark, sf_dir, "lineitem")
-        orderlines = li.select(
+
+    @staticmethod
+    def _orderlines(li: DataFrame) -> DataFrame:
+        return li.select(
             F.col("l_orderkey").alias("orderid"),
             F.col("l_partkey").alias("productid"),
             F.col("l_quantity").cast("int").alias("numunits"),
@@ -109,8 +182,12 @@ class SourceSet:
             .cast(MONEY).alias("unitprice"),
             F.col("l_extendedprice").cast(MONEY).alias("totalprice"),
         )
+
+    @staticmethod
+    def _campaigns(o: DataFrame) -> DataFrame:
         # campaign 5 ('5-LOW') is not a campaign, so those orders miss the left join
-        campaigns = (o.where(prio != "5")
+        prio = F.substring("o_orderpriority", 1, 1)
+        return (o.where(prio != "5")
                      .select(prio.cast("int").alias("campaignid"),
                              F.substring("o_orderpriority", 3, 100).alias("channel"))
                      .distinct()
@@ -118,8 +195,10 @@ class SourceSet:
                              (F.col("campaignid") * 5).alias("discount"),
                              F.when(F.col("campaignid").isin(1, 2), F.lit("Y")).otherwise(F.lit("N"))
                               .alias("freeshppingflag")))
-        ev = _read(spark, sf_dir, "events")
-        reviews = ev.select(
+
+    @staticmethod
+    def _reviews(ev: DataFrame) -> DataFrame:
+        return ev.select(
             F.col("event_id").alias("reviewid"),
             F.when(F.col("user_id") % 10 == 0,
                    F.concat(F.lit("X"), F.lpad(F.col("user_id").cast("string"), 9, "0")))
@@ -129,29 +208,20 @@ class SourceSet:
             F.date_add(F.lit(REVIEW_EPOCH), (F.col("event_id") % 2400).cast("int")).alias("reviewtime"),
             _cents(F.col("event_id") % 201 - 100).cast("decimal(5,2)").alias("sentiment"),
         )
-        docs = _read(spark, sf_dir, "documents")
-        review_text = docs.select(F.col("doc_id").alias("reviewid"), "text")
-        return cls(spark=spark, orders=orders, orderlines=orderlines, products=products,
-                   customers=customers, campaigns=campaigns, reviews=reviews,
-                   span=TEST_CALENDAR, classification=classification_from_part(part),
-                   review_text=review_text, root=sf_dir)
 
     @classmethod
     def from_tables(cls, spark: SparkSession, table_dir: str, span: CalendarSpan | None = None,
                     classification_json: str | None = None) -> "SourceSet":
         """Read store-schema parquet tables; calendar from ``calendar.parquet`` unless a span is given."""
-        r = lambda n: _read(spark, table_dir, n)
-        cal = None if span is not None else r("calendar")
-        text = None
-        try:
-            text = r("reviewtext")
-        except Exception:  # optional table
-            text = None
+        def r(name):
+            return lambda: _read(spark, table_dir, name)
+
         return cls(spark=spark, orders=r("orders"), orderlines=r("orderlines"), products=r("products"),
                    customers=r("customers"), campaigns=r("campaigns"), reviews=r("reviews"),
-                   span=span, calendar_table=cal,
-                   classification=read_classification(spark, classification_json) if classification_json else None,
-                   review_text=text, root=table_dir)
+                   span=span, calendar_table=None if span is not None else r("calendar"),
+                   classification=(lambda: read_classification(spark, classification_json))
+                   if classification_json else None,
+                   review_text=r("reviewtext"), root=table_dir)
 
 
 def classification_from_part(part: DataFrame) -> DataFrame:
