@@ -74,7 +74,7 @@ def baseline_grid(src: SourceSet, year_from: int, year_to: int) -> DataFrame:
     )
 
 
-def _measure_rows(src: SourceSet, year_from: int, year_to: int) -> DataFrame:
+def _measure_rows(src: SourceSet, year_from: int, year_to: int, score_col: str = "sentiment") -> DataFrame:
     """Union of grid rows and monthly measure rows, keyed by (nodeid, midx)."""
     lo, hi = _month_bounds(src, year_from, year_to)
     in_frame = F.col("midx").between(lo - 12, hi)
@@ -91,7 +91,7 @@ def _measure_rows(src: SourceSet, year_from: int, year_to: int) -> DataFrame:
     s = s.select("nodeid", month_index("year", "month").alias("midx"), "units", "price_c").where(in_frame)
 
     p = src.products.select("asin", node_id("nodeid").alias("pnode"), F.lit(True).alias("hit"))
-    r = asin_month_reviews(src).withColumn("midx", month_index("year", "month")).where(in_frame)
+    r = asin_month_reviews(src, score_col).withColumn("midx", month_index("year", "month")).where(in_frame)
     r = r.join(p, "asin", "left").withColumn("nodeid", F.coalesce("pnode", F.lit(0).cast("bigint")))
     hit = F.col("hit").isNotNull()
     r = r.groupBy("nodeid", "midx").agg(
@@ -108,8 +108,9 @@ def _measure_rows(src: SourceSet, year_from: int, year_to: int) -> DataFrame:
     return grid.unionByName(union)
 
 
-def _windowed(src: SourceSet, year_from: int, year_to: int, which: tuple[str, ...]) -> DataFrame:
-    rows = _measure_rows(src, year_from, year_to)
+def _windowed(src: SourceSet, year_from: int, year_to: int, which: tuple[str, ...],
+              score_col: str = "sentiment") -> DataFrame:
+    rows = _measure_rows(src, year_from, year_to, score_col)
     w = Window.partitionBy("nodeid").orderBy("midx")
     zero = F.lit(0)
 
@@ -141,13 +142,13 @@ def ml_features(src: SourceSet, year_from: int, year_to: int) -> DataFrame:
     return _windowed(src, year_from, year_to, ("sales",)).select(*FEATURE_COLUMNS)
 
 
-def mlview(src: SourceSet, year_from: int, year_to: int) -> DataFrame:
+def mlview(src: SourceSet, year_from: int, year_to: int, score_col: str = "sentiment") -> DataFrame:
     """Previous-month / 3-month / 12-month mean review sentiment per node and month.
 
     The reference only lists the columns; the recipe is that of the ratings
     (mean over reviews, rounded to 2 places, 0 when there is none).
     """
-    return _windowed(src, year_from, year_to, ("sentiment",)).select(*SENTIMENT_COLUMNS)
+    return _windowed(src, year_from, year_to, ("sentiment",), score_col).select(*SENTIMENT_COLUMNS)
 
 
 def ml_features_all(src: SourceSet, year_from: int, year_to: int) -> DataFrame:

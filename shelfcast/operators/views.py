@@ -186,19 +186,20 @@ def is_sales_by_month(src: SourceSet, with_season: bool = False) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- reviews
-def asin_month_reviews(src: SourceSet) -> DataFrame:
-    """(asin, year, month) -> review counts and rating/sentiment sums, pre-aggregated.
+def asin_month_reviews(src: SourceSet, score_col: str = "sentiment") -> DataFrame:
+    """(asin, year, month) -> review counts and rating/score sums, pre-aggregated.
 
     Reviews whose day is not in the calendar are dropped (inner join).
+    ``score_col`` is the per-review score averaged by ``mlview`` (sentiment).
     """
+    has_score = score_col in src.reviews.columns
     r = src.reviews.select("reviewid", "asin", "overall", "reviewtime",
-                           *(["sentiment"] if "sentiment" in src.reviews.columns else []))
+                           *([F.col(score_col).alias("_score")] if has_score else []))
     r = dated(src, r, "reviewtime")
-    has_sent = "sentiment" in r.columns
     aggs = [F.count("reviewid").alias("n_reviews"),
             F.sum("overall").alias("sum_overall"), F.count("overall").alias("n_overall")]
-    if has_sent:
-        aggs += [F.sum("sentiment").alias("sum_sent"), F.count("sentiment").alias("n_sent")]
+    if has_score:
+        aggs += [F.sum("_score").alias("sum_sent"), F.count("_score").alias("n_sent")]
     else:
         aggs += [F.lit(None).cast("decimal(15,2)").alias("sum_sent"), F.lit(0).cast("bigint").alias("n_sent")]
     return r.groupBy("asin", "year", "month").agg(*aggs)

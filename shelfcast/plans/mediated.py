@@ -86,12 +86,23 @@ class Mediator:
     """
 
     def __init__(self, src=None, tables: dict[str, Callable[[], DataFrame]] | None = None,
-                 relations: dict[str, Relation] | None = None, year_from: int = 1996, year_to: int = 2001):
+                 relations: dict[str, Relation] | None = None, year_from: int = 1996, year_to: int = 2001,
+                 features_path: str | None = None):
+        """``features_path``: a feature table written by ``write_features``; S1
+        then reads it (partition pruning on ``yr``) instead of recomputing, and
+        S1 and S2 are joined rather than fused."""
         self.relations = relations or RELATIONS
         self.tables = dict(tables or {})
+        if features_path is not None and src is not None:
+            from ..operators.features import FEATURE_COLUMNS
+            from ..sources.sinks import read_features
+            self.tables.setdefault("S1.mv_ml_features",
+                                   lambda: read_features(src.spark, features_path, FEATURE_COLUMNS))
+            self.tables.setdefault("mlfeatures", None)
         if src is not None:
             for k, v in default_tables(src, year_from, year_to).items():
                 self.tables.setdefault(k, v)
+        self.tables = {k: v for k, v in self.tables.items() if v is not None}
 
     def relation(self, name: str, cols: Sequence[str | None]) -> DataFrame:
         """Body atom ``name(cols...)`` unfolded to its sources and joined."""
@@ -173,6 +184,12 @@ class Mediator:
         return self.relations[name]
 
 
+def mediated(src, rel: str, cols: Sequence[str | None], year_from: int = 1996, year_to: int = 2001,
+             **query) -> DataFrame:
+    """One-call form: ``mediated(src, "sales_agg_mn", [...], where=[...], top=3)``."""
+    return Mediator(src, year_from=year_from, year_to=year_to).query(rel, cols, **query)
+
+
 def default_tables(src, year_from: int, year_to: int) -> dict[str, Callable[[], DataFrame]]:
     from ..operators import features, hierarchy, views
     return {

@@ -236,3 +236,20 @@ def test_register_views(spark, smoke_src):
     names = views.register_views(spark, smoke_src, 1996, 2001, prefix="t_rv_")
     assert "t_rv_ml_features" in names
     assert spark.sql("select count(*) from t_rv_sales_agg_mn where rank_sales = 1").collect()[0][0] >= 12
+
+
+def test_mediator_reads_materialized_features(spark, smoke_src):
+    from shelfcast.session import fresh_path
+    from shelfcast.sources.sinks import write_features
+    path = fresh_path(spark, "mv-test")
+    write_features(features.ml_features(smoke_src, 1996, 2001), path)
+    m = Mediator(smoke_src, features_path=path)
+    cols = ["nodeid", "yr", "mn", "sales"] + ["_"] * 16
+    got = m.query("mlfeatures", cols, where=[("yr", "=", 2000)])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(yr" in plan and "yr#" in plan
+    assert got.count() == features.ml_features(smoke_src, 1996, 2001).where("yr = 2000").count()
+    cols2 = cols[:4] + ["_"] * 13 + ["s1", "_", "_"]
+    joined = m.query("mlfeatures", cols2)                     # materialized S1 joined with computed S2
+    fused = Mediator(smoke_src).query("mlfeatures", cols2)    # one window pass
+    assert joined.exceptAll(fused).count() == 0 and fused.exceptAll(joined).count() == 0
