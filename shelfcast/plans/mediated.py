@@ -202,3 +202,28 @@ def default_tables(src, year_from: int, year_to: int) -> dict[str, Callable[[],
         "S2.mlview": lambda: features.mlview(src, year_from, year_to),
         "mlfeatures": lambda: features.ml_features_all(src, year_from, year_to),
     }
+
+
+def materialize_sources(src, year_from: int = 1996, year_to: int = 2001, root: str | None = None
+                        ) -> dict[str, Callable[[], DataFrame]]:
+    """Write every source table of the mediated relations once and return readers.
+
+    Meant for serving many mediated queries over one data refresh: the star
+    join, the aggregates and the feature windows run once; each query then
+    reads small parquet tables (the feature tables partitioned by ``yr`` for
+    pruning).  ``root`` defaults to a new folder under the shared checkpoint
+    folder.  Pass the result as ``Mediator(src, tables=...)``.
+    """
+    from ..session import fresh_path
+    root = root or fresh_path(src.spark, "mediated-sources")
+    readers: dict[str, Callable[[], DataFrame]] = {}
+    for name, build in default_tables(src, year_from, year_to).items():
+        path = f"{root}/{name.replace('.', '_')}"
+        df = build()
+        writer = df.write.mode("errorifexists")
+        if "yr" in df.columns and name in ("S1.mv_ml_features", "S2.mlview", "mlfeatures"):
+            writer = writer.partitionBy("yr")
+        writer.parquet(path)
+        cols = df.columns
+        readers[name] = (lambda p=path, c=tuple(cols): src.spark.read.parquet(p).select(*c))
+    return readers

@@ -281,3 +281,17 @@ def test_valid_demo_query_runs(smoke_src):
                                    head=["nodeid", "sales", "vol"],
                                    where=[("mn", "=", 12), ("rank_vol", "<=", 3)])
     assert 3 <= df.count() and df.columns == ["nodeid", "sales", "vol"]
+
+
+def test_materialized_sources_answer_like_lazy_ones(smoke_src):
+    from shelfcast.plans.mediated import materialize_sources
+    tables = materialize_sources(smoke_src, 1996, 2001)
+    lazy, stored = Mediator(smoke_src), Mediator(smoke_src, tables=tables)
+    for rel, cols, kw in (
+        ("sales_agg_mn", ["nodeid", "mn", "sales", "_", "_", "rank_sales", "_"],
+         dict(head=["nodeid", "sales"], where=[("mn", "=", 12), ("rank_sales", "<=", 3)])),
+        ("mlfeatures", list(RELATIONS["mlfeatures"].attrs), dict(where=[("yr", "=", 2000)])),
+        ("classification", list(RELATIONS["classification"].attrs), {}),
+    ):
+        a, b = lazy.query(rel, cols, **kw), stored.query(rel, cols, **kw)
+        assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
