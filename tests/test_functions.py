@@ -83,3 +83,29 @@ def test_predictions_key_must_be_unique(spark):
                                "demandid long, nodeid long, month int, year int, season string, predictedsales int")
     with pytest.raises(ValueError, match="unique"):
         write_predictions(df, fresh_path(spark, "pred-test"))
+
+
+def test_rounded_mean_matches_exact_decimal_rounding(spark):
+    """Property: equals round-half-away-from-zero of the exact rational mean."""
+    from decimal import ROUND_HALF_UP, Decimal
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    cases = []
+
+    @settings(max_examples=200, deadline=None)
+    @given(st.lists(st.integers(-10 ** 9, 10 ** 9), min_size=1, max_size=12), st.sampled_from([2, 4]))
+    def collect(cents_list, scale):
+        cases.append((cents_list, scale))
+
+    collect()
+    rows = [(i, Decimal(c) / 100, s) for i, (cl, s) in enumerate(cases) for c in cl]
+    df = spark.createDataFrame(rows, "g int, x decimal(12,2), s int")
+    sums = df.groupBy("g", "s").agg(F.sum("x").alias("t"), F.count("x").alias("n"))
+    got = {r.g: (r.r2, r.r4) for r in sums.select("g", rounded_mean("t", "n", 2).alias("r2"),
+                                                   rounded_mean("t", "n", 4).alias("r4")).collect()}
+    for i, (cl, s) in enumerate(cases):
+        exact = (Decimal(sum(cl)) / 100) / len(cl)
+        want2 = float(exact.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
+        want4 = float(exact.quantize(Decimal("0.0001"), rounding=ROUND_HALF_UP))
+        assert got[i] == (want2, want4), (cl, got[i], want2, want4)
