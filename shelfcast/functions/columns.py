@@ -76,6 +76,17 @@ def rounded_mean(total, count, scale: int, total_scale: int = 0) -> Column:
     return F.when(n > 0, F.round(q, scale)).cast("double")
 
 
+def rounded_mean_sql(total: str, count: str, scale: int) -> str:
+    """SQL-expression form of ``rounded_mean`` (same rule), for wide ``selectExpr`` lists."""
+    return (f"cast(case when ({count}) > 0 then round(cast(({total}) as {_MEAN_NUM}) / "
+            f"cast(({count}) as decimal(20,0)), {scale}) end as double)")
+
+
+def money_from_cents_sql(c: str) -> str:
+    """SQL-expression form of ``money_from_cents``."""
+    return f"cast(cast(({c}) as decimal(38,0)) / 100 as decimal(38,2))"
+
+
 def cents(amount) -> Column:
     """Money amount -> exact integer cents (bigint), so sums stay on the long fast path."""
     return (_col(amount) * 100).cast("bigint")

@@ -22,11 +22,11 @@ node -> 0); ratings average reviews, not monthly means; no reviews -> 0.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import (holiday_season, money_from_cents, month_index, node_id, rounded_mean,
-                                 season, yyyymm)
+from ..functions.columns import (holiday_season, money_from_cents_sql, month_index, node_id,
+                                 rounded_mean_sql, season, yyyymm)
 from ..sources.tables import SourceSet
 from .views import asin_month_reviews, node_month_sales
 
@@ -74,18 +74,14 @@ def baseline_grid(src: SourceSet, year_from: int, year_to: int) -> DataFrame:
     )
 
 
+_MEASURES = ("units", "price_c", "a_n", "a_sum", "a_cnt", "a_ssum", "a_scnt",
+             "m_n", "m_sum", "m_cnt", "m_ssum", "m_scnt")
+
+
 def _measure_rows(src: SourceSet, year_from: int, year_to: int, score_col: str = "sentiment") -> DataFrame:
     """Union of grid rows and monthly measure rows, keyed by (nodeid, midx)."""
     lo, hi = _month_bounds(src, year_from, year_to)
     in_frame = F.col("midx").between(lo - 12, hi)
-    measures = ["units", "price_c", "a_n", "a_sum", "a_cnt", "a_ssum", "a_scnt",
-                "m_n", "m_sum", "m_cnt", "m_ssum", "m_scnt"]
-
-    def shaped(df, present):
-        return df.select("nodeid", "midx", F.lit(present == "grid").alias("is_base"),
-                         *[(F.col(m) if m in df.columns else F.lit(None)).alias(m) for m in measures])
-
-    grid = shaped(_grid_index(src, year_from, year_to), "grid")
 
     s = node_month_sales(src).where(F.col("nodeid").isNotNull())
     s = s.select("nodeid", month_index("year", "month").alias("midx"), "units", "price_c").where(in_frame)
@@ -93,48 +89,51 @@ def _measure_rows(src: SourceSet, year_from: int, year_to: int, score_col: str =
     p = src.products.select("asin", node_id("nodeid").alias("pnode"), F.lit(True).alias("hit"))
     r = asin_month_reviews(src, score_col).withColumn("midx", month_index("year", "month")).where(in_frame)
     r = r.join(p, "asin", "left").withColumn("nodeid", F.coalesce("pnode", F.lit(0).cast("bigint")))
-    hit = F.col("hit").isNotNull()
+    # "a_" = every review (previous month), "m_" = reviews whose product exists (3/12 months)
+    sums = (("n", "n_reviews"), ("sum", "sum_overall"), ("cnt", "n_overall"), ("ssum", "sum_sent"),
+            ("scnt", "n_sent"))
     r = r.groupBy("nodeid", "midx").agg(
-        F.sum("n_reviews").alias("a_n"), F.sum("sum_overall").alias("a_sum"),
-        F.sum("n_overall").alias("a_cnt"), F.sum("sum_sent").alias("a_ssum"), F.sum("n_sent").alias("a_scnt"),
-        F.sum(F.when(hit, F.col("n_reviews"))).alias("m_n"), F.sum(F.when(hit, F.col("sum_overall"))).alias("m_sum"),
-        F.sum(F.when(hit, F.col("n_overall"))).alias("m_cnt"), F.sum(F.when(hit, F.col("sum_sent"))).alias("m_ssum"),
-        F.sum(F.when(hit, F.col("n_sent"))).alias("m_scnt"))
+        *[F.expr(f"sum({c}) as a_{k}") for k, c in sums],
+        *[F.expr(f"sum(case when hit is not null then {c} end) as m_{k}") for k, c in sums])
+
+    # one projection per branch; missing measures are typed NULLs
+    types = {f.name: f.dataType.simpleString() for f in s.schema.fields + r.schema.fields}
 
-    # cast the literal-null columns of each branch to the measure types
-    union = shaped(s, "sales").unionByName(shaped(r, "reviews"), allowMissingColumns=False)
-    types = {f.name: f.dataType for f in union.schema.fields}
-    grid = grid.select(*[F.col(c).cast(types[c]).alias(c) if c in measures else F.col(c) for c in grid.columns])
-    return grid.unionByName(union)
+    def shaped(df, is_base):
+        have = set(df.columns)
+        return df.selectExpr("nodeid", "midx", f"{str(is_base).lower()} as is_base",
+                             *[m if m in have else f"cast(null as {types[m]}) as {m}" for m in _MEASURES])
+
+    grid = shaped(_grid_index(src, year_from, year_to), True)
+    return grid.unionByName(shaped(s, False)).unionByName(shaped(r, False))
+
+
+def _frame_sum(col: str, frame: str) -> str:
+    lo, hi = FRAMES[frame]
+    bound = lambda k: "current row" if k == 0 else f"{-k} preceding"
+    return f"sum({col}) over (partition by nodeid order by midx range between {bound(lo)} and {bound(hi)})"
 
 
 def _windowed(src: SourceSet, year_from: int, year_to: int, which: tuple[str, ...],
               score_col: str = "sentiment") -> DataFrame:
+    """One window pass: every frame is an expression of the same (nodeid, midx) window."""
     rows = _measure_rows(src, year_from, year_to, score_col)
-    w = Window.partitionBy("nodeid").orderBy("midx")
-    zero = F.lit(0)
-
-    def total(col, frame):
-        return F.sum(col).over(w.rangeBetween(*FRAMES[frame]))
-
-    cols = {}
+    cols: dict[str, str] = {}
     if "sales" in which:
         for pre in ("", "pm_", "p3m_", "p12m_"):
-            cols[f"{pre}sales"] = money_from_cents(F.coalesce(total("price_c", pre), zero.cast("bigint")))
-            cols[f"{pre}vol"] = F.coalesce(total("units", pre), zero.cast("bigint"))
+            cols[f"{pre}sales"] = money_from_cents_sql(f"coalesce({_frame_sum('price_c', pre)}, 0)")
+            cols[f"{pre}vol"] = f"coalesce({_frame_sum('units', pre)}, cast(0 as bigint))"
         for pre, tag in (("pm_", "a"), ("p3m_", "m"), ("p12m_", "m")):
-            cols[f"{pre}numreviews"] = F.coalesce(total(f"{tag}_n", pre), zero.cast("bigint"))
-            cols[f"{pre}avgrating"] = F.coalesce(
-                rounded_mean(total(f"{tag}_sum", pre), total(f"{tag}_cnt", pre), 2), zero.cast("double"))
+            cols[f"{pre}numreviews"] = f"coalesce({_frame_sum(f'{tag}_n', pre)}, cast(0 as bigint))"
+            mean = rounded_mean_sql(_frame_sum(f"{tag}_sum", pre), _frame_sum(f"{tag}_cnt", pre), 2)
+            cols[f"{pre}avgrating"] = f"coalesce({mean}, cast(0 as double))"
     if "sentiment" in which:
         for pre, tag in (("pm_", "a"), ("p3m_", "m"), ("p12m_", "m")):
-            cols[f"{pre}avgsntp"] = F.coalesce(
-                rounded_mean(total(f"{tag}_ssum", pre), total(f"{tag}_scnt", pre), 2), zero.cast("double"))
-    out = rows.select("nodeid", "midx", "is_base", *[c.alias(n) for n, c in cols.items()])
-    out = out.where("is_base").select(
-        "nodeid", F.floor(F.col("midx") / 12).cast("int").alias("yr"),
-        (F.col("midx") % 12 + 1).cast("int").alias("mn"), *cols.keys())
-    return out
+            mean = rounded_mean_sql(_frame_sum(f"{tag}_ssum", pre), _frame_sum(f"{tag}_scnt", pre), 2)
+            cols[f"{pre}avgsntp"] = f"coalesce({mean}, cast(0 as double))"
+    out = rows.selectExpr("nodeid", "midx", "is_base", *[f"{e} as {n}" for n, e in cols.items()])
+    return out.where("is_base").selectExpr(
+        "nodeid", "cast(floor(midx / 12) as int) as yr", "cast(midx % 12 + 1 as int) as mn", *cols)
 
 
 def ml_features(src: SourceSet, year_from: int, year_to: int) -> DataFrame:

@@ -36,8 +36,23 @@ def _cents(whole):
     return whole.cast("bigint").cast("decimal(20,0)") / F.lit(100)
 
 
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# Declared input schemas of the test tables (only the columns the bindings
+# read).  Reading with a declared schema skips the footer-reading job of
+# schema inference, and a file whose types differ fails at the scan.
+TEST_SCHEMAS = {
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz, "
+              "o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double, l_extendedprice double",
+    "events": "event_id bigint, user_id bigint, props string",
+    "documents": "doc_id bigint, text string",
+}
+
+
+def _read(spark: SparkSession, sf_dir: str, name: str, schema: str | None = None) -> DataFrame:
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 _LAZY = ("orders", "orderlines", "products", "customers", "campaigns", "reviews",
@@ -108,7 +123,7 @@ class SourceSet:
 
         def read(name):
             if name not in raw:
-                raw[name] = _read(spark, sf_dir, name)
+                raw[name] = _read(spark, sf_dir, name, TEST_SCHEMAS[name])
             return raw[name]
 
         def products():
