@@ -53,11 +53,12 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     """
     stats = df.select(F.struct(F.min(col).cast("double").alias("lo"),
                                F.max(col).cast("double").alias("hi")).alias("b")).scalar()
-    lo, hi = stats.getField("lo"), stats.getField("hi")
-    x = F.col(col).cast("double")
-    raw = F.when(hi == lo, F.lit(1)).otherwise(F.floor((x - lo) * bins / (hi - lo)) + 1)
+    # the bounds subquery is referenced once; buckets and edges read the column
+    x = df.where(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("x"), stats.alias("b"))
+    lo, hi = F.col("b.lo"), F.col("b.hi")
+    raw = F.when(hi == lo, F.lit(1)).otherwise(F.floor((F.col("x") - lo) * bins / (hi - lo)) + 1)
     bucket = F.least(raw.cast("int"), F.lit(bins))
-    counted = df.where(F.col(col).isNotNull()).groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    counted = x.groupBy(bucket.alias("bucket"), "b").agg(F.count(F.lit(1)).alias("n"))
     width = (hi - lo) / bins
     return counted.select("bucket", (lo + (F.col("bucket") - 1) * width).alias("lo_edge"),
                           (lo + F.col("bucket") * width).alias("hi_edge"), "n")
