@@ -239,6 +239,25 @@ class SourceSet:
                    review_text=r("reviewtext"), root=table_dir)
 
 
+def _from_catalog(cls, spark: SparkSession, database: str, span: CalendarSpan | None = None,
+                  classification_json: str | None = None) -> "SourceSet":
+    """Store tables from the session catalog (``database.orders`` ...), e.g. the
+    bucketed tables written by ``sources.layout.write_bucketed``."""
+    def t(name):
+        return lambda: spark.table(f"{database}.{name}")
+
+    has_text = spark.catalog.tableExists(f"{database}.reviewtext")
+    return cls(spark=spark, orders=t("orders"), orderlines=t("orderlines"), products=t("products"),
+               customers=t("customers"), campaigns=t("campaigns"), reviews=t("reviews"), span=span,
+               calendar_table=None if span is not None else t("calendar"),
+               classification=(lambda: read_classification(spark, classification_json))
+               if classification_json else None,
+               review_text=t("reviewtext") if has_text else None)
+
+
+SourceSet.from_catalog = classmethod(_from_catalog)
+
+
 def classification_from_part(part: DataFrame) -> DataFrame:
     """Category documents of the test binding: one per ``p_size`` node.
 
