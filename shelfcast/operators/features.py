@@ -136,9 +136,15 @@ def _windowed(src: SourceSet, year_from: int, year_to: int, which: tuple[str, ..
         "nodeid", "cast(floor(midx / 12) as int) as yr", "cast(midx % 12 + 1 as int) as mn", *cols)
 
 
-def ml_features(src: SourceSet, year_from: int, year_to: int) -> DataFrame:
-    """The 17-column feature table of the baseline months."""
-    return _windowed(src, year_from, year_to, ("sales",)).select(*FEATURE_COLUMNS)
+def ml_features(src: SourceSet, year_from: int, year_to: int, ordered: bool = False) -> DataFrame:
+    """The 17-column feature table of the baseline months.
+
+    ``ordered`` adds the view's final ORDER BY nodeid, yr, mn (F4; PostgreSQL
+    puts NULL last); leave it off when the table is written or joined, a
+    global sort is a full range shuffle.
+    """
+    out = _windowed(src, year_from, year_to, ("sales",)).select(*FEATURE_COLUMNS)
+    return out.orderBy(*[F.col(c).asc_nulls_last() for c in ("nodeid", "yr", "mn")]) if ordered else out
 
 
 def mlview(src: SourceSet, year_from: int, year_to: int, score_col: str = "sentiment") -> DataFrame:

@@ -16,10 +16,15 @@ from ..sources.classification import LEVELS, level_path
 NOT_AVAILABLE = "N/A"
 
 
-def flatten_categories(doc: DataFrame) -> DataFrame:
-    """H1: nodeid, classification, level0..level5."""
-    return doc.select(F.col("nodeID").alias("nodeid"), "classification",
-                      *[F.col(level_path(i)).alias(f"level{i}") for i in range(LEVELS)])
+def _sorted(df: DataFrame, col: str, ordered: bool) -> DataFrame:
+    """optional final order; SQL++ ascending puts missing/NULL first."""
+    return df.orderBy(F.col(col).asc_nulls_first()) if ordered else df
+
+
+def flatten_categories(doc: DataFrame, ordered: bool = False) -> DataFrame:
+    """H1: nodeid, classification, level0..level5 (``ordered``: by nodeid)."""
+    return _sorted(doc.select(F.col("nodeID").alias("nodeid"), "classification",
+                              *[F.col(level_path(i)).alias(f"level{i}") for i in range(LEVELS)]), "nodeid", ordered)
 
 
 def any_level_is(category) -> Column:
@@ -32,9 +37,10 @@ def any_level_is(category) -> Column:
     return cond
 
 
-def find_category(doc: DataFrame, category: str) -> DataFrame:
-    """H2: distinct nodes that have ``category`` at any level."""
-    return doc.where(any_level_is(category)).select(F.col("nodeID").alias("nodeid")).distinct()
+def find_category(doc: DataFrame, category: str, ordered: bool = False) -> DataFrame:
+    """H2: distinct nodes that have ``category`` at any level (``ordered``: by nodeid)."""
+    return _sorted(doc.where(any_level_is(category)).select(F.col("nodeID").alias("nodeid")).distinct(),
+                   "nodeid", ordered)
 
 
 def category_pairs(doc: DataFrame, with_level: bool = False) -> DataFrame:
@@ -46,19 +52,23 @@ def category_pairs(doc: DataFrame, with_level: bool = False) -> DataFrame:
     return out.select(*cols)
 
 
-def category_node_lists(doc: DataFrame) -> DataFrame:
-    """Category -> node list with duplicates, sorted; NULL and 'N/A' groups kept."""
-    return (category_pairs(doc).groupBy("category")
-            .agg(F.sort_array(F.collect_list("nodeid")).alias("nodeids")))
+def category_node_lists(doc: DataFrame, ordered: bool = False) -> DataFrame:
+    """Category -> node list with duplicates, sorted; NULL and 'N/A' groups kept.
+
+    A list holds at most six entries per category document (one per level),
+    so its size is bounded by the document collection, not by the facts.
+    """
+    return _sorted(category_pairs(doc).groupBy("category")
+                   .agg(F.sort_array(F.collect_list("nodeid")).alias("nodeids")), "category", ordered)
 
 
-def category_nodes(doc: DataFrame) -> DataFrame:
+def category_nodes(doc: DataFrame, ordered: bool = False) -> DataFrame:
     """Distinct (category, nodeid) without missing levels and without 'N/A'."""
     p = category_pairs(doc)
-    return p.where(F.col("nodeid").isNotNull() & F.col("category").isNotNull()
-                   & (F.col("category") != NOT_AVAILABLE)).distinct()
+    return _sorted(p.where(F.col("nodeid").isNotNull() & F.col("category").isNotNull()
+                           & (F.col("category") != NOT_AVAILABLE)).distinct(), "category", ordered)
 
 
-def categories_all(doc: DataFrame) -> DataFrame:
+def categories_all(doc: DataFrame, ordered: bool = False) -> DataFrame:
     """H5: distinct category names at any level (NULL and 'N/A' kept)."""
-    return category_pairs(doc).select("category").distinct()
+    return _sorted(category_pairs(doc).select("category").distinct(), "category", ordered)

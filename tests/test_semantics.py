@@ -295,3 +295,12 @@ def test_materialized_sources_answer_like_lazy_ones(smoke_src):
     ):
         a, b = lazy.query(rel, cols, **kw), stored.query(rel, cols, **kw)
         assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_f4_final_orders(smoke_src):
+    rows = [(r.nodeid, r.yr, r.mn) for r in features.ml_features(smoke_src, 1996, 2001, ordered=True).collect()]
+    assert rows[-1][0] is None and rows[:-72] == sorted(rows[:-72])     # NULL node last, as in PostgreSQL
+    cats = [r.category for r in hierarchy.categories_all(smoke_src.classification, ordered=True).collect()]
+    assert cats[0] is None and cats[1:] == sorted(cats[1:])              # missing first, as in SQL++
+    nodes = [r.nodeid for r in hierarchy.flatten_categories(smoke_src.classification, ordered=True).collect()]
+    assert nodes == sorted(nodes)
