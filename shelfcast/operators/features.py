@@ -78,13 +78,21 @@ _MEASURES = ("units", "price_c", "a_n", "a_sum", "a_cnt", "a_ssum", "a_scnt",
              "m_n", "m_sum", "m_cnt", "m_ssum", "m_scnt")
 
 
-def _measure_rows(src: SourceSet, year_from: int, year_to: int, score_col: str = "sentiment") -> DataFrame:
-    """Union of grid rows and monthly measure rows, keyed by (nodeid, midx)."""
+def _measure_rows(src: SourceSet, year_from: int, year_to: int, score_col: str = "sentiment",
+                  with_sales: bool = True) -> DataFrame:
+    """Union of grid rows and monthly measure rows, keyed by (nodeid, midx).
+
+    The sales branch (the star join) is left out when no sales measure is
+    asked for: a union branch is never pruned by the optimizer, even when
+    all of its measure columns are.
+    """
     lo, hi = _month_bounds(src, year_from, year_to)
     in_frame = F.col("midx").between(lo - 12, hi)
 
-    s = node_month_sales(src).where(F.col("nodeid").isNotNull())
-    s = s.select("nodeid", month_index("year", "month").alias("midx"), "units", "price_c").where(in_frame)
+    s = None
+    if with_sales:
+        s = node_month_sales(src).where(F.col("nodeid").isNotNull())
+        s = s.select("nodeid", month_index("year", "month").alias("midx"), "units", "price_c").where(in_frame)
 
     p = src.products.select("asin", node_id("nodeid").alias("pnode"), F.lit(True).alias("hit"))
     r = asin_month_reviews(src, score_col).withColumn("midx", month_index("year", "month")).where(in_frame)
@@ -97,15 +105,18 @@ def _measure_rows(src: SourceSet, year_from: int, year_to: int, score_col: str =
         *[F.expr(f"sum(case when hit is not null then {c} end) as m_{k}") for k, c in sums])
 
     # one projection per branch; missing measures are typed NULLs
-    types = {f.name: f.dataType.simpleString() for f in s.schema.fields + r.schema.fields}
+    types = {"units": "bigint", "price_c": "bigint"}
+    types.update({f.name: f.dataType.simpleString() for f in r.schema.fields})
 
     def shaped(df, is_base):
         have = set(df.columns)
         return df.selectExpr("nodeid", "midx", f"{str(is_base).lower()} as is_base",
                              *[m if m in have else f"cast(null as {types[m]}) as {m}" for m in _MEASURES])
 
-    grid = shaped(_grid_index(src, year_from, year_to), True)
-    return grid.unionByName(shaped(s, False)).unionByName(shaped(r, False))
+    out = shaped(_grid_index(src, year_from, year_to), True)
+    if s is not None:
+        out = out.unionByName(shaped(s, False))
+    return out.unionByName(shaped(r, False))
 
 
 def _frame_sum(col: str, frame: str) -> str:
@@ -117,7 +128,7 @@ def _frame_sum(col: str, frame: str) -> str:
 def _windowed(src: SourceSet, year_from: int, year_to: int, which: tuple[str, ...],
               score_col: str = "sentiment") -> DataFrame:
     """One window pass: every frame is an expression of the same (nodeid, midx) window."""
-    rows = _measure_rows(src, year_from, year_to, score_col)
+    rows = _measure_rows(src, year_from, year_to, score_col, with_sales="sales" in which)
     cols: dict[str, str] = {}
     if "sales" in which:
         for pre in ("", "pm_", "p3m_", "p12m_"):
