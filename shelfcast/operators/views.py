@@ -205,7 +205,7 @@ def asin_month_reviews(src: SourceSet, score_col: str = "sentiment") -> DataFram
     return r.groupBy("asin", "year", "month").agg(*aggs)
 
 
-def _review_sums():
+def review_sums():
     return [F.sum("n_reviews").alias("n_reviews"), F.sum("sum_overall").alias("sum_overall"),
             F.sum("n_overall").alias("n_overall"), F.sum("sum_sent").alias("sum_sent"),
             F.sum("n_sent").alias("n_sent")]
@@ -227,7 +227,7 @@ def reviews_by_node(src: SourceSet, how: str, default_node: int | None) -> DataF
 def reviewsaggregate(src: SourceSet) -> DataFrame:
     """By asin, node (0 if unknown), month, year, season: numreviews, avgrating."""
     j = reviews_by_node(src, "left", 0)
-    g = j.groupBy("asin", "nodeid", "month", "year").agg(*_review_sums())
+    g = j.groupBy("asin", "nodeid", "month", "year").agg(*review_sums())
     return g.select("asin", "nodeid", "month", "year", season("month").alias("season"),
                     F.col("n_reviews").alias("numreviews"),
                     rounded_mean("sum_overall", "n_overall", 2).alias("avgrating"))
@@ -236,7 +236,7 @@ def reviewsaggregate(src: SourceSet) -> DataFrame:
 def reviews_agg_yrmn(src: SourceSet) -> DataFrame:
     """D3: by node (NULL kept as its own group), yr, mn: numreviews, avgrating."""
     j = reviews_by_node(src, "left", None)
-    g = j.groupBy("nodeid", F.col("year").alias("yr"), F.col("month").alias("mn")).agg(*_review_sums())
+    g = j.groupBy("nodeid", F.col("year").alias("yr"), F.col("month").alias("mn")).agg(*review_sums())
     return g.select("nodeid", "yr", "mn", F.col("n_reviews").alias("numreviews"),
                     rounded_mean("sum_overall", "n_overall", 2).alias("avgrating"))
 
