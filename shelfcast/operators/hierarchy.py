@@ -72,3 +72,18 @@ def category_nodes(doc: DataFrame, ordered: bool = False) -> DataFrame:
 def categories_all(doc: DataFrame, ordered: bool = False) -> DataFrame:
     """H5: distinct category names at any level (NULL and 'N/A' kept)."""
     return _sorted(category_pairs(doc).select("category").distinct(), "category", ordered)
+
+
+def register_find_category(spark, doc: DataFrame, view: str = "classification_flat",
+                           function: str = "find_category") -> None:
+    """H2 as a SQL table function: ``SELECT * FROM find_category('Education')``.
+
+    Registers the flattened documents as temp view ``view`` and a temporary
+    SQL table function over it (the parameterised function of the source
+    query language).  NULL levels never match, as in ``find_category``.
+    """
+    flatten_categories(doc).createOrReplaceTempView(view)
+    levels = ", ".join(f"level{i}" for i in range(LEVELS))
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION {function}(category STRING)
+        RETURNS TABLE (nodeid BIGINT)
+        RETURN SELECT DISTINCT nodeid FROM {view} WHERE category IN ({levels})""")

@@ -304,3 +304,11 @@ def test_f4_final_orders(smoke_src):
     assert cats[0] is None and cats[1:] == sorted(cats[1:])              # missing first, as in SQL++
     nodes = [r.nodeid for r in hierarchy.flatten_categories(smoke_src.classification, ordered=True).collect()]
     assert nodes == sorted(nodes)
+
+
+def test_find_category_as_sql_table_function(spark, smoke_src):
+    hierarchy.register_find_category(spark, smoke_src.classification, view="t_cls", function="t_find_category")
+    for name in ("SMALL", "Books", "N/A", "no such category"):
+        sql = {r.nodeid for r in spark.sql(f"select * from t_find_category('{name}')").collect()}
+        api = {r.nodeid for r in hierarchy.find_category(smoke_src.classification, name).collect()}
+        assert sql == api
