@@ -92,15 +92,25 @@ def product_month_facts(src: SourceSet, with_calendar: bool = True) -> DataFrame
                    F.sum(cents("totalprice")).alias("price_c"), F.count("totalprice").alias("n_price")))
 
 
-def node_month_sales(src: SourceSet, cast_node: bool = True) -> DataFrame:
-    """(nodeid, year, month) -> units, n_units, price_c (cents), n_price (node NULL kept as a group)."""
+def node_sales(src: SourceSet, keys: tuple[str, ...] = ("year", "month"), cast_node: bool = True) -> DataFrame:
+    """(nodeid, *keys) -> units, n_units, price_c (cents), n_price (node NULL kept as a group).
+
+    ``keys`` is a subset of (year, month): the product-month facts are
+    grouped straight to the requested grain, one aggregation after the
+    product lookup.
+    """
     p = src.products.select("productid", (node_id("nodeid") if cast_node else F.col("nodeid")).alias("nodeid"))
     return (product_month_facts(src).join(p, "productid")
-              .groupBy("nodeid", "year", "month")
+              .groupBy("nodeid", *keys)
               .agg(F.sum("units").alias("units"), F.sum("n_units").alias("n_units"),
                    F.sum("price_c").alias("price_c"), F.sum("n_price").alias("n_price")))
 
 
+def node_month_sales(src: SourceSet, cast_node: bool = True) -> DataFrame:
+    """(nodeid, year, month) -> units, n_units, price_c (cents), n_price (node NULL kept as a group)."""
+    return node_sales(src, ("year", "month"), cast_node)
+
+
 # --------------------------------------------------------------------------- D1
 def salesaggregate(src: SourceSet) -> DataFrame:
     """By nodeid, month, year, season: total/avg units, total/avg price."""
@@ -122,10 +132,9 @@ def sales_agg(src: SourceSet, by: list[str]) -> DataFrame:
     that month/year are added, descending, NULLs first as in PostgreSQL.
     """
     names = {"yr": "year", "mn": "month"}
-    f = node_month_sales(src)
-    g = (f.groupBy("nodeid", *[F.col(names[b]).alias(b) for b in by])
-          .agg(F.sum("price_c").alias("_sales_c"), F.sum("units").alias("vol"),
-               F.sum("n_price").alias("_n_price")))
+    g = node_sales(src, tuple(names[b] for b in by))
+    g = g.select("nodeid", *[F.col(names[b]).alias(b) for b in by], F.col("price_c").alias("_sales_c"),
+                 F.col("units").alias("vol"), F.col("n_price").alias("_n_price"))
     out = g.select("nodeid", *by, money_from_cents("_sales_c").alias("sales"), "vol",
                    rounded_mean("_sales_c", "_n_price", 2, total_scale=2).alias("avgprice"))
     if len(by) == 1:
