@@ -38,17 +38,21 @@ def tfidf(docs: DataFrame, id_col: str, text_col: str, top_n: int = 50, digits:
     number of documents; weight = tf * idf rounded to ``digits``.
 
     Plan: the text is tokenised once; the (doc, term, count, length) table
-    feeds both the document frequencies and the weights, so it is
-    checkpointed (reliable, in the cluster's checkpoint folder) instead of
-    being tokenised again for each consumer.  The vocabulary (termid 0..,
+    feeds both the document frequencies and the weights, so it is written as
+    parquet to a new folder under the cluster's shared checkpoint folder and
+    read back (lineage cut, dictionary-encoded terms, the frequency pass
+    reads only the ``term`` column) instead of being tokenised again for
+    each consumer.  The vocabulary (termid 0..,
     ties by word) is a distributed top-k of ``top_n`` rows, broadcast for the
     lookup (its size is the parameter).  Weights are pivoted to
     term0..term{n-1} with the pivot values given, so no extra job looks for
     them.
     """
-    from ..session import shared_dir
-    shared_dir(docs.sparkSession)          # make sure a checkpoint folder is set (tests)
-    tf = term_counts(docs, id_col, text_col).checkpoint(eager=True)
+    from ..session import fresh_path
+    spark = docs.sparkSession
+    path = fresh_path(spark, "tfidf-term-counts")
+    term_counts(docs, id_col, text_col).write.mode("errorifexists").parquet(path)
+    tf = spark.read.parquet(path)
     n_docs = docs.select(F.count_distinct(F.col(id_col))).scalar()
     dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     top = dfreq.orderBy(F.col("df").desc(), F.col("term").asc()).limit(top_n)
