@@ -104,6 +104,19 @@ def decimals_to_double(df: DataFrame) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
+def presentable(df: DataFrame) -> DataFrame:
+    """Engine-neutral result types: decimals as doubles, dates as ISO ``yyyy-MM-dd`` text."""
+    from pyspark.sql.types import DateType, DecimalType
+
+    def out(f):
+        if isinstance(f.dataType, DecimalType):
+            return F.col(f.name).cast("double").alias(f.name)
+        if isinstance(f.dataType, DateType):
+            return F.date_format(f.name, "yyyy-MM-dd").alias(f.name)
+        return F.col(f.name)
+    return df.select(*[out(f) for f in df.schema.fields])
+
+
 def split_lat_long(df: DataFrame, col: str, lat: str = "lat", lon: str = "lon") -> DataFrame:
     """Split a ``"lat, long"`` text column into two doubles (NULL when not numeric)."""
     two = F.size(F.split(F.col(col), ",")) == 2
