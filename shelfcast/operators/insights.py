@@ -14,7 +14,7 @@ from ..functions.columns import money_from_cents, month_index, node_id, rounded_
 from ..sources.tables import SourceSet
 from . import hierarchy
 from .relational import dense_rank_top
-from .views import node_month_sales, product_month_facts, review_sums, reviews_by_node
+from .views import node_month_sales, node_sales, product_month_facts, review_sums, reviews_by_node
 
 TOKEN_SPLIT = r"[^\p{L}]+"    # a token is a maximal run of letters, after lower-casing
 
@@ -139,7 +139,7 @@ def _node_names(src: SourceSet) -> DataFrame:
 
 def top_categories(src: SourceSet, month: int = 12, k: int = 3) -> DataFrame:
     """Classifications ranked by sales in ``month`` (all years), dense rank <= k."""
-    s = node_month_sales(src).where(F.col("month") == month)
+    s = node_sales(src, ("month",)).where(F.col("month") == month)
     g = s.join(_node_names(src), "nodeid").groupBy("classification").agg(
         money_from_cents(F.sum("price_c")).alias("sales"))
     return dense_rank_top(g, "sales", k, rank_name="rank_sales")
@@ -148,7 +148,7 @@ def top_categories(src: SourceSet, month: int = 12, k: int = 3) -> DataFrame:
 def category_peak(src: SourceSet, name: str) -> DataFrame:
     """Season and month with the highest sales of the nodes carrying category ``name``."""
     nodes = hierarchy.find_category(src.classification, name)
-    s = node_month_sales(src).join(nodes, "nodeid", "left_semi")
+    s = node_sales(src, ("month",)).join(nodes, "nodeid", "left_semi")
     g = s.groupBy("month").agg(money_from_cents(F.sum("price_c")).alias("sales"), F.sum("units").alias("vol"))
     return dense_rank_top(g, "sales", 1).select(season("month").alias("season"), "month", "sales", "vol")
 
