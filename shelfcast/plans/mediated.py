@@ -158,6 +158,9 @@ class Mediator:
             for v in list(by) + [on]:
                 if v not in body:
                     raise ValueError(f"group_by attribute {v} is not in datalog body")
+            for h in out_cols:
+                if h not in set(by) | {alias}:
+                    raise ValueError(f"head attribute {h} is neither a group_by attribute nor the aggregate")
 
         df = self.relation(name, cols)
         pre = [c for c in where if condition_attr(c) != alias]

@@ -312,3 +312,10 @@ def test_find_category_as_sql_table_function(spark, smoke_src):
         sql = {r.nodeid for r in spark.sql(f"select * from t_find_category('{name}')").collect()}
         api = {r.nodeid for r in hierarchy.find_category(smoke_src.classification, name).collect()}
         assert sql == api
+
+
+def test_head_outside_group_by_output_is_an_error(smoke_src):
+    cols = ["n", "y", "m", "s"] + ["_"] * 16
+    with pytest.raises(ValueError, match="head attribute y is neither"):
+        Mediator(smoke_src).query("mlfeatures", cols, head=["n", "y", "agg"],
+                                  group_by=(["n"], "agg", "sum", "s"))
