@@ -51,8 +51,9 @@ def tfidf(docs: DataFrame, id_col: str, text_col: str, top_n: int = 50, digits:
     from ..session import fresh_path
     spark = docs.sparkSession
     path = fresh_path(spark, "tfidf-term-counts")
-    term_counts(docs, id_col, text_col).write.mode("errorifexists").parquet(path)
-    tf = spark.read.parquet(path)
+    counts = term_counts(docs, id_col, text_col)
+    counts.write.mode("errorifexists").parquet(path)
+    tf = spark.read.schema(counts.schema).parquet(path)     # known schema: no inference job
     n_docs = docs.select(F.count_distinct(F.col(id_col))).scalar()
     dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     top = dfreq.orderBy(F.col("df").desc(), F.col("term").asc()).limit(top_n)

@@ -227,6 +227,5 @@ def materialize_sources(src, year_from: int = 1996, year_to: int = 2001, root: s
         if "yr" in df.columns and name in ("S1.mv_ml_features", "S2.mlview", "mlfeatures"):
             writer = writer.partitionBy("yr")
         writer.parquet(path)
-        cols = df.columns
-        readers[name] = (lambda p=path, c=tuple(cols): src.spark.read.parquet(p).select(*c))
+        readers[name] = (lambda p=path, sch=df.schema: src.spark.read.schema(sch).parquet(p).select(*sch.names))
     return readers

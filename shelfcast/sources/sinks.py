@@ -19,8 +19,10 @@ def write_features(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").partitionBy("yr").parquet(path)
 
 
-def read_features(spark: SparkSession, path: str, columns: tuple[str, ...] | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
+def read_features(spark: SparkSession, path: str, columns: tuple[str, ...] | None = None,
+                  schema=None) -> DataFrame:
+    """Feature table written by ``write_features``; ``schema`` skips inference."""
+    df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
     return df.select(*columns) if columns else df
 
 
@@ -28,7 +30,7 @@ def materialize_features(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """Write ``df`` to a new shared location and return the re-read table."""
     path = fresh_path(df.sparkSession, "mv_ml_features")
     write_features(df, path)
-    return read_features(df.sparkSession, path, columns)
+    return read_features(df.sparkSession, path, columns, schema=df.schema)
 
 
 def check_predictions(df: DataFrame) -> None:
