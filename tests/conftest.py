@@ -38,10 +38,10 @@ SCHEMAS = {
 }
 
 
-def mini(spark, span=(dt.date(2000, 1, 1), dt.date(2001, 12, 31)), **rows) -> SourceSet:
+def mini(spark, span=(dt.date(2000, 1, 1), dt.date(2001, 12, 31)), classification=None, **rows) -> SourceSet:
     """A hand-made SourceSet: keyword = table name, value = list of tuples."""
     frames = {name: spark.createDataFrame(rows.get(name, []), schema) for name, schema in SCHEMAS.items()}
-    return SourceSet(spark=spark, span=CalendarSpan(*span), **frames)
+    return SourceSet(spark=spark, span=CalendarSpan(*span), classification=classification, **frames)
 
 
 @pytest.fixture(scope="session")
