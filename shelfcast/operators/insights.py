@@ -45,8 +45,7 @@ def tfidf(docs: DataFrame, id_col: str, text_col: str, top_n: int = 50, digits:
     each consumer.  The vocabulary (termid 0..,
     ties by word) is a distributed top-k of ``top_n`` rows, broadcast for the
     lookup (its size is the parameter).  Weights are pivoted to
-    term0..term{n-1} with the pivot values given, so no extra job looks for
-    them.
+    term0..term{n-1} by one aggregation per document.
     """
     from ..session import fresh_path
     spark = docs.sparkSession
@@ -62,8 +61,10 @@ def tfidf(docs: DataFrame, id_col: str, text_col: str, top_n: int = 50, digits:
     w = (tf.join(F.broadcast(vocab.select("termid", F.col("word").alias("term"), "df")), "term")
            .select("id", "termid",
                    F.round(F.col("cnt") / F.col("len") * F.log(n_docs / F.col("df")), digits).alias("w")))
-    wide = w.groupBy("id").pivot("termid", list(range(top_n))).agg(F.first("w"))
-    wide = wide.select("id", *[F.coalesce(F.col(str(i)), F.lit(0.0)).alias(f"term{i}") for i in range(top_n)])
+    # (doc, term) pairs are unique here, so one aggregation per document pivots
+    # the weights (Spark's pivot() would add a per-(doc, term) pre-aggregation)
+    wide = w.groupBy("id").agg(*[F.expr(f"coalesce(max(case when termid = {i} then w end), 0D) as term{i}")
+                                 for i in range(top_n)])
     return vocab, wide
 
 
