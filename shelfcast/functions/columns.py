@@ -58,6 +58,12 @@ def month_index(year, month) -> Column:
     return (_col(year) * 12 + _col(month) - 1).cast("int")
 
 
+def month_idx(date_col, shift: int = 0) -> Column:
+    """Contiguous month number of a date, ``shift`` months later (negative: earlier)."""
+    d = _col(date_col)
+    return (month_index(F.year(d), F.month(d)) + shift).cast("int")
+
+
 def month_shift(date_col, months: int) -> Column:
     """First day of the month ``months`` away from the month of ``date_col``."""
     return F.add_months(F.trunc(_col(date_col), "month"), months)

@@ -109,3 +109,11 @@ def test_rounded_mean_matches_exact_decimal_rounding(spark):
         want2 = float(exact.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
         want4 = float(exact.quantize(Decimal("0.0001"), rounding=ROUND_HALF_UP))
         assert got[i] == (want2, want4), (cl, got[i], want2, want4)
+
+
+def test_month_idx_matches_shifted_month_start(spark):
+    from shelfcast.functions.columns import month_idx, month_shift
+    df = spark.createDataFrame([(dt.date(2001, 1, 15),), (dt.date(2000, 12, 31),)], "d date")
+    for k in (-1, -3, -12):
+        rows = df.select(month_idx("d", k).alias("a"), month_idx(month_shift("d", k)).alias("b")).collect()
+        assert all(r.a == r.b for r in rows)
