@@ -31,10 +31,10 @@ def dated(src: SourceSet, df: DataFrame, date_col: str) -> DataFrame:
     """Inner join with the calendar on ``date_col``: adds month, year, season, holidayseason."""
     if src.calendar_table is None and src.span is not None:
         d = F.col(date_col)
-        return (df.where(src.span.contains(d))
-                  .withColumn("month", F.month(d)).withColumn("year", F.year(d))
-                  .withColumn("season", season(F.month(d)))
-                  .withColumn("holidayseason", holiday_season(F.month(d))))
+        m = F.month(d)
+        return df.where(src.span.contains(d)).select(
+            "*", m.alias("month"), F.year(d).alias("year"), season(m).alias("season"),
+            holiday_season(m).alias("holidayseason"))
     cal = src.calendar.select(F.col("date").alias("_cal_date"), "month", "year", "season", "holidayseason")
     return df.join(cal, F.col(date_col) == F.col("_cal_date")).drop("_cal_date")
 
