@@ -171,14 +171,14 @@ class Mediator:
         if group_by:
             by, alias, fn, on = group_by
             df = group_by_op(df, by, alias, fn, on, having=post)
+        order = list(order_by or [])
+        # keep the head plus any order variable, order (and cut), then project the head
+        keep = list(dict.fromkeys(out_cols + [o if isinstance(o, str) else o[0] for o in order]))
+        df = df.select(*keep)
         if top is not None:
-            df = top_n_op(df.select(*dict.fromkeys(out_cols + [o if isinstance(o, str) else o[0]
-                                                                for o in (order_by or [])])),
-                          top, order_by or ())
-            return df.select(*out_cols)
-        df = df.select(*dict.fromkeys(out_cols + [o if isinstance(o, str) else o[0] for o in (order_by or [])]))
-        if order_by:
-            df = order_by_op(df, order_by)
+            df = top_n_op(df, top, order)
+        elif order:
+            df = order_by_op(df, order)
         return df.select(*out_cols)
 
     def _get(self, name: str) -> Relation:
