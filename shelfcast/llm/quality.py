@@ -153,7 +153,10 @@ def keep_good(df: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
     """The rows of ``df`` whose text passes, with the columns of ``df``."""
     cols = df.columns
     renamed = df.select(*[F.col(f"`{c}`").alias(f"_in_{i}") for i, c in enumerate(cols)])
-    kept = score(renamed, f"_in_{cols.index(text)}", rules).filter("kept")
+    scored = score(renamed, f"_in_{cols.index(text)}", rules)
+    # the verdict passes through a generator, so that the filter is not pushed into the projections below and
+    # every measure inside it computed again
+    kept = scored.withColumn("_verdict", F.explode_outer(F.array("kept"))).filter("_verdict")
     return kept.select(*[F.col(f"_in_{i}").alias(c) for i, c in enumerate(cols)])
 
 
