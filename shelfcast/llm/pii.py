@@ -37,8 +37,8 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
 
-#: documents that give training windows, windows at most, and the training's length
-SAMPLE_DOCS, SAMPLE_WINDOWS, EPOCHS = 6000, 2400, 14
+#: documents that give training windows, windows at most, and weight updates of the training
+SAMPLE_DOCS, SAMPLE_WINDOWS, UPDATES = 6000, 2400, 170
 HIDDEN = 8
 #: a window has CORE characters of its own and EDGE of context at either side
 CORE, EDGE = 96, 16
@@ -201,7 +201,7 @@ def emissions(model, classes, keep=False):
     return (scores, forward, backward, trace_f, trace_b) if keep else scores
 
 
-def train(classes: np.ndarray, tags: np.ndarray, epochs: int = EPOCHS, batch: int = 200, rate: float = 0.02,
+def train(classes: np.ndarray, tags: np.ndarray, updates: int = UPDATES, batch: int = 200, rate: float = 0.02,
           seed: int = 7) -> dict[str, np.ndarray] | None:
     """Model from windows: ``classes`` and ``tags`` are (window, time) arrays.  None without any labelled span."""
     if not len(classes) or not (tags > 0).any():
@@ -211,6 +211,7 @@ def train(classes: np.ndarray, tags: np.ndarray, epochs: int = EPOCHS, batch: in
     mean = {k: np.zeros_like(v) for k, v in model.items()}
     square = {k: np.zeros_like(v) for k, v in model.items()}
     step, h = 0, HIDDEN
+    epochs = -(-updates // -(-len(classes) // batch))
     for epoch in range(epochs):
         order = rng.permutation(len(classes))
         for at in range(0, len(order), batch):

@@ -37,13 +37,17 @@ from .common import cut, read_table, ship_package
 
 #: labelled rows that the lexicon and the weights are fitted on at most (half of them toxic if there are enough)
 SAMPLE_ROWS = 6_000
-#: lexicon: share of toxic documents with the term at least, share of its documents that are toxic at least, size
-MIN_SHARE, MIN_PRECISION, MAX_TERMS = 0.03, 0.95, 400
+#: words of the lexicon: share of toxic documents with it at least, share of its documents that are toxic at least, number
+MIN_SHARE, MIN_PRECISION, MAX_TERMS = 0.008, 0.9, 600
+#: stems: uses per toxic document at least, times as frequent as in clean documents at least, number
+STEM_SHARE, STEM_LIFT, MAX_STEMS = 0.03, 5.0, 60
+#: only terms of this weight (log odds) also match misspelled
+FUZZY_WEIGHT = 4.5
 STEMS = (4, 5, 6, 7)
 #: words near to a term that clean documents use (no misspellings), at most; the most frequent come first
 MAX_EXCEPTIONS = 20_000
-#: words of up to this length must match exactly; a stem is a term for any word that starts with it
-EXACT_LENGTH, EXACT_STEM = 4, 7
+#: words of up to this length must match exactly, and so must stems; a stem stands for any word that starts with it
+EXACT_LENGTH = 4
 WINDOW = 8
 THRESHOLD = 0.7
 #: distinct words kept per worker
@@ -94,14 +98,18 @@ class FuzzyLexicon:
                 if errors == 0:                            # the term's last letter may be missing
                     ends += [(kid, 1) for kid in self.children[node].values()]
                 for at, e in ends:
-                    if at in self.whole and (e == 0 or len(self.terms[self.whole[at]][0]) > EXACT_LENGTH):
+                    if at in self.whole and (e == 0 or self._fuzzy(self.whole[at])):
                         accept = min(accept or (9, 0), (e, self.whole[at]))
-                if node in self.stem and (errors == 0 or len(self.terms[self.stem[node]][0]) > EXACT_STEM):
-                    stop = min(stop or (9, 0), (errors, self.stem[node]))
+                if node in self.stem and errors == 0:
+                    stop = min(stop or (9, 0), (0, self.stem[node]))
             self.accepts.append(accept)
             self.stops.append(stop)
         return self.numbers[members]
 
+    def _fuzzy(self, term: int) -> bool:
+        word, _, weight = self.terms[term]
+        return len(word) > EXACT_LENGTH and weight >= FUZZY_WEIGHT
+
     def _next(self, state: int, c: str) -> int:
         out = set()
         for node, errors in self.states[state]:
@@ -118,7 +126,7 @@ class FuzzyLexicon:
         return self._state(frozenset(out))
 
     def match(self, word: str) -> tuple | None:
-        """(errors, term) of the best match of a whole word, or None."""
+        """(errors, term) of the best match of a word, or None; whole words come before stems among ``terms``."""
         if word in self.cache:
             return self.cache[word]
         state, found = self.start, None
@@ -130,8 +138,6 @@ class FuzzyLexicon:
             state = following
             if self.stops[state]:
                 found = min(found or (9, 0), self.stops[state])
-                if found[0] == 0:
-                    break
             if not self.states[state]:
                 break
         else:
@@ -146,7 +152,7 @@ class FuzzyLexicon:
 
 
 def features(lexicon: FuzzyLexicon, text: str | None) -> list[float]:
-    """Context-scored hits of one text: summed, densest window, distinct terms, misspelled share, length."""
+    """Context-scored hits of one text: sum, densest window, distinct terms, misspelled share, density, length; stems."""
     words = WORD.findall((text or "").lower())
     cache, match = lexicon.cache, lexicon.match
     hits = []
@@ -156,12 +162,16 @@ def features(lexicon: FuzzyLexicon, text: str | None) -> list[float]:
             hits.append((i, m))
     n = max(1, len(words))
     if not hits:
-        return [0.0, 0.0, 0.0, 0.0, 0.0, np.log(n)]
+        return [0.0, 0.0, 0.0, 0.0, 0.0, np.log(n), 0.0, 0.0]
     quotes = np.cumsum([w in QUOTES for w in words])
-    total, best, terms, fuzzy = 0.0, 0.0, set(), 0
+    total, stems, best, terms, fuzzy = 0.0, 0.0, 0.0, set(), 0
     scored = []
     for i, (errors, term) in hits:
-        weight = lexicon.terms[term][2] * (0.6 if errors else 1.0)
+        _, is_stem, weight = lexicon.terms[term]
+        if is_stem:
+            stems += weight
+            continue
+        weight *= 0.6 if errors else 1.0
         near = words[max(0, i - WINDOW):i + WINDOW + 1]
         open_quote = quotes[i] % 2 == 1 and any(w in QUOTES for w in words[i + 1:i + 4 * WINDOW])
         reported = any(w in REPORTING for w in near)
@@ -179,7 +189,8 @@ def features(lexicon: FuzzyLexicon, text: str | None) -> list[float]:
             running -= scored[first][1]
             first += 1
         best = max(best, running)
-    return [np.log1p(total), best, float(min(len(terms), 5)), fuzzy / len(hits), total / n * 100, np.log(n)]
+    return [np.log1p(total), best, float(min(len(terms), 5)), fuzzy / len(hits), np.log1p(total / n * 100), np.log(n),
+            np.log1p(stems), np.log1p(stems / n * 100)]
 
 
 def _fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 30, penalty: float = 1.0):
@@ -225,29 +236,24 @@ def learn_lexicon(sample: DataFrame) -> tuple[list[tuple[str, bool, float]], lis
     if not n_toxic:
         return [], []
     words = F.array_distinct(F.expr(r"regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}]+', 0)"))
-    counted = cut(sample.dropDuplicates(["text"]).select("y", words.alias("words"))
-                  .select("y", F.explode(F.array_distinct(F.concat("words", *[_stems(k) for k in STEMS]))).alias("term"))
+    listed = cut(sample.dropDuplicates(["text"]).select("y", words.alias("words")))
+    counted = cut(listed.select("y", F.explode(F.concat("words", *[_stems(k) for k in STEMS])).alias("term"))
                   .groupBy("term").agg(F.sum("y").cast("double").alias("t"), F.count("*").cast("double").alias("n")))
-    least = max(3.0, MIN_SHARE * n_toxic)
-    good = counted.filter((F.col("t") >= least) & (F.col("t") / F.col("n") >= MIN_PRECISION) & (F.length("term") >= 3))
-    rows = good.orderBy(F.desc("t"), "term").limit(20 * MAX_TERMS).collect()          # bounded report of the best terms
-    found = {r["term"]: (r["t"], r["t"] / r["n"]) for r in rows}
-    terms, stems = [], []
-    # a stem stands for its words if several share it; else the word itself is the term
-    for term in sorted(found, key=lambda x: (-found[x][0], len(x), x)):
-        t, precision = found[term]
-        body = term.rstrip("*")
-        if any(body.startswith(x) for x in stems):
-            continue
-        if term.endswith("*"):
-            longest_word = max((found[w][0] for w in found if not w.endswith("*") and w.startswith(body)), default=0.0)
-            if longest_word > 0.8 * t:
-                continue
+    used = {r["y"]: float(r["n"] or 0) for r in listed.groupBy("y").agg(F.sum(F.size("words")).alias("n")).collect()}
+    is_stem, t, c = F.col("term").endswith("*"), F.col("t"), F.col("n") - F.col("t")
+    pure = ~is_stem & (t >= max(3.0, MIN_SHARE * n_toxic)) & (t / F.col("n") >= MIN_PRECISION) & (F.length("term") >= 3)
+    rows = counted.filter(pure).orderBy(F.desc("t"), "term").limit(MAX_TERMS).collect()     # bounded reports
+    terms = [(r["term"], False, float(np.log(r["t"] / (r["n"] - r["t"] + 0.5)))) for r in rows]
+    lift = (t / max(used.get(1, 1.0), 1.0)) / ((c + 0.5) / max(used.get(0, 1.0), 1.0))
+    frequent = is_stem & (t >= max(5.0, STEM_SHARE * n_toxic)) & (lift >= STEM_LIFT)
+    rows = (counted.filter(frequent).select("term", "t", F.log(lift).alias("w"))
+            .orderBy(F.desc(t * F.log(lift)), "term").limit(20 * MAX_STEMS).collect())
+    stems: list[str] = []
+    for r in rows:
+        body = r["term"].rstrip("*")
+        if len(stems) < MAX_STEMS and not any(body.startswith(x) or x.startswith(body) for x in stems):
             stems.append(body)
-        terms.append((body, term.endswith("*"), float(np.log(precision / (1 - precision + 0.5 / (t + 1))))))
-        if len(terms) == MAX_TERMS:
-            break
-    terms = [x for x in terms if x[1] or not any(x[0].startswith(c) for c in stems)]
+            terms.append((body, True, float(r["w"])))
 
     def near(batches):
         lexicon = FuzzyLexicon(terms)
