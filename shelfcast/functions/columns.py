@@ -94,8 +94,11 @@ def money_from_cents_sql(c: str) -> str:
 
 
 def cents(amount) -> Column:
-    """Money amount -> exact integer cents (bigint), so sums stay on the long fast path."""
-    return (_col(amount) * 100).cast("bigint")
+    """Money amount -> exact integer cents (bigint), so sums stay on the long fast path.
+
+    The amount is rounded to money first: a double times 100 may lie just below the cent.
+    """
+    return (money(amount) * 100).cast("bigint")
 
 
 def money_from_cents(c) -> Column:

@@ -13,7 +13,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.conditions import condition_attr, conjunction
@@ -78,6 +79,13 @@ def used_sources(rel: Relation, binding: dict[str, str]) -> list[Source]:
     return kept or ordered[:1]
 
 
+def _resolves(df: DataFrame, condition: Column) -> bool:
+    try:
+        return bool(df.select(condition).columns)
+    except AnalysisException:
+        return False
+
+
 class Mediator:
     """Binds relation source tables to DataFrame factories.
 
@@ -86,13 +94,15 @@ class Mediator:
     """
 
     def __init__(self, src=None, tables: dict[str, Callable[[], DataFrame]] | None = None,
-                 relations: dict[str, Relation] | None = None, year_from: int = 1996, year_to: int = 2001,
-                 features_path: str | None = None):
+                 relations: dict[str, Relation] | None = None, year_from: int | None = None,
+                 year_to: int | None = None, features_path: str | None = None):
         """``features_path``: a feature table written by ``write_features``; S1
         then reads it (partition pruning on ``yr``) instead of recomputing, and
-        S1 and S2 are joined rather than fused."""
+        S1 and S2 are joined rather than fused.  Without years, the feature
+        tables cover the calendar's own."""
         self.relations = relations or RELATIONS
         self.tables = dict(tables or {})
+        self._given = frozenset(self.tables)
         if features_path is not None and src is not None:
             from ..operators.features import FEATURE_COLUMNS
             from ..sources.sinks import read_features
@@ -111,7 +121,9 @@ class Mediator:
             raise ValueError(f"wrong number of atoms in {name}: {len(cols)} given, {len(rel.attrs)} expected")
         binding = {a: v for a, v in zip(rel.attrs, cols) if v not in SKIP}
         kept = used_sources(rel, binding)
-        if len(kept) > 1 and rel.fused in self.tables:
+        own = any(f"{s.source}.{s.table}" in self._given for s in kept)
+        # the fused table stands for the default sources only, unless it was given with them
+        if len(kept) > 1 and rel.fused in self.tables and (not own or rel.fused in self._given):
             # The sources share their key space one to one, so their natural
             # join equals the fused table without rows whose join variables
             # are NULL (NULL never joins).
@@ -147,29 +159,42 @@ class Mediator:
         for cond in where:
             attr = condition_attr(cond)
             if attr is not None and attr not in known:
-                raise ValueError(f"condition attribute {attr} is not in datalog body")
+                raise ValueError(f"condition attribute {attr} is not bound by the relation")
         out_cols = list(head) if head is not None else (
             list(group_by[0]) + [alias] if group_by else [v for v in dict.fromkeys(cols) if v not in SKIP])
         for h in out_cols:
             if h not in known:
-                raise ValueError(f"head attribute {h} is not in datalog body")
+                raise ValueError(f"head attribute {h} is not bound by the relation")
         if group_by:
             by, _, fn, on = group_by
             for v in list(by) + [on]:
                 if v not in body:
-                    raise ValueError(f"group_by attribute {v} is not in datalog body")
+                    raise ValueError(f"group_by attribute {v} is not bound by the relation")
             for h in out_cols:
                 if h not in set(by) | {alias}:
                     raise ValueError(f"head attribute {h} is neither a group_by attribute nor the aggregate")
 
         df = self.relation(name, cols)
-        pre = [c for c in where if condition_attr(c) != alias]
-        post = [c for c in where if alias is not None and condition_attr(c) == alias]
+        pre, post = [], []
+        for c in where:
+            if isinstance(c, Column):
+                if _resolves(df, c):
+                    pre.append(c)
+                elif group_by:
+                    post.append(c)                         # on the aggregate; refused there if it does not fit
+                else:
+                    raise ValueError(f"condition {c} reads attributes that the body does not bind")
+            else:
+                (post if group_by and condition_attr(c) == alias else pre).append(c)
         cond = conjunction(pre)
         if cond is not None:
             df = df.where(cond)
         if group_by:
             by, alias, fn, on = group_by
+            grouped = group_by_op(df, by, alias, fn, on)
+            for c in post:
+                if isinstance(c, Column) and not _resolves(grouped, c):
+                    raise ValueError(f"condition {c} mixes the aggregate with attributes that are grouped away")
             df = group_by_op(df, by, alias, fn, on, having=post)
         order = list(order_by or [])
         # keep the head plus any order variable, order (and cut), then project the head
@@ -187,27 +212,35 @@ class Mediator:
         return self.relations[name]
 
 
-def mediated(src, rel: str, cols: Sequence[str | None], year_from: int = 1996, year_to: int = 2001,
+def mediated(src, rel: str, cols: Sequence[str | None], year_from: int | None = None, year_to: int | None = None,
              **query) -> DataFrame:
     """One-call form: ``mediated(src, "sales_agg_mn", [...], where=[...], top=3)``."""
     return Mediator(src, year_from=year_from, year_to=year_to).query(rel, cols, **query)
 
 
-def default_tables(src, year_from: int, year_to: int) -> dict[str, Callable[[], DataFrame]]:
+def default_tables(src, year_from: int | None = None, year_to: int | None = None
+                   ) -> dict[str, Callable[[], DataFrame]]:
     from ..operators import features, hierarchy, views
+
+    def years() -> tuple[int, int]:
+        if year_from is not None and year_to is not None:
+            return year_from, year_to
+        first, last = src.years()
+        return (first if year_from is None else year_from), (last if year_to is None else year_to)
+
     return {
         "S2.ClassificationInfo": lambda: hierarchy.flatten_categories(src.classification),
         "S1.sales_agg_mn": lambda: views.sales_agg_mn(src),
         "S1.sales_agg_yr": lambda: views.sales_agg_yr(src),
         "S1.sales_agg_yrmn": lambda: views.sales_agg_yrmn(src),
         "S1.reviews_agg_yrmn": lambda: views.reviews_agg_yrmn(src),
-        "S1.mv_ml_features": lambda: features.ml_features(src, year_from, year_to),
-        "S2.mlview": lambda: features.mlview(src, year_from, year_to),
-        "mlfeatures": lambda: features.ml_features_all(src, year_from, year_to),
+        "S1.mv_ml_features": lambda: features.ml_features(src, *years()),
+        "S2.mlview": lambda: features.mlview(src, *years()),
+        "mlfeatures": lambda: features.ml_features_all(src, *years()),
     }
 
 
-def materialize_sources(src, year_from: int = 1996, year_to: int = 2001, root: str | None = None
+def materialize_sources(src, year_from: int | None = None, year_to: int | None = None, root: str | None = None
                         ) -> dict[str, Callable[[], DataFrame]]:
     """Write every source table of the mediated relations once and return readers.
 

@@ -13,18 +13,18 @@ from __future__ import annotations
 BINDINGS = {
     "products": """
 select p_partkey as productid, concat('B', lpad(cast(p_partkey as varchar), 9, '0')) as asin,
-  case when p_partkey % 97 = 0 then null else cast(p_size as varchar) end as nodeid,
+  cast(p_size as varchar) as nodeid,
   case when p_partkey % 10 = 0 then 'N' else 'Y' end as isinstock,
   cast(p_retailprice as decimal(12,2)) as fullprice
 from part""",
     "customers": """
 select c_custkey as customerid, c_nationkey as householdid, c_mktsegment as gender, c_name as firstname
-from customer where c_custkey % 50 <> 0""",
+from customer""",
     "bk_orders": """
 select o_orderkey as orderid, o_custkey as customerid,
   cast(substr(o_orderpriority, 1, 1) as int) as campaignid,
   cast(o_orderdate as date) as orderdate, o_orderstatus as city, substr(o_orderpriority, 3) as state,
-  lpad(cast(o_custkey % 100000 as varchar), 5, '0') as zipcode
+  printf('%05d', o_custkey) as zipcode
 from orders""",
     "orderlines": """
 select l_orderkey as orderid, l_partkey as productid, cast(l_quantity as int) as numunits,
@@ -36,7 +36,7 @@ select distinct cast(substr(o_orderpriority, 1, 1) as int) as campaignid,
   substr(o_orderpriority, 3) as channel,
   5 * cast(substr(o_orderpriority, 1, 1) as int) as discount,
   case when substr(o_orderpriority, 1, 1) in ('1', '2') then 'Y' else 'N' end as freeshppingflag
-from orders where substr(o_orderpriority, 1, 1) <> '5'""",
+from orders""",
     "reviews": """
 select event_id as reviewid,
   case when user_id % 10 = 0 then concat('X', lpad(cast(user_id as varchar), 9, '0'))
@@ -51,7 +51,9 @@ select cast(d as date) as date, cast(year(d) as int) as year, cast(month(d) as i
   case when month(d) in (3,4,5) then 'Spring' when month(d) in (6,7,8) then 'Summer'
        when month(d) in (9,10,11) then 'Fall' when month(d) in (12,1,2) then 'Winter' end as season,
   case when month(d) = 12 then 'Christmas_season' end as holidayseason
-from range(timestamp '1994-01-01', timestamp '2002-01-01', interval 1 day) t(d)""",
+from (select unnest(range(date_trunc('year', min(o_orderdate))::timestamp - interval 1 year,
+                          date_trunc('year', max(o_orderdate))::timestamp + interval 1 year, interval 1 day)) as d
+      from orders) t""",
     "reviewtext": """
 select doc_id as reviewid, text from documents""",
     "classification": """

@@ -20,17 +20,58 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import MONEY
 from .calendar import CalendarSpan, calendar, enrich_calendar
 from .classification import nest_levels, read_classification
 
-# Calendar of the test bindings: starts one year before the first order so the
-# first feature months have a full history (trap T3).
-TEST_CALENDAR = CalendarSpan(dt.date(1994, 1, 1), dt.date(2001, 12, 31))
+# stand-in day of the first review: the test events carry no dates within the orders' years
 REVIEW_EPOCH = dt.date(1995, 1, 1)
 
 
+def order_span(orders: DataFrame) -> CalendarSpan:
+    """Whole years that hold all order dates, and the year before for the first months' history (trap T3)."""
+    first, last = orders.agg(F.min("orderdate"), F.max("orderdate")).first()
+    first, last = first or dt.date(1970, 1, 1), last or dt.date(1970, 1, 1)
+    return CalendarSpan(dt.date(first.year - 1, 1, 1), dt.date(last.year, 12, 31))
+
+
+# Column types of the store tables.  Money may come as decimal with at most
+# two places, as an integer or as double; it is cast to decimal(12,2) on reading.
+STORE_SCHEMAS = {
+    "orders": "orderid bigint, orderdate date, customerid bigint, city string, state string, zipcode string, "
+              "campaignid int",
+    "orderlines": "orderid bigint, productid bigint, unitprice decimal(12,2), numunits int, totalprice decimal(12,2)",
+    "products": "productid bigint, asin string, nodeid string, isinstock string, fullprice decimal(12,2)",
+    "customers": "customerid bigint, householdid int, gender string, firstname string",
+    "campaigns": "campaignid int, channel string, discount int, freeshppingflag string",
+    "reviews": "reviewid bigint, asin string, overall int, reviewtime date, sentiment decimal(5,2)",
+}
+
+
+def checked(df: DataFrame, name: str) -> DataFrame:
+    """Columns of a store table with its types; a missing column or a type that would lose digits is an error."""
+    found = {f.name.lower(): f for f in df.schema.fields}
+    out = []
+    for field in T.StructType.fromDDL(STORE_SCHEMAS[name]).fields:
+        if field.name not in found:
+            raise ValueError(f"table {name} has no column {field.name}")
+        have, want = found[field.name].dataType, field.dataType
+        exact = have == want
+        if isinstance(want, T.DecimalType):
+            exact = exact or isinstance(have, (T.DoubleType, T.FloatType, T.IntegralType)) \
+                or (isinstance(have, T.DecimalType) and have.scale <= want.scale)
+        elif isinstance(want, T.LongType):
+            exact = isinstance(have, T.IntegralType)
+        elif isinstance(want, T.IntegerType):
+            exact = isinstance(have, (T.IntegerType, T.ShortType, T.ByteType))
+        if not exact:
+            raise ValueError(f"column {field.name} of table {name} is {have.simpleString()}, not {want.simpleString()}")
+        out.append(F.col(field.name).cast(want).alias(field.name))
+    return df.select(*out)
+
+
 def _cents(whole):
     """Integer number of cents -> exact decimal amount."""
     return whole.cast("bigint").cast("decimal(20,0)") / F.lit(100)
@@ -79,7 +120,7 @@ class SourceSet:
                  campaigns=None, reviews=None, span: CalendarSpan | None = None, calendar_table=None,
                  classification=None, review_text=None, root: str | None = None):
         self.spark = spark
-        self.span = span
+        self._span = span
         self.root = root
         self._given = dict(orders=orders, orderlines=orderlines, products=products, customers=customers,
                            campaigns=campaigns, reviews=reviews, calendar_table=calendar_table,
@@ -103,6 +144,19 @@ class SourceSet:
     classification = property(lambda self: self._get("classification"))
     review_text = property(lambda self: self._get("review_text"))
 
+    @property
+    def span(self) -> CalendarSpan | None:
+        """Days of the calendar: a given span, or a callable's (asked once)."""
+        if callable(self._span):
+            self._span = self._span()
+        return self._span
+
+    def years(self) -> tuple[int, int]:
+        """First and last year of the calendar."""
+        if self.calendar_table is None and self.span is not None:
+            return self.span.start.year, self.span.end.year
+        return tuple(self.calendar.agg(F.min("year"), F.max("year")).first())
+
     @property
     def calendar(self) -> DataFrame:
         """date, year, month, dom, monthabbr, season, holidayseason."""
@@ -148,7 +202,7 @@ class SourceSet:
             return read("documents").select(F.col("doc_id").alias("reviewid"), "text")
 
         return cls(spark=spark, orders=orders, orderlines=orderlines, products=products,
-                   customers=customers, campaigns=campaigns, reviews=reviews, span=TEST_CALENDAR,
+                   customers=customers, campaigns=campaigns, reviews=reviews, span=lambda: order_span(orders()),
                    classification=lambda: classification_from_part(read("part")),
                    review_text=review_text, root=sf_dir)
 
@@ -158,16 +212,14 @@ class SourceSet:
         return part.select(
             F.col("p_partkey").alias("productid"),
             F.concat(F.lit("B"), F.lpad(F.col("p_partkey").cast("string"), 9, "0")).alias("asin"),
-            F.when(F.col("p_partkey") % 97 == 0, F.lit(None).cast("string"))
-             .otherwise(F.col("p_size").cast("string")).alias("nodeid"),
+            F.col("p_size").cast("string").alias("nodeid"),
             F.when(F.col("p_partkey") % 10 == 0, F.lit("N")).otherwise(F.lit("Y")).alias("isinstock"),
             F.col("p_retailprice").cast(MONEY).alias("fullprice"),
         )
 
     @staticmethod
     def _customers(customer: DataFrame) -> DataFrame:
-        # every 50th customer is absent, so orders with unknown customers exist
-        return customer.where(F.col("c_custkey") % 50 != 0).select(
+        return customer.select(
             F.col("c_custkey").alias("customerid"),
             F.col("c_nationkey").alias("householdid"),
             F.col("c_mktsegment").alias("gender"),
@@ -184,7 +236,7 @@ class SourceSet:
             F.col("o_orderdate").cast("date").alias("orderdate"),
             F.col("o_orderstatus").alias("city"),
             F.substring("o_orderpriority", 3, 100).alias("state"),
-            F.lpad((F.col("o_custkey") % 100000).cast("string"), 5, "0").alias("zipcode"),
+            F.format_string("%05d", F.col("o_custkey")).alias("zipcode"),
         )
 
     @staticmethod
@@ -200,10 +252,8 @@ class SourceSet:
 
     @staticmethod
     def _campaigns(o: DataFrame) -> DataFrame:
-        # campaign 5 ('5-LOW') is not a campaign, so those orders miss the left join
         prio = F.substring("o_orderpriority", 1, 1)
-        return (o.where(prio != "5")
-                     .select(prio.cast("int").alias("campaignid"),
+        return (o.select(prio.cast("int").alias("campaignid"),
                              F.substring("o_orderpriority", 3, 100).alias("channel"))
                      .distinct()
                      .select("campaignid", "channel",
@@ -229,7 +279,10 @@ class SourceSet:
                     classification_json: str | None = None) -> "SourceSet":
         """Read store-schema parquet tables; calendar from ``calendar.parquet`` unless a span is given."""
         def r(name):
-            return lambda: _read(spark, table_dir, name)
+            def read():
+                df = _read(spark, table_dir, name)
+                return checked(df, name) if name in STORE_SCHEMAS else df
+            return read
 
         return cls(spark=spark, orders=r("orders"), orderlines=r("orderlines"), products=r("products"),
                    customers=r("customers"), campaigns=r("campaigns"), reviews=r("reviews"),
@@ -244,7 +297,10 @@ def _from_catalog(cls, spark: SparkSession, database: str, span: CalendarSpan |
     """Store tables from the session catalog (``database.orders`` ...), e.g. the
     bucketed tables written by ``sources.layout.write_bucketed``."""
     def t(name):
-        return lambda: spark.table(f"{database}.{name}")
+        def read():
+            df = spark.table(f"{database}.{name}")
+            return checked(df, name) if name in STORE_SCHEMAS else df
+        return read
 
     has_text = spark.catalog.tableExists(f"{database}.reviewtext")
     return cls(spark=spark, orders=t("orders"), orderlines=t("orderlines"), products=t("products"),

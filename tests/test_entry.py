@@ -24,7 +24,9 @@ def test_entry_schema_is_stable(spark):
 
 def test_every_query_has_unique_aliased_columns(spark):
     mod = _load()
-    queries, oracle = mod.queries(), mod.oracle_sql()
+    # training-data queries have tests of their own
+    queries = {k: v for k, v in mod.queries().items() if k != "pipeline" and not k[2:3].isdigit()}
+    oracle = {k: v for k, v in mod.oracle_sql().items() if k in queries}
     assert set(queries) == set(oracle) and len(queries) >= 69
     for name, fn in queries.items():
         cols = fn(spark, SMOKE).columns

@@ -75,13 +75,13 @@ def test_source_skip_keeps_both_when_sentiment_used():
 
 
 def test_t8_rows_returned(smoke_src):
-    m = Mediator(smoke_src)
+    m = Mediator(smoke_src, year_from=1996, year_to=2001)
     df = m.query("mlfeatures", ["nodeid", "yr", "mn"] + ["_"] * 17)
     assert df.columns == ["nodeid", "yr", "mn"] and df.count() > 0
 
 
 def test_fused_source_equals_join(smoke_src):
-    m = Mediator(smoke_src)
+    m = Mediator(smoke_src, year_from=1996, year_to=2001)
     cols = list(RELATIONS["mlfeatures"].attrs)
     fused = m.relation("mlfeatures", cols)
     joined = features.ml_features(smoke_src, 1996, 2001).join(features.mlview(smoke_src, 1996, 2001),
@@ -146,13 +146,13 @@ def test_t12_aggregate_arity_is_checked(smoke_src):
 
 
 def test_head_attribute_not_in_body(smoke_src):
-    with pytest.raises(ValueError, match="head attribute foo is not in datalog body"):
+    with pytest.raises(ValueError, match="head attribute foo is not bound by the relation"):
         Mediator(smoke_src).query("sales_agg_mn", ["nodeid", "mn", "sales", "vol", "_", "_", "rank_vol"],
                                   head=["nodeid", "sales", "vol", "foo"], where=[("mn", "=", 12)])
 
 
 def test_condition_attribute_not_in_body(smoke_src):
-    with pytest.raises(ValueError, match="condition attribute rank_vol is not in datalog body"):
+    with pytest.raises(ValueError, match="condition attribute rank_vol is not bound by the relation"):
         Mediator(smoke_src).query("sales_agg_mn", ["nodeid", "mn", "sales", "vol", "_", "_", "_"],
                                   head=["nodeid", "sales", "vol"], where=[("mn", "=", 12), ("rank_vol", "<=", 3)])
 
@@ -221,40 +221,6 @@ def test_fk_orphans_counts_rows(spark):
                    "orderlines.productid": 1}
 
 
-# --------------------------------------------------------------------------- window form == subquery form
-def test_window_form_equals_correlated_subquery_form(spark, smoke_src):
-    from shelfcast.functions.columns import decimals_to_double
-    from shelfcast.plans.subquery_form import ml_features_subquery
-    a = decimals_to_double(features.ml_features(smoke_src, 1996, 2001))
-    b = decimals_to_double(ml_features_subquery(spark, smoke_src, 1996, 2001, prefix="t_sq_"))
-    b = b.select(*[b[c].cast(a.schema[c].dataType).alias(c) for c in a.columns])
-    assert a.count() > 0
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-
-
-def test_register_views(spark, smoke_src):
-    names = views.register_views(spark, smoke_src, 1996, 2001, prefix="t_rv_")
-    assert "t_rv_ml_features" in names
-    assert spark.sql("select count(*) from t_rv_sales_agg_mn where rank_sales = 1").collect()[0][0] >= 12
-
-
-def test_mediator_reads_materialized_features(spark, smoke_src):
-    from shelfcast.session import fresh_path
-    from shelfcast.sources.sinks import write_features
-    path = fresh_path(spark, "mv-test")
-    write_features(features.ml_features(smoke_src, 1996, 2001), path)
-    m = Mediator(smoke_src, features_path=path)
-    cols = ["nodeid", "yr", "mn", "sales"] + ["_"] * 16
-    got = m.query("mlfeatures", cols, where=[("yr", "=", 2000)])
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(yr" in plan and "yr#" in plan
-    assert got.count() == features.ml_features(smoke_src, 1996, 2001).where("yr = 2000").count()
-    cols2 = cols[:4] + ["_"] * 13 + ["s1", "_", "_"]
-    joined = m.query("mlfeatures", cols2)                     # materialized S1 joined with computed S2
-    fused = Mediator(smoke_src).query("mlfeatures", cols2)    # one window pass
-    assert joined.exceptAll(fused).count() == 0 and fused.exceptAll(joined).count() == 0
-
-
 # --------------------------------------------------------------------------- demo cases (validation, pruning)
 FEAT17 = ["nodeId", "yr", "mn", "sales", "vol", "pm_sales", "pm_vol", "p3m_sales", "p3m_vol", "p12m_sales",
           "p12m_vol", "pm_numreviews", "pm_avgrating", "p3m_numreviews", "p3m_avgrating", "p12m_numreviews",
@@ -297,7 +263,18 @@ def test_materialized_sources_answer_like_lazy_ones(smoke_src):
         assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def _with_unknown_nodes(src):
+    """The same tables, a part of the products without node."""
+    from shelfcast.sources.tables import SourceSet
+    blank = F.when(F.col("productid") % 97 != 0, F.col("nodeid")).alias("nodeid")
+    products = src.products.select(*[blank if c == "nodeid" else c for c in src.products.columns])
+    return SourceSet(src.spark, orders=src.orders, orderlines=src.orderlines, products=products,
+                     customers=src.customers, campaigns=src.campaigns, reviews=src.reviews, span=src.span,
+                     classification=src.classification)
+
+
 def test_f4_final_orders(smoke_src):
+    smoke_src = _with_unknown_nodes(smoke_src)
     rows = [(r.nodeid, r.yr, r.mn) for r in features.ml_features(smoke_src, 1996, 2001, ordered=True).collect()]
     assert rows[-1][0] is None and rows[:-72] == sorted(rows[:-72])     # NULL node last, as in PostgreSQL
     cats = [r.category for r in hierarchy.categories_all(smoke_src.classification, ordered=True).collect()]
@@ -319,3 +296,51 @@ def test_head_outside_group_by_output_is_an_error(smoke_src):
     with pytest.raises(ValueError, match="head attribute y is neither"):
         Mediator(smoke_src).query("mlfeatures", cols, head=["n", "y", "agg"],
                                   group_by=(["n"], "agg", "sum", "s"))
+
+
+# --------------------------------------------------------------------------- conditions, own sources, money
+def test_column_conditions_filter_like_tuples(smoke_src):
+    m = Mediator(smoke_src)
+    cols = ["nodeid", "mn", "sales", "_", "_", "rank_sales", "_"]
+    by_tuple = m.query("sales_agg_mn", cols, where=[("mn", "=", 12)])
+    by_column = m.query("sales_agg_mn", cols, where=[F.col("mn") == 12])
+    assert 0 < by_tuple.count() == by_column.count() and by_tuple.exceptAll(by_column).count() == 0
+    total = m.query("sales_agg_mn", cols, group_by=(["mn"], "total", "sum", "sales"))
+    level = total.agg(F.avg("total")).first()[0]
+    kept = m.query("sales_agg_mn", cols, group_by=(["mn"], "total", "sum", "sales"), where=[F.col("total") > level])
+    assert 0 < kept.count() < total.count()
+    with pytest.raises(ValueError):
+        m.query("sales_agg_mn", cols, where=[F.col("nowhere") == 1])
+
+
+@pytest.mark.parametrize("key,column", [("S2.mlview", "pm_avgsntp"), ("S1.mv_ml_features", "sales")])
+def test_own_source_is_used(smoke_src, key, column):
+    from shelfcast.plans.mediated import default_tables
+    own = default_tables(smoke_src, 1996, 2001)[key]().withColumn(column, F.lit(99))
+    m = Mediator(smoke_src, tables={key: lambda: own}, year_from=1996, year_to=2001)
+    rows = m.relation("mlfeatures", list(RELATIONS["mlfeatures"].attrs)).select(column).distinct().collect()
+    assert [r[0] for r in rows] == [99]
+
+
+def test_money_as_double_keeps_its_cents(spark):
+    from shelfcast.functions.columns import cents
+    df = spark.createDataFrame([(1.15,), (19.99,), (None,)], "x double")
+    assert [r[0] for r in df.select(cents("x")).collect()] == [115, 1999, None]
+
+
+def test_store_tables_are_checked(spark):
+    from shelfcast.sources.tables import checked
+    lines = spark.createDataFrame([(1, 2, 1.15, 3, 3.45)], "orderid int, productid bigint, unitprice double, numunits int, "
+                                                          "totalprice double")
+    row = checked(lines, "orderlines").first()
+    assert (row["orderid"], str(row["unitprice"]), str(row["totalprice"])) == (1, "1.15", "3.45")
+    with pytest.raises(ValueError, match="numunits"):
+        checked(lines.drop("numunits"), "orderlines")
+    with pytest.raises(ValueError, match="unitprice"):
+        checked(lines.withColumn("unitprice", F.col("unitprice").cast("decimal(14,4)")), "orderlines")
+
+
+def test_calendar_covers_all_orders(smoke_src):
+    first, last = smoke_src.orders.agg(F.min("orderdate"), F.max("orderdate")).first()
+    assert smoke_src.span.start < first and smoke_src.span.end >= last
+    assert smoke_src.years() == (first.year - 1, last.year)

@@ -37,8 +37,7 @@ def test_calendar_table_path_matches_span_path(spark, store_dir):
 
 
 def test_from_tables_with_span(spark, store_dir):
-    from shelfcast.sources.tables import TEST_CALENDAR
-    src = SourceSet.from_tables(spark, store_dir, span=TEST_CALENDAR)
+    src = SourceSet.from_tables(spark, store_dir, span=SourceSet.load(spark, SMOKE).span)
     assert src.calendar_table is None
     assert _same(views.sales(SourceSet.load(spark, SMOKE)), views.sales(src))
 
