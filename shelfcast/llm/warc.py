@@ -88,10 +88,11 @@ def write_archive(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z
         F.lit("Content-Type: text/html; charset=utf-8\r\nContent-Length: "), length, eol, eol)
     marked.select(header.cast("binary").alias("header"), "key").write.parquet(f"{path}/headers")
     # each payload once: the response's row; joined and de-duplicated under one exchange by page and key
-    winners = best.select(F.col("best_id").alias("w_id"), F.col("key").alias("w_key"))
-    stored = (known.select("page_id", "key", "payload")
-              .join(winners, F.col("page_id").eqNullSafe(F.col("w_id")) & (F.col("key") == F.col("w_key")))
-              .groupBy("page_id", "key").agg(F.first("payload").alias("payload")))
+    # (a plain equality on a name that is never null: the grouping then keeps the join's partitions)
+    named = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null")).alias("page")
+    winners = best.select(named("best_id"), "key")
+    stored = (known.select(named("page_id"), "key", "payload").join(winners, ["page", "key"])
+              .groupBy("page", "key").agg(F.first("payload").alias("payload")))
     stored.select("key", "payload").write.parquet(f"{path}/payloads")
 
 
