@@ -190,13 +190,31 @@ def _byte_letters() -> list[str]:
 #: Unicode's White_Space (fixed values)
 _WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
+#: letters and numbers that Unicode 16 added to 15.1 (fixed values); Python's own tables may be older
+_UNICODE_16 = {
+    "L": [(0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65),
+          (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E),
+          (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x11BC0, 0x11BE0),
+          (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED),
+          (0x1E5F0, 0x1E5F0)],
+    "N": [(0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79),
+          (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA)],
+}
+
+#: capital letters of Unicode 16 and 17 and the distance to their small letters (fixed values)
+_NEW_CAPITALS = {0x1C89: 1, 0xA7CB: 0x264 - 0xA7CB, 0xA7CC: 1, 0xA7CE: 1, 0xA7D2: 1, 0xA7D4: 1, 0xA7DA: 1,
+                 0xA7DC: 0x19B - 0xA7DC, **dict.fromkeys(range(0x10D50, 0x10D66), 0x20),
+                 **dict.fromkeys(range(0x16EA0, 0x16EB9), 0x1B)}
+_NEW_CAPITAL = re.compile("[" + "".join(map(chr, _NEW_CAPITALS)) + "]")
+
 
 @lru_cache(maxsize=4)
 def _class(kind: str, top: int) -> str:
     """Ranges of the characters up to ``top`` whose category starts with ``kind``, for a character class."""
     out, start = [], None
+    added = {c for a, b in _UNICODE_16[kind] for c in range(a, b + 1)}
     for c in range(top + 2):
-        inside = c <= top and unicodedata.category(chr(c))[0] == kind
+        inside = c <= top and (c in added or unicodedata.category(chr(c))[0] == kind)
         if inside and start is None:
             start = c
         elif not inside and start is not None:
@@ -251,7 +269,9 @@ class Vocabulary:
         if self._all_words is None:
             self._all_words = self._words(sys.maxunicode)
         # lower case letter by letter, without the rule for a final sigma
-        return self._all_words.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        text = _NEW_CAPITAL.sub(lambda m: chr(ord(m[0]) + _NEW_CAPITALS[ord(m[0])]), text)
+        return self._all_words.findall(text.lower())
 
     def _symbols(self, word: str) -> list[int]:
         raw = word.encode("utf-8")

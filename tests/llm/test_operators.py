@@ -57,6 +57,15 @@ def test_bpe_like_the_library(hard, texts):
                                for r in hard["op1_bpe"]) == want
 
 
+def test_every_character_like_the_library():
+    from tokenizers import Tokenizer
+    t, v = Tokenizer.from_file(bpe.default_vocabulary()), bpe.load(bpe.default_vocabulary())
+    points = [c for c in range(1, 0x30000) if not 0xD800 <= c < 0xE000]
+    texts = [f"a{chr(c)}b 1{chr(c)}2" for c in points]
+    want = [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch(texts, add_special_tokens=False)]
+    assert [hex(c) for c, x, y in zip(points, v.encode_block(texts), want, strict=True) if x != y] == []
+
+
 def test_merging_side_by_side_equals_one_by_one():
     v, rng = bpe.load(bpe.default_vocabulary()), random.Random(3)
     words = [[rng.choice(v.inner[97:112]) for _ in range(rng.randint(1, 65))] for _ in range(400)]
