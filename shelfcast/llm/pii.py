@@ -363,7 +363,11 @@ def training_windows(text: str, rng) -> list[tuple[str, list[tuple[int, int, int
 
 
 def fit(df: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS, windows: int = SAMPLE_WINDOWS):
-    """Model from at most ``windows`` windows of about ``sample_docs`` documents chosen by hash."""
+    """Model from at most ``windows`` windows of about ``sample_docs`` documents chosen by hash.
+
+    Windows with spans that are fewer than the others are repeated, so training sees at most
+    twice ``windows``; the number of weight updates stays the same.
+    """
     ship_package(df.sparkSession)
     n = df.count()
     share = max(1, int(min(1.0, sample_docs / max(n, 1)) * (1 << 20)))
@@ -392,6 +396,12 @@ def fit(df: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS, windo
         for s in filter(None, r["spans"].split(",")):
             a, k, b = map(int, s.split(":"))
             tags[i, a:b] = 1 + k
+    # where spans are rare, windows with spans are repeated until they are about half of all
+    labelled = np.flatnonzero((tags > 0).any(axis=1))
+    if len(labelled):
+        times = -(-(len(rows) - len(labelled)) // len(labelled))
+        picked = np.concatenate([np.arange(len(rows)), np.tile(labelled, max(0, times - 1))])
+        classes, tags = classes[picked], tags[picked]
     return train(classes, tags)
 
 
