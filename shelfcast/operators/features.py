@@ -22,6 +22,8 @@ node -> 0); ratings average reviews, not monthly means; no reviews -> 0.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,22 +39,44 @@ FEATURE_COLUMNS = ("nodeid", "yr", "mn", "sales", "vol", "pm_sales", "pm_vol", "
 SENTIMENT_COLUMNS = ("nodeid", "yr", "mn", "pm_avgsntp", "p3m_avgsntp", "p12m_avgsntp")
 
 
-def _month_bounds(src: SourceSet, year_from: int, year_to: int):
+Months = tuple[int, int] | None
+
+
+def _span_months(src: SourceSet, year_from: int, year_to: int, months: Months) -> Months:
+    """(lo, hi) month index of the baseline, cut to ``months``; None for a calendar table."""
+    if src.calendar_table is not None or src.span is None:
+        return None
+    s, e = src.span.start, src.span.end
+    first, last = months or (0, 12 * 9999)
+    return (max(year_from * 12, s.year * 12 + s.month - 1, first),
+            min(year_to * 12 + 11, e.year * 12 + e.month - 1, last))
+
+
+def _month_bounds(src: SourceSet, year_from: int, year_to: int, months: Months = None):
     """(lo, hi) month index of the baseline as Columns (literals for a day span)."""
-    lo, hi = year_from * 12, year_to * 12 + 11
-    if src.calendar_table is None and src.span is not None:
-        s, e = src.span.start, src.span.end
-        return F.lit(max(lo, s.year * 12 + s.month - 1)), F.lit(min(hi, e.year * 12 + e.month - 1))
+    known = _span_months(src, year_from, year_to, months)
+    if known is not None:
+        return F.lit(known[0]), F.lit(known[1])
     cal = src.calendar.where(F.col("year").between(year_from, year_to))
     idx = month_index("year", "month")
+    if months is not None:
+        cal = cal.where(idx.between(*months))
     return cal.select(F.min(idx)).scalar(), cal.select(F.max(idx)).scalar()
 
 
-def _grid_index(src: SourceSet, year_from: int, year_to: int) -> DataFrame:
+def _frame_days(lo: int, hi: int) -> tuple[dt.date, dt.date]:
+    """First day of the 12 months before month ``lo`` and last day of month ``hi``."""
+    start, after = lo - 12, hi + 1
+    return (dt.date(start // 12, start % 12 + 1, 1),
+            dt.date(after // 12, after % 12 + 1, 1) - dt.timedelta(days=1))
+
+
+def _grid_index(src: SourceSet, year_from: int, year_to: int, months: Months = None) -> DataFrame:
     """(nodeid, midx) for every distinct product node and calendar month in range."""
-    lo, hi = _month_bounds(src, year_from, year_to)
+    lo, hi = _month_bounds(src, year_from, year_to, months)
     nodes = src.products.select(node_id("nodeid").alias("nodeid")).distinct()
-    grid = nodes.select("nodeid", F.explode(F.sequence(lo, hi)).alias("midx"))
+    # no month in range: no rows (a sequence would count down)
+    grid = nodes.select("nodeid", F.explode(F.when(lo <= hi, F.sequence(lo, hi))).alias("midx"))
     if src.calendar_table is not None or src.span is None:
         months = src.calendar.select(month_index("year", "month").alias("midx")).distinct()
         grid = grid.join(months, "midx", "left_semi")
@@ -79,44 +103,51 @@ _MEASURES = ("units", "price_c", "a_n", "a_sum", "a_cnt", "a_ssum", "a_scnt",
 
 
 def _measure_rows(src: SourceSet, year_from: int, year_to: int, score_col: str = "sentiment",
-                  with_sales: bool = True) -> DataFrame:
+                  with_sales: bool = True, with_reviews: bool = True, months: Months = None) -> DataFrame:
     """Union of grid rows and monthly measure rows, keyed by (nodeid, midx).
 
-    The sales branch (the star join) is left out when no sales measure is
-    asked for: a union branch is never pruned by the optimizer, even when
-    all of its measure columns are.
+    The sales branch (the star join) and the review branch are left out when
+    none of their measures is asked for: a union branch is never pruned by
+    the optimizer, even when all of its measure columns are.  With a day
+    span, the baseline months and the 12 before them become date bounds that
+    reach the scans of orders and reviews.
     """
-    lo, hi = _month_bounds(src, year_from, year_to)
+    grid = _grid_index(src, year_from, year_to, months)
+    lo, hi = _month_bounds(src, year_from, year_to, months)
     in_frame = F.col("midx").between(lo - 12, hi)
+    known = _span_months(src, year_from, year_to, months)
+    if known is not None and known[0] <= known[1]:
+        src = src.within(*_frame_days(*known))
 
     s = None
     if with_sales:
         s = node_month_sales(src).where(F.col("nodeid").isNotNull())
         s = s.select("nodeid", month_index("year", "month").alias("midx"), "units", "price_c").where(in_frame)
 
-    p = src.products.select("asin", node_id("nodeid").alias("pnode"), F.lit(True).alias("hit"))
-    r = asin_month_reviews(src, score_col).withColumn("midx", month_index("year", "month")).where(in_frame)
-    r = r.join(p, "asin", "left").withColumn("nodeid", F.coalesce("pnode", F.lit(0).cast("bigint")))
-    # "a_" = every review (previous month), "m_" = reviews whose product exists (3/12 months)
-    sums = (("n", "n_reviews"), ("sum", "sum_overall"), ("cnt", "n_overall"), ("ssum", "sum_sent"),
-            ("scnt", "n_sent"))
-    r = r.groupBy("nodeid", "midx").agg(
-        *[F.expr(f"sum({c}) as a_{k}") for k, c in sums],
-        *[F.expr(f"sum(case when hit is not null then {c} end) as m_{k}") for k, c in sums])
-
     # one projection per branch; missing measures are typed NULLs
-    types = {"units": "bigint", "price_c": "bigint"}
-    types.update({f.name: f.dataType.simpleString() for f in r.schema.fields})
+    types = {m: "bigint" for m in _MEASURES} | {"a_ssum": "decimal(38,2)", "m_ssum": "decimal(38,2)"}
 
     def shaped(df, is_base):
         have = set(df.columns)
         return df.selectExpr("nodeid", "midx", f"{str(is_base).lower()} as is_base",
                              *[m if m in have else f"cast(null as {types[m]}) as {m}" for m in _MEASURES])
 
-    out = shaped(_grid_index(src, year_from, year_to), True)
+    out = shaped(grid, True)
     if s is not None:
         out = out.unionByName(shaped(s, False))
-    return out.unionByName(shaped(r, False))
+    return out.unionByName(shaped(_review_rows(src, score_col, in_frame), False)) if with_reviews else out
+
+
+def _review_rows(src: SourceSet, score_col: str, in_frame) -> DataFrame:
+    """(nodeid, midx) -> review sums; "a_" counts every review, "m_" those whose product exists."""
+    p = src.products.select("asin", node_id("nodeid").alias("pnode"), F.lit(True).alias("hit"))
+    r = asin_month_reviews(src, score_col).withColumn("midx", month_index("year", "month")).where(in_frame)
+    r = r.join(p, "asin", "left").withColumn("nodeid", F.coalesce("pnode", F.lit(0).cast("bigint")))
+    sums = (("n", "n_reviews"), ("sum", "sum_overall"), ("cnt", "n_overall"), ("ssum", "sum_sent"),
+            ("scnt", "n_sent"))
+    return r.groupBy("nodeid", "midx").agg(
+        *[F.expr(f"sum({c}) as a_{k}") for k, c in sums],
+        *[F.expr(f"sum(case when hit is not null then {c} end) as m_{k}") for k, c in sums])
 
 
 def _frame_sum(col: str, frame: str) -> str:
@@ -126,14 +157,19 @@ def _frame_sum(col: str, frame: str) -> str:
 
 
 def _windowed(src: SourceSet, year_from: int, year_to: int, which: tuple[str, ...],
-              score_col: str = "sentiment") -> DataFrame:
-    """One window pass: every frame is an expression of the same (nodeid, midx) window."""
-    rows = _measure_rows(src, year_from, year_to, score_col, with_sales="sales" in which)
+              score_col: str = "sentiment", months: Months = None) -> DataFrame:
+    """One window pass: every frame is an expression of the same (nodeid, midx) window.
+
+    ``which``: "sales", "ratings", "sentiment"; ``months`` cuts the baseline to a range of month indexes.
+    """
+    rows = _measure_rows(src, year_from, year_to, score_col, "sales" in which,
+                         "ratings" in which or "sentiment" in which, months)
     cols: dict[str, str] = {}
     if "sales" in which:
         for pre in ("", "pm_", "p3m_", "p12m_"):
             cols[f"{pre}sales"] = money_from_cents_sql(f"coalesce({_frame_sum('price_c', pre)}, 0)")
             cols[f"{pre}vol"] = f"coalesce({_frame_sum('units', pre)}, cast(0 as bigint))"
+    if "ratings" in which:
         for pre, tag in (("pm_", "a"), ("p3m_", "m"), ("p12m_", "m")):
             cols[f"{pre}numreviews"] = f"coalesce({_frame_sum(f'{tag}_n', pre)}, cast(0 as bigint))"
             mean = rounded_mean_sql(_frame_sum(f"{tag}_sum", pre), _frame_sum(f"{tag}_cnt", pre), 2)
@@ -147,27 +183,34 @@ def _windowed(src: SourceSet, year_from: int, year_to: int, which: tuple[str, ..
         "nodeid", "cast(floor(midx / 12) as int) as yr", "cast(midx % 12 + 1 as int) as mn", *cols)
 
 
-def ml_features(src: SourceSet, year_from: int, year_to: int, ordered: bool = False) -> DataFrame:
+def ml_features(src: SourceSet, year_from: int, year_to: int, ordered: bool = False, months: Months = None,
+                columns: tuple[str, ...] = FEATURE_COLUMNS) -> DataFrame:
     """The 17-column feature table of the baseline months.
 
     ``ordered`` adds the view's final ORDER BY nodeid, yr, mn (F4; PostgreSQL
     puts NULL last); leave it off when the table is written or joined, a
-    global sort is a full range shuffle.
+    global sort is a full range shuffle.  ``months`` keeps a range of month
+    indexes (year * 12 + month - 1) and reads only those and the 12 before;
+    facts that no column of ``columns`` needs are not read.
     """
-    out = _windowed(src, year_from, year_to, ("sales",)).select(*FEATURE_COLUMNS)
+    reviews = any(c.endswith(("numreviews", "avgrating")) for c in columns)
+    sales = any(c.endswith(("sales", "vol")) for c in columns)
+    which = (("sales",) if sales else ()) + (("ratings",) if reviews else ())
+    out = _windowed(src, year_from, year_to, which, months=months).select(*columns)
     return out.orderBy(*[F.col(c).asc_nulls_last() for c in ("nodeid", "yr", "mn")]) if ordered else out
 
 
-def mlview(src: SourceSet, year_from: int, year_to: int, score_col: str = "sentiment") -> DataFrame:
+def mlview(src: SourceSet, year_from: int, year_to: int, score_col: str = "sentiment", months: Months = None
+           ) -> DataFrame:
     """Previous-month / 3-month / 12-month mean review sentiment per node and month.
 
     The reference only lists the columns; the recipe is that of the ratings
     (mean over reviews, rounded to 2 places, 0 when there is none).
     """
-    return _windowed(src, year_from, year_to, ("sentiment",), score_col).select(*SENTIMENT_COLUMNS)
+    return _windowed(src, year_from, year_to, ("sentiment",), score_col, months).select(*SENTIMENT_COLUMNS)
 
 
-def ml_features_all(src: SourceSet, year_from: int, year_to: int) -> DataFrame:
+def ml_features_all(src: SourceSet, year_from: int, year_to: int, months: Months = None) -> DataFrame:
     """Both sources of the ``mlfeatures`` relation from one window pass (20 columns)."""
-    both = _windowed(src, year_from, year_to, ("sales", "sentiment"))
+    both = _windowed(src, year_from, year_to, ("sales", "ratings", "sentiment"), months=months)
     return both.select(*FEATURE_COLUMNS, *SENTIMENT_COLUMNS[3:])

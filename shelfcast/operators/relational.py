@@ -101,7 +101,11 @@ def dense_rank_top(df: DataFrame, col: str, k: int, descending: bool = True,
     ascending last (PostgreSQL order).
     """
     order = F.col("_v").desc_nulls_first() if descending else F.col("_v").asc_nulls_last()
-    best = df.select(F.col(col).alias("_v")).distinct().orderBy(order).limit(k)
+    # the winners' branch reads every column, so both branches share one exchange below the aggregation
+    # that made ``df`` instead of computing it twice with different columns
+    others = [F.col(c) for c in df.columns if c != col] or [F.lit(0)]
+    best = (df.groupBy(F.col(col).alias("_v")).agg(F.max(F.xxhash64(*others)).alias("_rest"))
+              .where(F.col("_rest").isNotNull()).orderBy(order).limit(k))
     ranked = best.select("_v", F.dense_rank().over(Window.orderBy(order)).alias(rank_name))
     return (df.join(F.broadcast(ranked), F.col(col).eqNullSafe(F.col("_v")))
               .drop("_v"))

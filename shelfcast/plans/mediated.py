@@ -65,6 +65,10 @@ RELATIONS: dict[str, Relation] = {r.name: r for r in (
 )}
 
 
+#: tables of the default binding that are computed per month
+FEATURE_TABLES = frozenset({"S1.mv_ml_features", "S2.mlview", "mlfeatures"})
+
+
 def used_sources(rel: Relation, binding: dict[str, str]) -> list[Source]:
     """Source skip: keep a source only if it supplies a used variable no other
     source supplies.  When that leaves nothing (only shared keys used), the
@@ -79,6 +83,26 @@ def used_sources(rel: Relation, binding: dict[str, str]) -> list[Source]:
     return kept or ordered[:1]
 
 
+def month_range(rel: Relation, cols: Sequence[str | None], where: Sequence) -> tuple[int, int] | None:
+    """Month indexes that tuple conditions on ``yr`` and ``mn`` leave possible (None: no bound on the year)."""
+    bounds = {"yr": [0, 9998], "mn": [1, 12]}
+    names = {v: a for a, v in zip(rel.attrs, cols) if a in bounds and v not in SKIP}
+    for cond in where:
+        if not isinstance(cond, tuple) or len(cond) != 3 or cond[0] not in names:
+            continue
+        values = list(cond[2]) if cond[1] == "in" else [cond[2]]
+        if not values or not all(type(v) is int for v in values):
+            continue
+        span = bounds[names[cond[0]]]
+        if cond[1] in ("=", "in", ">", ">="):
+            span[0] = max(span[0], min(values))
+        if cond[1] in ("=", "in", "<", "<="):
+            span[1] = min(span[1], max(values))
+    if bounds["yr"] == [0, 9998]:
+        return None
+    return bounds["yr"][0] * 12 + bounds["mn"][0] - 1, bounds["yr"][1] * 12 + bounds["mn"][1] - 1
+
+
 def _resolves(df: DataFrame, condition: Column) -> bool:
     try:
         return bool(df.select(condition).columns)
@@ -109,13 +133,22 @@ class Mediator:
             self.tables.setdefault("S1.mv_ml_features",
                                    lambda: read_features(src.spark, features_path, FEATURE_COLUMNS))
             self.tables.setdefault("mlfeatures", None)
+        self._computed: set[str] = set()                   # feature tables that can be computed for some months
         if src is not None:
             for k, v in default_tables(src, year_from, year_to).items():
-                self.tables.setdefault(k, v)
+                if k not in self.tables:
+                    self.tables[k] = v
+                    self._computed |= {k} & FEATURE_TABLES
         self.tables = {k: v for k, v in self.tables.items() if v is not None}
 
-    def relation(self, name: str, cols: Sequence[str | None]) -> DataFrame:
-        """Body atom ``name(cols...)`` unfolded to its sources and joined."""
+    def _table(self, key: str, months: tuple[int, int] | None) -> DataFrame:
+        return self.tables[key](months) if key in self._computed else self.tables[key]()
+
+    def relation(self, name: str, cols: Sequence[str | None], months: tuple[int, int] | None = None) -> DataFrame:
+        """Body atom ``name(cols...)`` unfolded to its sources and joined.
+
+        ``months``: feature tables need only these month indexes (a hint; rows are not filtered by it otherwise).
+        """
         rel = self._get(name)
         if len(cols) != len(rel.attrs):
             raise ValueError(f"wrong number of atoms in {name}: {len(cols)} given, {len(rel.attrs)} expected")
@@ -130,13 +163,13 @@ class Mediator:
             shared = set.intersection(*[{binding[a] for a in s.attrs if a in binding} for s in kept])
             if not shared:
                 raise ValueError("atoms share no variable; a cross product is not evaluated")
-            df = bind(self.tables[rel.fused](), list(cols), list(rel.attrs))
+            df = bind(self._table(rel.fused, months), list(cols), list(rel.attrs))
             for v in sorted(shared):
                 df = df.where(F.col(v).isNotNull())
             return df
         frames = []
         for s in kept:
-            df = self.tables[f"{s.source}.{s.table}"]()
+            df = self._table(f"{s.source}.{s.table}", months)
             frames.append(bind(df, [binding.get(a) for a in s.attrs], list(s.attrs)))
         return natural_join(frames)
 
@@ -174,7 +207,7 @@ class Mediator:
                 if h not in set(by) | {alias}:
                     raise ValueError(f"head attribute {h} is neither a group_by attribute nor the aggregate")
 
-        df = self.relation(name, cols)
+        df = self.relation(name, cols, month_range(rel, cols, where))
         pre, post = [], []
         for c in where:
             if isinstance(c, Column):
@@ -234,9 +267,9 @@ def default_tables(src, year_from: int | None = None, year_to: int | None = None
         "S1.sales_agg_yr": lambda: views.sales_agg_yr(src),
         "S1.sales_agg_yrmn": lambda: views.sales_agg_yrmn(src),
         "S1.reviews_agg_yrmn": lambda: views.reviews_agg_yrmn(src),
-        "S1.mv_ml_features": lambda: features.ml_features(src, *years()),
-        "S2.mlview": lambda: features.mlview(src, *years()),
-        "mlfeatures": lambda: features.ml_features_all(src, *years()),
+        "S1.mv_ml_features": lambda months=None: features.ml_features(src, *years(), months=months),
+        "S2.mlview": lambda months=None: features.mlview(src, *years(), months=months),
+        "mlfeatures": lambda months=None: features.ml_features_all(src, *years(), months=months),
     }
 
 

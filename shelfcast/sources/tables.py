@@ -16,6 +16,7 @@ column pruning and filters reach the scan.
 
 from __future__ import annotations
 
+import copy
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
@@ -151,6 +152,13 @@ class SourceSet:
             self._span = self._span()
         return self._span
 
+    def within(self, start: dt.date, end: dt.date) -> "SourceSet":
+        """The same tables with the calendar span cut to the days ``start`` .. ``end``."""
+        other = copy.copy(self)
+        other._span = CalendarSpan(max(self.span.start, start), min(self.span.end, end))
+        other._cal = None
+        return other
+
     def years(self) -> tuple[int, int]:
         """First and last year of the calendar."""
         if self.calendar_table is None and self.span is not None:

@@ -1,5 +1,7 @@
 """Plan-shape guards: what the queries must never do at scale."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as E
@@ -42,3 +44,27 @@ def test_aggregate_before_product_shuffle(spark):
     qe = E.queries()["salesaggregate"](spark, SMOKE)._jdf.queryExecution()
     plan = qe.executedPlan().toString()
     assert "partial_sum" in plan and plan.index("partial_sum") > 0
+
+
+def test_feature_conditions_reach_the_scans(spark):
+    """One month asked for: orders are read for that month and the 12 before."""
+    plan = _plan(spark, "dec_features")
+    first, after = (re.search(rf"o_orderdate#\d+ {op} (\d{{4}})-(\d\d)", plan) for op in (">=", "<"))
+    months = [int(m[1]) * 12 + int(m[2]) for m in (first, after) if m]
+    assert months[0] % 12 == 0 and (len(months) == 1 or months[1] - months[0] == 13)   # a December; the end may be cut off
+
+
+def test_unused_review_branch_is_left_out(spark):
+    assert "events.parquet" not in _plan(spark, "range_join_rolling")
+
+
+@pytest.mark.parametrize("name", ["category_peak_month", "high_demand_products"])
+def test_rank_winners_read_the_star_once(spark, name):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = E.queries()[name](spark, SMOKE)
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum("FileScan" in x and "l_orderkey" in x for x in final.splitlines()) == 1
