@@ -2,8 +2,8 @@
 
 Each oracle statement is ``WITH <bindings> <query>``: the bindings turn the
 driver's test tables into the store tables with the same rules as
-``SourceSet.load``; the query is written independently from the Spark code,
-following the source view definitions (correlated subqueries included).
+``SourceSet.load``; the query is written independently from the Spark code:
+rolling measures are range joins over monthly totals, numbered by month.
 Decimal outputs are cast to double; rounded means use integer arithmetic so
 that rounding is exact (half away from zero).
 """
@@ -66,21 +66,32 @@ from (select cast(p_size as bigint) as nodeid, min_by(p_type, p_partkey) as l1,
       from part group by p_size) t""",
 }
 
-# sales view of the source schema, on the bound tables
+# order lines with everything that hangs on them; the calendar is added by ``sales``
+BINDINGS["line_star"] = """
+select lines.* exclude (orderid), ord.*, prod.* exclude (productid), cust.householdid, cust.gender,
+  camp.channel as campaignchannel, camp.discount as campaigndiscount,
+  camp.freeshppingflag as campaignfreeshippingflag
+from orderlines lines
+  join products prod using (productid)
+  join bk_orders ord using (orderid)
+  left join campaigns camp using (campaignid)
+  left join customers cust using (customerid)"""
+
 BINDINGS["sales"] = """
-select o.orderid, o.orderdate, cl.month, cl.year, cl.season, cl.holidayseason, o.customerid,
-  c.householdid, c.gender, o.city, o.state, o.zipcode, ol.productid, p.asin,
-  cast(p.nodeid as bigint) as nodeid, p.isinstock, p.fullprice, ol.unitprice, ol.numunits,
-  ol.totalprice, o.campaignid, cp.channel as campaignchannel, cp.discount as campaigndiscount,
-  cp.freeshppingflag as campaignfreeshippingflag
-from bk_orders o join orderlines ol on o.orderid = ol.orderid
-  join products p on ol.productid = p.productid
-  left join customers c on o.customerid = c.customerid
-  left join campaigns cp on o.campaignid = cp.campaignid
-  join calendar cl on o.orderdate = cl.date"""
+select star.* replace (cast(star.nodeid as bigint) as nodeid), day.year, day.month, day.season, day.holidayseason
+from line_star star join calendar day on day.date = star.orderdate"""
+
+# every review with its product's node (null if the product is unknown) and its month
+BINDINGS["node_reviews"] = """
+select rv.reviewid, rv.asin, rv.overall, rv.sentiment, prod.productid is not null as known,
+  cast(prod.nodeid as bigint) as nodeid, day.year, day.month, day.season
+from calendar day join reviews rv on rv.reviewtime = day.date left join products prod using (asin)"""
+
+BINDINGS["month_days"] = """
+select distinct year, month, cast(day(last_day(date)) as int) as tot_days_in_month from calendar"""
 
 _ORDER = ["products", "customers", "bk_orders", "orderlines", "campaigns", "reviews", "calendar",
-          "reviewtext", "classification", "sales"]
+          "reviewtext", "classification", "line_star", "sales", "node_reviews", "month_days"]
 
 
 def with_bindings(body: str, extra: dict[str, str] | None = None) -> str:
@@ -107,79 +118,70 @@ def round_ratio(total: str, count: str, in_scale: int, out_scale: int) -> str:
     return f"(case when ({count}) > 0 then cast(sign({s}) * {k} as double) / {10 ** out_scale} end)"
 
 
-def _shift_key(months: int) -> str:
-    d = f"(date_trunc('month', c.date) - interval {months} month)"
-    return f"cast(year({d}) * 100 + month({d}) as int)"
+def _key_of(month_no: str) -> str:
+    """yyyymm of a month number (year * 12 + month - 1)."""
+    return f"cast(({month_no}) // 12 * 100 + ({month_no}) % 12 + 1 as int)"
 
 
-def baseline_sql(year_from: int, year_to: int) -> str:
-    """Distinct products.nodeid x calendar days in the year range (source baseline)."""
-    d1 = "(date_trunc('month', c.date) - interval 1 month)"
+def _grid(year_from: int, year_to: int) -> str:
+    """Every node of the products (null too) in every month of the years, with its month number ``m``."""
     return f"""
-select distinct cast(p.nodeid as bigint) as nodeid, c.year, c.month, c.monthabbr,
-  cast(c.year * 100 + c.month as int) as yyyymm, c.season, c.holidayseason,
-  cast(month({d1}) as int) as pm, cast(year({d1}) as int) as pmy,
-  {_shift_key(3)} as p3myyyymm, {_shift_key(12)} as p12myyyymm
-from (select distinct nodeid from products) p cross join calendar c
-where c.year >= {year_from} and c.year <= {year_to}"""
-
+select nodes.nodeid, months.* from (
+  select year, month, year * 12 + month - 1 as m, min(monthabbr) as monthabbr, min(season) as season,
+    min(holidayseason) as holidayseason
+  from calendar where year between {year_from} and {year_to} group by year, month) months,
+  (select cast(nodeid as bigint) as nodeid from products group by 1) nodes"""
 
-def _sales_window(measure: str, lo: str) -> str:
-    return (f"(select sum(s.{measure}) from salesaggregate s "
-            f"where s.year * 100 + s.month >= b.{lo} and s.year * 100 + s.month < b.yyyymm "
-            f"and s.nodeid = b.nodeid)")
 
-
-def _review_window(select: str, lo: str) -> str:
-    return (f"(select {select} from reviews r join products p on p.asin = r.asin "
-            f"join calendar c on c.date = r.reviewtime "
-            f"where b.nodeid = coalesce(cast(p.nodeid as bigint), 0) "
-            f"and c.year * 100 + c.month >= b.{lo} and c.year * 100 + c.month < b.yyyymm)")
+def baseline_sql(year_from: int, year_to: int) -> str:
+    """The grid with its shifted keys."""
+    return f"""
+select nodeid, year, month, monthabbr, {_key_of('m')} as yyyymm, season, holidayseason,
+  cast((m - 1) % 12 + 1 as int) as pm, cast((m - 1) // 12 as int) as pmy,
+  {_key_of('m - 3')} as p3myyyymm, {_key_of('m - 12')} as p12myyyymm
+from ({_grid(year_from, year_to)}) grid"""
 
 
 def features_ctes(year_from: int, year_to: int) -> dict[str, str]:
-    """CTEs ``salesaggregate``, ``baseline``, ``rev``, ``ml_features``, ``mlview`` (source view shapes)."""
-    rating = round_mean("r.overall", 0, 2)
-    sent = round_mean("r.sentiment", 2, 2)
-    ml = f"""
-select b.nodeid, b.year as yr, b.month as mn,
-  cast(coalesce(curr.total_sales_price, 0) as double) as sales,
-  cast(coalesce(curr.total_sales_volume, 0) as bigint) as vol,
-  cast(coalesce(prev.total_sales_price, 0) as double) as pm_sales,
-  cast(coalesce(prev.total_sales_volume, 0) as bigint) as pm_vol,
-  cast(coalesce({_sales_window('total_sales_price', 'p3myyyymm')}, 0) as double) as p3m_sales,
-  cast(coalesce({_sales_window('total_sales_volume', 'p3myyyymm')}, 0) as bigint) as p3m_vol,
-  cast(coalesce({_sales_window('total_sales_price', 'p12myyyymm')}, 0) as double) as p12m_sales,
-  cast(coalesce({_sales_window('total_sales_volume', 'p12myyyymm')}, 0) as bigint) as p12m_vol,
-  cast(coalesce(rev.numreviews, 0) as bigint) as pm_numreviews,
-  coalesce(rev.avgrating, 0) as pm_avgrating,
-  cast(coalesce({_review_window('count(r.reviewid)', 'p3myyyymm')}, 0) as bigint) as p3m_numreviews,
-  coalesce({_review_window(rating, 'p3myyyymm')}, 0) as p3m_avgrating,
-  cast(coalesce({_review_window('count(r.reviewid)', 'p12myyyymm')}, 0) as bigint) as p12m_numreviews,
-  coalesce({_review_window(rating, 'p12myyyymm')}, 0) as p12m_avgrating
-from baseline b
-  left join salesaggregate curr on b.nodeid = curr.nodeid and b.month = curr.month and b.year = curr.year
-  left join salesaggregate prev on b.nodeid = prev.nodeid and b.pm = prev.month and b.pmy = prev.year
-  left join rev on b.nodeid = rev.nodeid and b.pm = rev.month and b.pmy = rev.year"""
-    mlview = f"""
-select b.nodeid, b.year as yr, b.month as mn,
-  coalesce(rev.avgsntp, 0) as pm_avgsntp,
-  coalesce({_review_window(sent, 'p3myyyymm')}, 0) as p3m_avgsntp,
-  coalesce({_review_window(sent, 'p12myyyymm')}, 0) as p12m_avgsntp
-from baseline b
-  left join rev on b.nodeid = rev.nodeid and b.pm = rev.month and b.pmy = rev.year"""
+    """CTEs up to ``ml_features`` and ``mlview``: monthly totals, then one range join of 12 months back to the grid."""
+    ages = {"pm": "age = 1", "p3m": "age between 1 and 3", "p12m": "age between 1 and 12"}
+
+    def total(column: str, ask: str) -> str:
+        return f"sum({column}) filter (where {ask})"
+
+    sold = [f"coalesce({total('price', ask)}, 0)::double as {name}sales, coalesce({total('units', ask)}, 0)::bigint as {name}vol"
+            for name, ask in [("", "age = 0"), *[(f"{k}_", ask) for k, ask in ages.items()]]]
+    # unknown products belong to node 0 in the previous month only
+    told = []
+    for k, ask in ages.items():
+        ask = ask if k == "pm" else f"known and {ask}"
+        told += [f"coalesce({total('n', ask)}, 0)::bigint as {k}_numreviews",
+                 f"coalesce({round_ratio(total('stars', ask), total('n_stars', ask), 0, 2)}, 0) as {k}_avgrating",
+                 f"coalesce({round_ratio(total('mood', ask), total('n_mood', ask), 2, 2)}, 0) as {k}_avgsntp"]
+
+    def measured(columns: list[str], facts: str, youngest: int) -> str:
+        return f"""
+select g.nodeid, g.m, {', '.join(columns)}
+from (select grid.nodeid, grid.m, grid.m - f.m as age, f.* exclude (nodeid, m)
+      from grid left join {facts} f on f.nodeid = grid.nodeid and f.m between grid.m - 12 and grid.m - {youngest}) g
+group by g.nodeid, g.m"""
+
     return {
-        "salesaggregate": """
-select nodeid, month, year, season, sum(numunits) as total_sales_volume, sum(totalprice) as total_sales_price
-from sales group by nodeid, month, year, season""",
-        "baseline": baseline_sql(year_from, year_to),
-        "rev": f"""
-select coalesce(cast(p.nodeid as bigint), 0) as nodeid, c.month, c.year, count(r.reviewid) as numreviews,
-  {rating} as avgrating, {sent} as avgsntp
-from reviews r left join products p on p.asin = r.asin join calendar c on c.date = r.reviewtime
-group by coalesce(cast(p.nodeid as bigint), 0), c.month, c.year""",
-        "ml_features": ml,
-        "mlview": mlview,
+        "grid": _grid(year_from, year_to),
+        "sold": """
+select nodeid, year * 12 + month - 1 as m, sum(totalprice) as price, sum(numunits) as units from sales group by 1, 2""",
+        "told": """
+select coalesce(nodeid, 0) as nodeid, year * 12 + month - 1 as m, known, count(reviewid) as n,
+  sum(overall) as stars, count(overall) as n_stars, sum(sentiment) as mood, count(sentiment) as n_mood
+from node_reviews group by 1, 2, 3""",
+        "sold_measures": measured(sold, "sold", 0),
+        "told_measures": measured(told, "told", 1),
+        "measures": """
+select grid.year as yr, grid.month as mn, a.*, b.* exclude (nodeid, m)
+from sold_measures a join told_measures b on a.m = b.m and a.nodeid is not distinct from b.nodeid
+  join grid on grid.m = a.m and grid.nodeid is not distinct from a.nodeid""",
+        "ml_features": f"select {FEATURE_COLS} from measures",
+        "mlview": "select nodeid, yr, mn, pm_avgsntp, p3m_avgsntp, p12m_avgsntp from measures",
     }
 
 
@@ -189,5 +191,4 @@ FEATURE_COLS = ("nodeid, yr, mn, sales, vol, pm_sales, pm_vol, p3m_sales, p3m_vo
 
 def mlfeatures_cte() -> str:
     """S1 natural-join S2 on (nodeid, yr, mn): the 20-attribute relation."""
-    return ("select f.*, v.pm_avgsntp, v.p3m_avgsntp, v.p12m_avgsntp from ml_features f "
-            "join mlview v on f.nodeid = v.nodeid and f.yr = v.yr and f.mn = v.mn")
+    return "select * from ml_features join mlview using (nodeid, yr, mn)"
