@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-# Multiplicative hashing constants (Knuth): key -> 32-bit value.
-_GOLDEN = 2654435761
-_M31 = 2 ** 31
-_M32 = 2 ** 32
+
+def _estimated_distinct(col: Column) -> Column:
+    """HyperLogLog estimate (about 1 % off); the sketch skips empty strings, hence the letter before each value."""
+    return F.hll_sketch_estimate(F.hll_sketch_agg(F.concat(F.lit("v"), col.cast("string")), 14))
 
 
 def profile_table(df: DataFrame, exact_distinct: bool = False, digits: int = 6) -> DataFrame:
@@ -27,7 +28,7 @@ def profile_table(df: DataFrame, exact_distinct: bool = False, digits: int = 6)
     for i, c in enumerate(df.columns):
         col = F.col(c)
         aggs += [F.count(col).alias(f"n{i}"),
-                 (F.count_distinct(col) if exact_distinct else F.approx_count_distinct(col, 0.01)).alias(f"d{i}"),
+                 (F.count_distinct(col) if exact_distinct else _estimated_distinct(col)).alias(f"d{i}"),
                  F.min(col).cast("string").alias(f"lo{i}"), F.max(col).cast("string").alias(f"hi{i}")]
         if c in numeric:
             x = col.cast("double")
@@ -64,10 +65,40 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
                           (lo + F.col("bucket") * width).alias("hi_edge"), "n")
 
 
+def profile_sources(tables: Mapping[str, DataFrame], digits: int = 6) -> DataFrame:
+    """L5 for several tables: ``profile_table`` with a leading ``source``; one pass per table, HLL distinct counts."""
+    parts = [profile_table(df, digits=digits).select(F.lit(name).alias("source"), "*") for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def histogram_numeric(df: DataFrame, bins: int) -> DataFrame:
+    """L6 for every numeric column: ``column`` and the columns of ``histogram``.
+
+    One pass for all bounds and one for all counts; each row becomes one
+    (column, value) pair per numeric column, which is counted before the shuffle.
+    """
+    names = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
+    if not names:
+        raise ValueError("the table has no numeric column")
+    bounds = df.select(F.struct(*[F.struct(F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi"))
+                                  .alias(f"b{i}") for i, c in enumerate(names)]).alias("b")).scalar()
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x"),
+                               F.col(f"_bounds.b{i}.lo").alias("lo"), F.col(f"_bounds.b{i}.hi").alias("hi"))
+                      for i, c in enumerate(names)])
+    x = df.select(*names, bounds.alias("_bounds")).select(F.inline(cells)).where(F.col("x").isNotNull())
+    lo, hi = F.col("lo"), F.col("hi")
+    raw = F.when(hi == lo, F.lit(1)).otherwise(F.floor((F.col("x") - lo) * bins / (hi - lo)) + 1)
+    counted = x.groupBy("column", "lo", "hi", F.least(raw.cast("int"), F.lit(bins)).alias("bucket")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+    width = (hi - lo) / bins
+    return counted.select("column", "bucket", (lo + (F.col("bucket") - 1) * width).alias("lo_edge"),
+                          (lo + F.col("bucket") * width).alias("hi_edge"), "n")
+
+
 def hash_unit(key) -> Column:
-    """Key -> pseudo-random value in [0, 1), the same on every run and engine."""
+    """Key -> pseudo-random value in [0, 1) of all its digits, the same on every run and engine."""
     k = F.col(key) if isinstance(key, str) else key
-    return F.pmod(F.pmod(k.cast("bigint"), F.lit(_M31)) * F.lit(_GOLDEN), F.lit(_M32)) / F.lit(float(_M32))
+    return F.conv(F.substring(F.md5(k.cast("bigint").cast("string")), 1, 8), 16, 10).cast("bigint") / F.lit(float(2 ** 32))
 
 
 def sample_stratified(df: DataFrame, key: str, strata_col: str | None,

@@ -33,6 +33,7 @@ from ..sources.tables import SourceSet
 from .views import asin_month_reviews, node_month_sales
 
 FRAMES = {"": (0, 0), "pm_": (-1, -1), "p3m_": (-3, -1), "p12m_": (-12, -1)}
+# Names and order of the feature columns.
 FEATURE_COLUMNS = ("nodeid", "yr", "mn", "sales", "vol", "pm_sales", "pm_vol", "p3m_sales", "p3m_vol",
                    "p12m_sales", "p12m_vol", "pm_numreviews", "pm_avgrating", "p3m_numreviews",
                    "p3m_avgrating", "p12m_numreviews", "p12m_avgrating")

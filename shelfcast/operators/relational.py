@@ -20,7 +20,7 @@ def bind(df: DataFrame, variables: Sequence[str | None], columns: Sequence[str]
     """Select ``columns`` (default: all, in order) renamed to ``variables``; drop ``_``."""
     columns = list(columns or df.columns)
     if len(columns) != len(variables):
-        raise ValueError(f"wrong number of atoms: {len(variables)} given, {len(columns)} expected")
+        raise ValueError(f"the table has {len(columns)} columns, {len(variables)} variables given")
     first: dict[str, str] = {}
     eq: list[Column] = []
     for col, var in zip(columns, variables):

@@ -17,6 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.features import FEATURE_COLUMNS, SENTIMENT_COLUMNS
 from ..functions.conditions import condition_attr, conjunction
 from ..operators.relational import SKIP, bind, group_by_op, natural_join, order_by_op, top_n_op
 
@@ -45,8 +46,7 @@ def _rel(name, attrs, *sources, fused=None):
 
 # The six mediated relations, their attribute order and source
 # mappings, as the reference's mapping file defines them.
-_FEATURES = ("nodeid yr mn sales vol pm_sales pm_vol p3m_sales p3m_vol p12m_sales p12m_vol "
-             "pm_numreviews pm_avgrating p3m_numreviews p3m_avgrating p12m_numreviews p12m_avgrating")
+_FEATURES = " ".join(FEATURE_COLUMNS)
 RELATIONS: dict[str, Relation] = {r.name: r for r in (
     _rel("classification", "nodeid classification level0 level1 level2 level3 level4 level5",
          ("S2", "ClassificationInfo", None, None)),
@@ -58,9 +58,9 @@ RELATIONS: dict[str, Relation] = {r.name: r for r in (
          ("S1", "sales_agg_yrmn", None, None)),
     _rel("reviews_agg_yrmn", "nodeid yr mn numreviews avgrating",
          ("S1", "reviews_agg_yrmn", None, None)),
-    _rel("mlfeatures", _FEATURES + " pm_avgsntp p3m_avgsntp p12m_avgsntp",
+    _rel("mlfeatures", " ".join((*FEATURE_COLUMNS, *SENTIMENT_COLUMNS[3:])),
          ("S1", "mv_ml_features", _FEATURES, "nodeid"),
-         ("S2", "mlview", "nodeid yr mn pm_avgsntp p3m_avgsntp p12m_avgsntp", "nodeid"),
+         ("S2", "mlview", " ".join(SENTIMENT_COLUMNS), "nodeid"),
          fused="mlfeatures"),
 )}
 
@@ -128,7 +128,6 @@ class Mediator:
         self.tables = dict(tables or {})
         self._given = frozenset(self.tables)
         if features_path is not None and src is not None:
-            from ..operators.features import FEATURE_COLUMNS
             from ..sources.sinks import read_features
             self.tables.setdefault("S1.mv_ml_features",
                                    lambda: read_features(src.spark, features_path, FEATURE_COLUMNS))
@@ -151,7 +150,7 @@ class Mediator:
         """
         rel = self._get(name)
         if len(cols) != len(rel.attrs):
-            raise ValueError(f"wrong number of atoms in {name}: {len(cols)} given, {len(rel.attrs)} expected")
+            raise ValueError(f"{name} takes {len(rel.attrs)} attributes, {len(cols)} given")
         binding = {a: v for a, v in zip(rel.attrs, cols) if v not in SKIP}
         kept = used_sources(rel, binding)
         own = any(f"{s.source}.{s.table}" in self._given for s in kept)
@@ -185,7 +184,7 @@ class Mediator:
         """
         rel = self._get(name)
         if len(cols) != len(rel.attrs):
-            raise ValueError(f"wrong number of atoms in {name}: {len(cols)} given, {len(rel.attrs)} expected")
+            raise ValueError(f"{name} takes {len(rel.attrs)} attributes, {len(cols)} given")
         body = {v for v in cols if v not in SKIP}
         alias = group_by[1] if group_by else None
         known = body | ({alias} if alias else set())

@@ -45,6 +45,13 @@ def check_predictions(df: DataFrame) -> None:
 
 
 def write_predictions(df: DataFrame, path: str) -> None:
-    """A5: checked write of (demandid, nodeid, month, year, season, predictedsales)."""
-    check_predictions(df)
-    df.select(*PREDICTION_COLUMNS).write.mode("errorifexists").parquet(path)
+    """A5: (demandid, nodeid, month, year, season, predictedsales), written once and checked as written.
+
+    A table that fails the check is left at ``path`` for inspection and the error is raised.
+    """
+    missing = [c for c in PREDICTION_COLUMNS if c not in df.columns]
+    if missing:
+        raise ValueError(f"prediction table lacks columns {missing}")
+    rows = df.select(*PREDICTION_COLUMNS)
+    rows.write.mode("errorifexists").parquet(path)
+    check_predictions(df.sparkSession.read.schema(rows.schema).parquet(path))

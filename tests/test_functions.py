@@ -71,6 +71,26 @@ def test_sample_is_reproducible_and_nested(spark):
     assert small.exceptAll(big).count() == 0
 
 
+def test_profile_estimates_distinct_values(spark):
+    df = spark.range(20000).select((F.col("id") % 5000).alias("a"), F.lit("").alias("b"), F.lit(None).cast("int").alias("c"))
+    got = {(r["source"], r["column"]): r.n_distinct for r in explore.profile_sources({"t": df}).collect()}
+    assert abs(got["t", "a"] - 5000) < 200 and got["t", "b"] == 1 and got["t", "c"] == 0
+
+
+def test_samples_reach_beyond_32_bits(spark):
+    df = spark.range(2000).select((F.col("id") + 2 ** 33).alias("k"), F.col("id").alias("j"))
+    far = explore.sample_stratified(df, "k", None, 0.3).select("j")
+    near = explore.sample_stratified(df, "j", None, 0.3).select("j")
+    assert 400 < far.count() < 800 and far.intersect(near).count() < 300
+
+
+def test_histograms_of_all_numeric_columns_equal_one_by_one(spark):
+    df = spark.range(100).select(F.col("id").alias("a"), (F.col("id") * F.col("id")).alias("b"), F.lit(1.5).alias("c"),
+                                 F.lit("x").alias("d"), F.lit(None).cast("int").alias("e"))
+    many = {tuple(r) for r in explore.histogram_numeric(df, 7).collect()}
+    assert many == {(c, *r) for c in "abce" for r in explore.histogram(df, c, 7).collect()}
+
+
 def test_profile_single_pass(spark):
     df = spark.createDataFrame([(1, "a"), (2, None), (2, "b")], "x int, y string")
     rows = {r.column: r for r in explore.profile_table(df, exact_distinct=True).collect()}
