@@ -41,8 +41,9 @@ SAMPLE_ROWS = 6_000
 MIN_SHARE, MIN_PRECISION, MAX_TERMS = 0.008, 0.9, 600
 #: stems: uses per toxic document at least, times as frequent as in clean documents at least, number
 STEM_SHARE, STEM_LIFT, MAX_STEMS = 0.03, 5.0, 60
-#: only terms of this weight (log odds) also match misspelled
-FUZZY_WEIGHT = 4.5
+#: only words of this weight also match misspelled; a word's weight is the log of its share of toxic documents over its
+#: share of clean ones, the latter raised by CLEAN_SHARE, so neither depends on the number of labelled rows
+FUZZY_WEIGHT, CLEAN_SHARE = 1.4, 0.001
 STEMS = (4, 5, 6, 7)
 #: words near to a term that clean documents use (no misspellings), at most; the most frequent come first
 MAX_EXCEPTIONS = 20_000
@@ -239,11 +240,14 @@ def learn_lexicon(sample: DataFrame) -> tuple[list[tuple[str, bool, float]], lis
     listed = cut(sample.dropDuplicates(["text"]).select("y", words.alias("words")))
     counted = cut(listed.select("y", F.explode(F.concat("words", *[_stems(k) for k in STEMS])).alias("term"))
                   .groupBy("term").agg(F.sum("y").cast("double").alias("t"), F.count("*").cast("double").alias("n")))
-    used = {r["y"]: float(r["n"] or 0) for r in listed.groupBy("y").agg(F.sum(F.size("words")).alias("n")).collect()}
+    sums = listed.groupBy("y").agg(F.count("*").alias("texts"), F.sum(F.size("words")).alias("n")).collect()
+    used, texts = {r["y"]: float(r["n"] or 0) for r in sums}, {r["y"]: r["texts"] for r in sums}
     is_stem, t, c = F.col("term").endswith("*"), F.col("t"), F.col("n") - F.col("t")
     pure = ~is_stem & (t >= max(3.0, MIN_SHARE * n_toxic)) & (t / F.col("n") >= MIN_PRECISION) & (F.length("term") >= 3)
     rows = counted.filter(pure).orderBy(F.desc("t"), "term").limit(MAX_TERMS).collect()     # bounded reports
-    terms = [(r["term"], False, float(np.log(r["t"] / (r["n"] - r["t"] + 0.5)))) for r in rows]
+    terms = [(r["term"], False, float(np.log(r["t"] / texts.get(1, n_toxic)
+                                             / ((r["n"] - r["t"]) / max(texts.get(0, 0), 1) + CLEAN_SHARE))))
+             for r in rows]
     lift = (t / max(used.get(1, 1.0), 1.0)) / ((c + 0.5) / max(used.get(0, 1.0), 1.0))
     frequent = is_stem & (t >= max(5.0, STEM_SHARE * n_toxic)) & (lift >= STEM_LIFT)
     rows = (counted.filter(frequent).select("term", "t", F.log(lift).alias("w"))

@@ -458,6 +458,21 @@ def test_fuzzy_lexicon_by_brute_force():
         assert (got[0] if got else None) == (min(errors) if errors else None), w
 
 
+@pytest.mark.parametrize("size", ["sf0.01", "sf0.1"])
+def test_learned_words_are_found_misspelled(spark, size):
+    docs = read_table(spark, f"/root/testdata/{size}", "documents").select("doc_id", "text").filter("length(text) < 4000")
+    model = toxicity.fit(docs, read_table(spark, f"/root/testdata/{size}", "labels"))
+    lexicon = toxicity.FuzzyLexicon(model["terms"], model["exceptions"])
+    words = [w for w, is_stem, _ in model["terms"] if not is_stem and len(w) > toxicity.EXACT_LENGTH]
+    spelled = {w: [w[:2] + w[3:], w[:2] + "x" + w[3:], w[:2] + "x" + w[2:]] for w in words}
+    found = [w for w in words if any(lexicon.match(x) and lexicon.match(x)[0] == 1 for x in spelled[w])]
+    assert words and len(found) >= 0.9 * len(words)
+    word = found[0]
+    bad = next(x for x in spelled[word] if (lexicon.match(x) or (0,))[0] == 1)
+    plain, wrong = toxicity.features(lexicon, "and so on"), toxicity.features(lexicon, f"and so {bad} on")
+    assert wrong[0] > plain[0]
+
+
 def test_quotation_weighs_less():
     lexicon = toxicity.FuzzyLexicon([("idiot", False, 5.0)])
     abuse = toxicity.features(lexicon, "you are an idiot and nothing more than that here")
