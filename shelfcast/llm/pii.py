@@ -238,20 +238,28 @@ def train(classes: np.ndarray, tags: np.ndarray, updates: int = UPDATES, batch:
     return model
 
 
-def decode_windows(model, classes: np.ndarray) -> np.ndarray:
-    """Tags of windows given as (time, window); exact Viterbi wherever a span is possible at all."""
+def decode_windows(model, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tags of windows given as (time, window), exact Viterbi wherever a span is possible at all; and by how much the
+    score of each tag exceeds that of ``outside``."""
     scores = emissions(model, classes)
     trans = model["trans"]
     slack = 2 * max(0.0, float(trans.max() - trans[0, 0]))
     possible = np.flatnonzero((scores[:, 1:].max(axis=1) - scores[:, 0]).max(axis=0) >= -slack)
-    out = np.zeros(classes.shape, np.int8)
+    out, lead = np.zeros(classes.shape, np.int8), np.zeros(classes.shape, np.float32)
     if len(possible):
-        out[:, possible] = viterbi(scores[:, :, possible], trans)
-    return out
+        some = scores[:, :, possible]
+        out[:, possible] = found = viterbi(some, trans)
+        lead[:, possible] = np.take_along_axis(some, found[:, None, :].astype(np.int64), axis=1)[:, 0] - some[:, 0]
+    return out, lead
 
 
 def tag_texts(model, texts: list[str]) -> list[np.ndarray]:
     """Tags of every character of every text."""
+    return [tags for tags, _ in tags_and_leads(model, texts)]
+
+
+def tags_and_leads(model, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Tags of every character of every text, and by how much their scores exceed those of ``outside``."""
     sizes = [-(-(len(t) + EDGE) // CORE) for t in texts]              # windows; at least EDGE padding after each text
     whole = np.zeros(EDGE + sum(sizes) * CORE + EDGE, dtype=np.int64)
     at = EDGE
@@ -261,24 +269,30 @@ def tag_texts(model, texts: list[str]) -> list[np.ndarray]:
         places.append(at)
         at += windows * CORE
     count = sum(sizes)
-    tags = np.zeros(len(whole), np.int8)
+    tags, leads = np.zeros(len(whole), np.int8), np.zeros(len(whole), np.float32)
     for first in range(0, count, WINDOWS_AT_ONCE):
         n = min(WINDOWS_AT_ONCE, count - first)
         view = np.lib.stride_tricks.as_strided(whole[first * CORE:], (WINDOW, n), (whole.itemsize, CORE * whole.itemsize))
-        found = decode_windows(model, np.ascontiguousarray(view))
+        found, lead = decode_windows(model, np.ascontiguousarray(view))
         tags[EDGE + first * CORE:EDGE + (first + n) * CORE] = found[EDGE:EDGE + CORE].T.ravel()
-    return [tags[p:p + len(t)] for p, t in zip(places, texts, strict=True)]
+        leads[EDGE + first * CORE:EDGE + (first + n) * CORE] = lead[EDGE:EDGE + CORE].T.ravel()
+    return [(tags[p:p + len(t)], leads[p:p + len(t)]) for p, t in zip(places, texts, strict=True)]
 
 
 _AT = re.compile(r"@|[\[(]at[\])]|\x20at\x20", re.I)
 
 
-#: a phone without country code, in separated groups
+#: a phone without country code, in separated groups of North America: taken at any score
 _GROUPED = re.compile(r"(\+?[0-9]{1,3}[\x20.-])?(\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}")
 
 
-def _plausible(kind: int, piece: str) -> bool:
-    """Exact check of an added span."""
+#: any other number: only characters of phones, 7 to 15 digits, and this mean lead over ``outside`` of the tagged run
+_NUMBER = re.compile(r"[+(]?[0-9][0-9\x20().\-/]*")
+PHONE_DIGITS, PHONE_LEAD = (7, 15), 1.0
+
+
+def _plausible(kind: int, piece: str, lead: float) -> bool:
+    """Check of an added span whose tags lead ``outside`` by so much."""
     digits = sum(c in "0123456789" for c in piece)
     if kind == 0:
         return len(piece) >= 6 and bool(_AT.search(piece)) and sum(c.isalnum() for c in piece) >= 5
@@ -286,24 +300,35 @@ def _plausible(kind: int, piece: str) -> bool:
         return 4 <= digits <= 12 and piece.count(".") == 3 and all(p.isdigit() and int(p) <= 255 for p in piece.split("."))
     if kind == 2:
         return 12 <= digits <= 19 and luhn("".join(c for c in piece if c in "0123456789"))
-    return bool(_GROUPED.fullmatch(piece))
+    loose = _NUMBER.fullmatch(piece) and PHONE_DIGITS[0] <= digits <= PHONE_DIGITS[1] and lead >= PHONE_LEAD
+    return bool(loose or _GROUPED.fullmatch(piece))
 
 
-def added_spans(text: str, tags: np.ndarray, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+def added_spans(text: str, tags: np.ndarray, leads: np.ndarray,
+                base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Spans of equal tags over the whole text, trimmed and checked, that touch no base span."""
     if not tags.any():
         return []
-    edges = np.flatnonzero(np.diff(np.concatenate(([0], tags, [0]))))
+    runs = np.where(tags == 2, 4, tags)                    # numbers with dots: ip and phone tags are one run
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], runs, [0]))))
     out = []
     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-        kind = int(tags[a]) - 1
+        kind = int(runs[a]) - 1
         if kind < 0:
             continue
+        lead, dotted = float(leads[a:b].mean()), bool((tags[a:b] == 2).any())
         while a < b and text[a] in " .,;:\n\"'-":
             a += 1
         while b > a and text[b - 1] in " .,;:(\n\"'-":
             b -= 1
-        if b > a and all(b <= s or a >= e for s, _, e in base) and _plausible(kind, text[a:b]):
+        if kind == 3 and b > a:                            # a phone holds whole numbers
+            while a and text[a] in "0123456789" and text[a - 1] in "0123456789":
+                a -= 1
+            while b < len(text) and text[b - 1] in "0123456789" and text[b] in "0123456789":
+                b += 1
+            if dotted and _plausible(1, text[a:b], lead):
+                kind = 1
+        if b > a and all(b <= s or a >= e for s, _, e in base) and _plausible(kind, text[a:b], lead):
             out.append((a, kind, b))
     return out
 
@@ -319,9 +344,9 @@ def scan(model, texts: list[str | None]) -> list[tuple[list, list]]:
     for i, t in enumerate(texts):
         size += len(t)
         if size >= 400_000 or i == len(texts) - 1:
-            tagged = tag_texts(model, texts[block:i + 1])
-            for text, tags, base in zip(texts[block:i + 1], tagged, bases[block:i + 1], strict=True):
-                out.append((base, sorted(base + added_spans(text, tags, base))))
+            tagged = tags_and_leads(model, texts[block:i + 1])
+            for text, (tags, leads), base in zip(texts[block:i + 1], tagged, bases[block:i + 1], strict=True):
+                out.append((base, sorted(base + added_spans(text, tags, leads, base))))
             block, size = i + 1, 0
     return out
 
@@ -340,12 +365,28 @@ def _variant(rng, kind: int, piece: str) -> str:
     return piece
 
 
+#: national numbers: digits as 9, other signs as they are (France, Germany, Spain, Britain, unseparated, local)
+_NATIONAL = ("09 99 99 99 99", "09.99.99.99.99", "09-99-99-99-99", "0999999999", "099 999999", "0999-9999999",
+             "0999/9999999", "0999 999 99 99", "(0999) 999999", "099 9999 9999", "999 999 999", "99 999 99 99",
+             "999999999", "9999999999", "999-9999", "999 99 99 99")
+
+
+def _national(rng, piece: str) -> str:
+    """The digits of a phone in the grouping of some country."""
+    digits = [c for c in piece if c in "0123456789"]
+    form = _NATIONAL[rng.integers(len(_NATIONAL))]
+    left = digits[-form.count("9"):]
+    return "".join(left.pop(0) if c == "9" and left else c for c in form)
+
+
 def training_windows(text: str, rng) -> list[tuple[str, list[tuple[int, int, int]]]]:
-    """Pieces of WINDOW characters at most: around up to 3 spans (as found and as a variant), and one anywhere."""
+    """Pieces of WINDOW characters at most: around up to 3 spans (as found and as variants), and one anywhere."""
     spans, out = base_spans(text), []
     for a, kind, b in spans[:3]:
-        for change in (False, True):
-            piece = _variant(rng, kind, text[a:b]) if change else text[a:b]
+        pieces = [text[a:b], _variant(rng, kind, text[a:b])]
+        if kind == 3:
+            pieces += [_national(rng, text[a:b]) for _ in range(2)]
+        for change, piece in enumerate(pieces):
             if (change and piece == text[a:b]) or len(piece) > WINDOW - 8:
                 continue
             left = int(rng.integers(4, max(5, WINDOW - len(piece) - 3)))

@@ -303,6 +303,21 @@ def test_pii_model_held_out(spark):
     assert any(parts[a:b] == "212-555-0199" for a, _, b in spans)
 
 
+def test_pii_model_finds_national_numbers_held_out(spark):
+    docs = read_table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")
+    model = pii.fit(docs.filter("doc_id % 3 <> 1"))
+    sample = [r["text"] for r in docs.filter("doc_id % 3 = 1 and length(text) < 4000").collect()]
+    phones = [(t, a, b) for t in sample for a, k, b in pii.base_spans(t) if k == 3]
+    numbers = ["01 42 68 53 00", "030 901820", "0171-1234567", "0171/1234567", "612 345 678", "2125550199"]
+    found = 0
+    for text, a, b in phones:
+        for number in numbers:
+            left = text[max(0, a - 200):a]
+            spans = pii.scan(model, [left + number + text[b:b + 200]])[0][1]
+            found += any(s <= len(left) and e >= len(left) + len(number) for s, _, e in spans)
+    assert phones and found >= 0.7 * len(phones) * len(numbers)
+
+
 def test_pii_gradient():
     rng = np.random.default_rng(0)
     scores, trans = rng.normal(size=(6, 5, 3)), rng.normal(size=(5, 5))
