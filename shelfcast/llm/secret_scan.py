@@ -40,6 +40,9 @@ _KEY = re.compile(r"password|passwd|secret|token|api_?key", re.IGNORECASE | re.A
 
 #: documents that give training windows, windows at most, tokens of a window, rounds of training
 SAMPLE_DOCS, SAMPLE_WINDOWS, WINDOW, ROUNDS = 6000, 2000, 24, 60
+#: an added span has this many characters at least; its score must exceed a margin learned on every HELD_OUTth window,
+#: at which this share of the spans is false at most
+MIN_LENGTH, HELD_OUT, FALSE_SHARE = 6, 5, 0.05
 #: texts are tokenised together up to about so many characters
 BLOCK_CHARS = 500_000
 _IDENTITIES = 1 << 12
@@ -224,10 +227,37 @@ def decode(model: dict, features: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return out
 
 
+def runs(model: dict, features: np.ndarray, doc: np.ndarray, tags: np.ndarray) -> list[tuple[int, int, float]]:
+    """(first token, last token, mean lead over ``outside``) of every secret among ``tags``."""
+    hits = np.flatnonzero(tags > 0)
+    scores = model["weights"][features[hits]].sum(axis=1)
+    leads = (scores[np.arange(len(hits)), tags[hits]] - scores[:, 0]).tolist()
+    hits, out, at = hits.tolist(), [], 0
+    while at < len(hits):
+        start, first, last = at, hits[at], hits[at]
+        while at + 1 < len(hits) and hits[at + 1] == last + 1 and tags[last + 1] == 2 and doc[last + 1] == doc[first]:
+            at += 1
+            last = hits[at]
+        at += 1
+        out.append((first, last, sum(leads[start:at]) / (at - start)))
+    return out
+
+
+def learn_margin(model: dict, x: np.ndarray, y: np.ndarray, real: np.ndarray) -> float:
+    """Least lead at which at most FALSE_SHARE of the spans in held-out windows are false."""
+    doc, features, truth = np.nonzero(real)[0], x[real], y[real]
+    found = runs(model, features, doc, decode(model, features, doc)) if len(doc) else []
+    judged = [(lead, not (truth[a:b + 1] > 0).any()) for a, b, lead in found]
+    for margin in [0.0, *sorted(lead for lead, false in judged if false)]:
+        kept = [false for lead, false in judged if lead > margin]
+        if sum(kept) <= FALSE_SHARE * len(kept):
+            return margin
+    return 0.0
+
+
 def _plausible(piece: str) -> bool:
-    """Exact check of an added span: long, with letters and digits mixed."""
-    return (len(piece) >= 12 and any(c.isdigit() for c in piece) and any(c.isalpha() for c in piece)
-            and piece.isascii() and sum(a.isdigit() != b.isdigit() for a, b in zip(piece, piece[1:], strict=False)) >= 2)
+    """Contract's least length of an added span."""
+    return len(piece) >= MIN_LENGTH
 
 
 def scan(model: dict | None, texts: list[str | None]) -> list[tuple[list, list]]:
@@ -246,15 +276,9 @@ def scan(model: dict | None, texts: list[str | None]) -> list[tuple[list, list]]
         doc, starts, ends, features = tokenise(some)
         tags = decode(model, features, doc) if len(doc) else np.zeros(0, np.int8)
         added: dict[int, list] = {}
-        at = 0
-        hits = np.flatnonzero(tags > 0).tolist()
-        while at < len(hits):
-            first = last = hits[at]
-            while at + 1 < len(hits) and hits[at + 1] == last + 1 and tags[last + 1] == 2 and doc[last + 1] == doc[first]:
-                at += 1
-                last = hits[at]
-            added.setdefault(int(doc[first]), []).append((int(starts[first]), 3, int(ends[last])))
-            at += 1
+        for first, last, lead in runs(model, features, doc, tags):
+            if lead > model.get("margin", 0.0):
+                added.setdefault(int(doc[first]), []).append((int(starts[first]), 3, int(ends[last])))
         for d, text in enumerate(some):
             base = bases[block + d]
             extra = [s for s in added.get(d, []) if all(s[2] <= a or s[0] >= b for a, _, b in base)
@@ -267,11 +291,18 @@ def scan(model: dict | None, texts: list[str | None]) -> list[tuple[list, list]]
 # ---------------------------------------------------------------- training windows
 
 _OTHER_KEYS = ("pwd", "pass", "auth", "credential", "bearer", "access_key", "client_key", "private")
+_PLAIN_KEYS = ("name", "user", "city", "title", "path", "date", "note", "color")
 _BASE62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
 
 
+def _weak_value(rng) -> str:
+    """A short, letters-only or digits-only value."""
+    letters, low, high = [(_BASE62, 6, 12), (_BASE62[26:52], 6, 21), (_BASE62[52:], 6, 13)][rng.integers(3)]
+    return "".join(letters[i] for i in rng.integers(0, len(letters), int(rng.integers(low, high))))
+
+
 def training_pieces(text: str, rng) -> list[tuple[str, str]]:
-    """(piece of text, value ranges as ``start:end``): around up to 3 secrets, as found and changed, and one plain piece."""
+    """(piece of text, value ranges as ``start:end``): around up to 3 secrets, as found and changed, and plain pieces."""
     found, out = base_matches(text), []
     for a, kind, b, value in found[:3]:
         left, right = text[max(0, a - 60):a], text[b:b + 60]
@@ -283,6 +314,12 @@ def training_pieces(text: str, rng) -> list[tuple[str, str]]:
             key = _KEY.sub(_OTHER_KEYS[rng.integers(len(_OTHER_KEYS))], key)
         fresh = "".join(_BASE62[i] for i in rng.integers(0, 62, int(rng.integers(16, 41))))
         out.append((left + key + fresh + right, f"{len(left) + len(key)}:{len(left) + len(key) + len(fresh)}"))
+        for other in rng.choice(_OTHER_KEYS, 4, replace=False) if kind == 0 else ():
+            key, weak = _KEY.sub(str(other), text[a:value]), _weak_value(rng)
+            out.append((left + key + weak + right, f"{len(left) + len(key)}:{len(left) + len(key) + len(weak)}"))
+        if kind == 0:
+            key = _KEY.sub(_PLAIN_KEYS[rng.integers(len(_PLAIN_KEYS))], text[a:value])
+            out.append((left + key + _weak_value(rng) + right, ""))
     start = int(rng.integers(0, max(1, len(text) - 150)))
     plain = text[start:start + 150]
     if not base_matches(text[max(0, start - 60):start + 210]):
@@ -327,7 +364,11 @@ def fit(df: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS, windo
             at, tags = at[first:first + 2 * WINDOW], tags[first:first + 2 * WINDOW]
         at, tags = at[:2 * WINDOW], tags[:2 * WINDOW]
         x[i, :len(at)], y[i, :len(at)], real[i, :len(at)] = features[at], tags, True
-    return train(x, y, real)
+    held = np.arange(len(rows)) % HELD_OUT == HELD_OUT - 1
+    model = train(x[~held], y[~held], real[~held])
+    if model is not None:
+        model["margin"] = learn_margin(model, x[held], y[held], real[held])
+    return model
 
 
 # ---------------------------------------------------------------- operators

@@ -253,6 +253,25 @@ def test_secret_model_finds_values_of_its_own(spark):
     assert found >= 0.7 * total and wrong <= 0.05 * total + 2
 
 
+def test_secret_model_finds_weak_values_under_unknown_keys(spark):
+    docs = read_table(spark, "/root/testdata/sf0.1", "documents").select("doc_id", "text")
+    model = secret_scan.fit(docs.filter("doc_id % 3 <> 1"))
+    sample = [r["text"] for r in docs.filter("doc_id % 3 = 1 and length(text) < 4000").collect()]
+    cases = [(t, a, text_key) for t in sample for a, k, b, v in secret_scan.base_matches(t) if k == 0
+             for text_key in [t[a:v]]]
+    found = total = 0
+    for t, a, key in cases:
+        for value in ("Tr0ub4dor", "correcthorsebattery", "48210377"):
+            left = t[max(0, a - 60):a]
+            text = left + secret_scan._KEY.sub("pwd", key) + value + " and so on"
+            at = text.index(value, len(left))
+            total += 1
+            found += any(s <= at and e >= at + len(value) for s, _, e in secret_scan.scan(model, [text])[0][1])
+    added = sum(len(both) - len(base) for base, both in secret_scan.scan(model, sample))
+    bases = sum(len(base) for base, _ in secret_scan.scan(model, sample))
+    assert total and found >= 0.7 * total and added <= 0.05 * bases + 2
+
+
 def test_decoding_in_pieces_is_exact():
     rng = np.random.default_rng(1)
     model = {"weights": rng.normal(0, 1, (secret_scan.N_FEATURES, 3)).astype(np.float32) - np.array([0, 0.5, 0.5], np.float32),
