@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, fingerprints, mixing, neardup, pii, quality, secret_scan, sharding, toxicity, warc
+from . import bpe, collocations, fingerprints, hard_negatives, mixing, neardup, pii, quality, secret_scan, sharding, toxicity, warc
 
 QUERIES = {
     "op1_bpe": bpe.op1,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_fingerprints": fingerprints.op8,
     "op9_pii": pii.op9,
     "op10_toxicity": toxicity.op10,
+    "op11_collocations": collocations.op11,
+    "op12_hard_negatives": hard_negatives.op12,
 }
 
 #: the other operators are tested against brute force, round trips or held-out accuracy in tests/llm
@@ -22,4 +24,6 @@ ORACLE = {
     "op4_warc": warc.ORACLE,
     "op6_quality_rules": quality.ORACLE,
     "op7_mixing": mixing.ORACLE,
+    "op11_collocations": collocations.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
 }
