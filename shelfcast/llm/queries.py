@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, collocations, fingerprints, hard_negatives, mixing, neardup, pii, quality, secret_scan, sharding, toxicity, warc
+from . import bpe, collocations, fingerprints, hard_negatives, mixing, neardup, pii, quality, secret_scan, sharding, suffix_dedup, toxicity, warc
 
 QUERIES = {
     "op1_bpe": bpe.op1,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_toxicity": toxicity.op10,
     "op11_collocations": collocations.op11,
     "op12_hard_negatives": hard_negatives.op12,
+    "op13_suffix_dedup": suffix_dedup.op13,
 }
 
 #: the other operators are tested against brute force, round trips or held-out accuracy in tests/llm
