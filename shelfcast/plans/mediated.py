@@ -4,8 +4,9 @@ A relation has an ordered attribute list and one or more source mappings.
 ``Mediator.query`` binds attributes by position (as a Datalog atom does),
 checks the request, leaves out every source whose used attributes all come
 from other sources, joins the rest on their shared variables, and applies
-conditions, one aggregate, an order and a top-n.  The result is a lazy
-DataFrame; Catalyst plans it as one query.
+conditions, one aggregate, an order and a top-n.  ``Mediator.run`` takes several
+rules, whose atoms may be heads of other rules (``plans.rules``).  The result is a
+lazy DataFrame; Catalyst plans it as one query.
 """
 
 from __future__ import annotations
@@ -13,13 +14,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.features import FEATURE_COLUMNS, SENTIMENT_COLUMNS
-from ..functions.conditions import condition_attr, conjunction
-from ..operators.relational import SKIP, bind, group_by_op, natural_join, order_by_op, top_n_op
+from ..operators.relational import SKIP, bind, natural_join
+from .rules import Rule, evaluate
 
 
 @dataclass(frozen=True)
@@ -103,13 +103,6 @@ def month_range(rel: Relation, cols: Sequence[str | None], where: Sequence) -> t
     return bounds["yr"][0] * 12 + bounds["mn"][0] - 1, bounds["yr"][1] * 12 + bounds["mn"][1] - 1
 
 
-def _resolves(df: DataFrame, condition: Column) -> bool:
-    try:
-        return bool(df.select(condition).columns)
-    except AnalysisException:
-        return False
-
-
 class Mediator:
     """Binds relation source tables to DataFrame factories.
 
@@ -172,71 +165,27 @@ class Mediator:
             frames.append(bind(df, [binding.get(a) for a in s.attrs], list(s.attrs)))
         return natural_join(frames)
 
-    def query(self, name: str, cols: Sequence[str | None], head: Sequence[str] | None = None,
-              where: Sequence = (), group_by: tuple | None = None,
-              order_by: Sequence | None = None, top: int | None = None) -> DataFrame:
-        """One mediated rule.
+    def query(self, name: str | None = None, cols: Sequence[str | None] | None = None, head: Sequence[str] | None = None,
+              where: Sequence = (), group_by: tuple | None = None, order_by: Sequence | None = None,
+              top: int | None = None, atoms: Sequence[tuple[str, Sequence[str | None]]] | None = None) -> DataFrame:
+        """One mediated rule over the atom ``name(cols)``, or over several ``atoms`` joined on their shared variables.
 
         ``group_by = (by_vars, alias, fn, on_var)``; ``order_by`` = list of
         ``(var, 'a'|'d')``; ``top`` = n.  Conditions on relation variables
         filter before grouping/ordering/top, conditions on the aggregate alias
         filter after grouping.
         """
-        rel = self._get(name)
-        if len(cols) != len(rel.attrs):
-            raise ValueError(f"{name} takes {len(rel.attrs)} attributes, {len(cols)} given")
-        body = {v for v in cols if v not in SKIP}
-        alias = group_by[1] if group_by else None
-        known = body | ({alias} if alias else set())
-        for cond in where:
-            attr = condition_attr(cond)
-            if attr is not None and attr not in known:
-                raise ValueError(f"condition attribute {attr} is not bound by the relation")
-        out_cols = list(head) if head is not None else (
-            list(group_by[0]) + [alias] if group_by else [v for v in dict.fromkeys(cols) if v not in SKIP])
-        for h in out_cols:
-            if h not in known:
-                raise ValueError(f"head attribute {h} is not bound by the relation")
-        if group_by:
-            by, _, fn, on = group_by
-            for v in list(by) + [on]:
-                if v not in body:
-                    raise ValueError(f"group_by attribute {v} is not bound by the relation")
-            for h in out_cols:
-                if h not in set(by) | {alias}:
-                    raise ValueError(f"head attribute {h} is neither a group_by attribute nor the aggregate")
-
-        df = self.relation(name, cols, month_range(rel, cols, where))
-        pre, post = [], []
-        for c in where:
-            if isinstance(c, Column):
-                if _resolves(df, c):
-                    pre.append(c)
-                elif group_by:
-                    post.append(c)                         # on the aggregate; refused there if it does not fit
-                else:
-                    raise ValueError(f"condition {c} reads attributes that the body does not bind")
-            else:
-                (post if group_by and condition_attr(c) == alias else pre).append(c)
-        cond = conjunction(pre)
-        if cond is not None:
-            df = df.where(cond)
-        if group_by:
-            by, alias, fn, on = group_by
-            grouped = group_by_op(df, by, alias, fn, on)
-            for c in post:
-                if isinstance(c, Column) and not _resolves(grouped, c):
-                    raise ValueError(f"condition {c} mixes the aggregate with attributes that are grouped away")
-            df = group_by_op(df, by, alias, fn, on, having=post)
-        order = list(order_by or [])
-        # keep the head plus any order variable, order (and cut), then project the head
-        keep = list(dict.fromkeys(out_cols + [o if isinstance(o, str) else o[0] for o in order]))
-        df = df.select(*keep)
-        if top is not None:
-            df = top_n_op(df, top, order)
-        elif order:
-            df = order_by_op(df, order)
-        return df.select(*out_cols)
+        if (name is None) == (atoms is None) or (name is not None and cols is None):
+            raise ValueError("give one relation with its variables, or atoms")
+        body = [(name, cols)] if atoms is None else atoms
+        return self.run([Rule("Ans", body, head, where, group_by, order_by or (), top)])
+
+    def run(self, rules: Sequence[Rule], result: str | None = None) -> DataFrame:
+        """Several rules; an atom may name the head of another one.  Returns the head ``result`` (default: the last)."""
+        def relation(name: str, cols: Sequence[str | None], where: Sequence) -> DataFrame:
+            return self.relation(name, cols, month_range(self._get(name), cols, where))
+
+        return evaluate(rules, {r.name: r.attrs for r in self.relations.values()}, relation, result)
 
     def _get(self, name: str) -> Relation:
         if name not in self.relations:

@@ -144,31 +144,41 @@ select nodeid, year, month, monthabbr, {_key_of('m')} as yyyymm, season, holiday
 from ({_grid(year_from, year_to)}) grid"""
 
 
-def features_ctes(year_from: int, year_to: int) -> dict[str, str]:
-    """CTEs up to ``ml_features`` and ``mlview``: monthly totals, then one range join of 12 months back to the grid."""
-    ages = {"pm": "age = 1", "p3m": "age between 1 and 3", "p12m": "age between 1 and 12"}
+_AGES = {"pm": (1, 1), "p3m": (1, 3), "p12m": (1, 12)}
 
+
+def _between(ages: tuple[int, int]) -> str:
+    return f"age = {ages[0]}" if ages[0] == ages[1] else f"age between {ages[0]} and {ages[1]}"
+
+
+def _measures() -> dict[str, tuple[str, tuple[int, int], str]]:
+    """Feature column -> (facts it comes from, ages in months that it reaches back, expression)."""
     def total(column: str, ask: str) -> str:
         return f"sum({column}) filter (where {ask})"
 
-    sold = [f"coalesce({total('price', ask)}, 0)::double as {name}sales, coalesce({total('units', ask)}, 0)::bigint as {name}vol"
-            for name, ask in [("", "age = 0"), *[(f"{k}_", ask) for k, ask in ages.items()]]]
-    # unknown products belong to node 0 in the previous month only
-    told = []
-    for k, ask in ages.items():
-        ask = ask if k == "pm" else f"known and {ask}"
-        told += [f"coalesce({total('n', ask)}, 0)::bigint as {k}_numreviews",
-                 f"coalesce({round_ratio(total('stars', ask), total('n_stars', ask), 0, 2)}, 0) as {k}_avgrating",
-                 f"coalesce({round_ratio(total('mood', ask), total('n_mood', ask), 2, 2)}, 0) as {k}_avgsntp"]
-
-    def measured(columns: list[str], facts: str, youngest: int) -> str:
-        return f"""
-select g.nodeid, g.m, {', '.join(columns)}
-from (select grid.nodeid, grid.m, grid.m - f.m as age, f.* exclude (nodeid, m)
-      from grid left join {facts} f on f.nodeid = grid.nodeid and f.m between grid.m - 12 and grid.m - {youngest}) g
-group by g.nodeid, g.m"""
-
-    return {
+    out = {}
+    for name, ages in [("", (0, 0)), *[(f"{k}_", ages) for k, ages in _AGES.items()]]:
+        ask = _between(ages)
+        out[f"{name}sales"] = ("sold", ages, f"coalesce({total('price', ask)}, 0)::double")
+        out[f"{name}vol"] = ("sold", ages, f"coalesce({total('units', ask)}, 0)::bigint")
+    for k, ages in _AGES.items():
+        # unknown products belong to node 0 in the previous month only
+        ask = _between(ages) if k == "pm" else f"known and {_between(ages)}"
+        out[f"{k}_numreviews"] = ("told", ages, f"coalesce({total('n', ask)}, 0)::bigint")
+        out[f"{k}_avgrating"] = ("told", ages,
+                                 f"coalesce({round_ratio(total('stars', ask), total('n_stars', ask), 0, 2)}, 0)")
+        out[f"{k}_avgsntp"] = ("told", ages, f"coalesce({round_ratio(total('mood', ask), total('n_mood', ask), 2, 2)}, 0)")
+    return out
+
+
+def features_ctes(year_from: int, year_to: int, only: tuple[str, ...] | None = None) -> dict[str, str]:
+    """CTEs up to ``measures``: monthly totals, then one range join of the months back to the grid for each kind of facts.
+
+    ``only``: measures to build; kinds of facts and months that none of them needs are left
+    out.  Without it all are built, with ``ml_features`` and ``mlview`` as the two views of them.
+    """
+    measures = {k: v for k, v in _measures().items() if only is None or k in only}
+    ctes = {
         "grid": _grid(year_from, year_to),
         "sold": """
 select nodeid, year * 12 + month - 1 as m, sum(totalprice) as price, sum(numunits) as units from sales group by 1, 2""",
@@ -176,15 +186,30 @@ select nodeid, year * 12 + month - 1 as m, sum(totalprice) as price, sum(numunit
 select coalesce(nodeid, 0) as nodeid, year * 12 + month - 1 as m, known, count(reviewid) as n,
   sum(overall) as stars, count(overall) as n_stars, sum(sentiment) as mood, count(sentiment) as n_mood
 from node_reviews group by 1, 2, 3""",
-        "sold_measures": measured(sold, "sold", 0),
-        "told_measures": measured(told, "told", 1),
-        "measures": """
-select grid.year as yr, grid.month as mn, a.*, b.* exclude (nodeid, m)
-from sold_measures a join told_measures b on a.m = b.m and a.nodeid is not distinct from b.nodeid
-  join grid on grid.m = a.m and grid.nodeid is not distinct from a.nodeid""",
-        "ml_features": f"select {FEATURE_COLS} from measures",
-        "mlview": "select nodeid, yr, mn, pm_avgsntp, p3m_avgsntp, p12m_avgsntp from measures",
     }
+    built = []
+    for facts in ("sold", "told"):
+        own = {k: v for k, v in measures.items() if v[0] == facts}
+        if not own:
+            del ctes[facts]
+            continue
+        youngest, oldest = min(v[1][0] for v in own.values()), max(v[1][1] for v in own.values())
+        built.append(facts)
+        ctes[f"{facts}_measures"] = f"""
+select nodeid, m, {', '.join(f'{v[2]} as {k}' for k, v in own.items())}
+from (select grid.nodeid, grid.m, grid.m - f.m as age, f.* exclude (nodeid, m)
+      from grid left join {facts} f on f.nodeid = grid.nodeid and f.m between grid.m - {oldest} and grid.m - {youngest}) g
+group by nodeid, m"""
+    join = " join ".join(f"{f}_measures {f}_" for f in built)
+    if len(built) > 1:
+        join += " on sold_.m = told_.m and sold_.nodeid is not distinct from told_.nodeid"
+    ctes["measures"] = f"""
+select {built[0]}_.nodeid, ({built[0]}_.m // 12)::int as yr, ({built[0]}_.m % 12 + 1)::int as mn, {', '.join(measures)}
+from {join}"""
+    if only is None:
+        ctes["ml_features"] = f"select {FEATURE_COLS} from measures"
+        ctes["mlview"] = "select nodeid, yr, mn, pm_avgsntp, p3m_avgsntp, p12m_avgsntp from measures"
+    return ctes
 
 
 FEATURE_COLS = ", ".join(FEATURE_COLUMNS)
