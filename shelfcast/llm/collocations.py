@@ -45,8 +45,8 @@ MIN_COUNT, MAX_WORDS, TOP = 100, 5, 2000
 SHARES = (1 / 16, 1 / 2, 1.0)
 #: bits of a bitmap, at most (16 MB)
 BITMAP_BITS = 1 << 27
-#: words of one packed array, distinct words held by a task
-ARRAY_WORDS, HELD_WORDS = 1 << 19, 400_000
+#: words of one packed array, words that are counted together, distinct words held by a task
+ARRAY_WORDS, COUNT_WORDS, HELD_WORDS = 1 << 16, 1 << 19, 200_000
 BREAK = np.uint64(0)
 PACKED = "kind string, lang string, word binary, gram binary, c bigint, ids binary"
 
@@ -94,13 +94,16 @@ class _Language:
         return pd.DataFrame({"kind": ["ids"], "lang": [self.lang], "word": [None], "gram": [None], "c": [len(found)],
                              "ids": [self.known[found].tobytes()]})
 
-    def words(self) -> pd.DataFrame:
+    def words(self):
         """Held words with their counts, which are held no longer."""
-        grams = self.known.tobytes()
-        out = pd.DataFrame({"kind": "words", "lang": self.lang, "word": list(self.numbers)[2:],
-                            "gram": [grams[i:i + 8] for i in range(16, len(grams), 8)], "c": self.counts[2:], "ids": None})
+        words = list(self.numbers)
+        for at in range(2, len(words), ARRAY_WORDS):
+            to = min(at + ARRAY_WORDS, len(words))
+            grams = self.known[at:to].tobytes()
+            yield pd.DataFrame({"kind": "words", "lang": self.lang, "word": words[at:to],
+                                "gram": [grams[i:i + 8] for i in range(0, len(grams), 8)], "c": self.counts[at:to],
+                                "ids": None})
         self.clear()
-        return out
 
 
 def _pack(seed: int):
@@ -111,8 +114,7 @@ def _pack(seed: int):
             for own in held.values():
                 if own.length:
                     yield own.array()
-                if len(own.numbers) > 2:
-                    yield own.words()
+                yield from own.words()
             held.clear()
 
         for batch in batches:
@@ -196,43 +198,50 @@ def count_sequences(arrays: DataFrame, m: int, frequent: Bitmap, shorter: Bitmap
     """
     shared = arrays.sparkSession.sparkContext.broadcast((frequent, shorter, ends, done))
 
-    def counted(batches):
+    def grown(lang: str, w: np.ndarray):
         frequent, shorter, ends, done = shared.value
+        if len(w) < m:
+            return
+        one = _sequence_hash([w], lang)
+        usable = (w != BREAK) & frequent.has(one)
+        run = usable[:len(w) - m + 1].copy()
+        for j in range(1, m):
+            run &= usable[j:len(w) - m + 1 + j]
+        end = ends.has(one)
+        at = np.flatnonzero(run & (end[:len(run)] | end[m - 1:]))
+        for earlier in done:
+            old = earlier.has(one)
+            at = at[~(old[at] | old[at + m - 1])]
+        if m > 2:
+            head = shorter.has(_sequence_hash([w[at + j] for j in range(m - 1)], lang))
+            tail = shorter.has(_sequence_hash([w[at + j] for j in range(1, m)], lang))
+            at = at[(end[at] & head) | (end[at + m - 1] & tail)]
+        if not len(at):
+            return
+        at = at[np.argsort(_sequence_hash([w[at + j] for j in range(m)], lang))]
+        columns = np.stack([w[at + j] for j in range(m)], axis=1)
+        new = np.ones(len(at), bool)
+        new[1:] = (columns[1:] != columns[:-1]).any(axis=1)            # equal hashes of different words start anew
+        first = np.flatnonzero(new)
+        left = np.where(at > 0, w[np.maximum(at - 1, 0)], BREAK).view(np.int64)
+        right = np.where(at + m < len(w), w[np.minimum(at + m, len(w) - 1)], BREAK).view(np.int64)
+        flat = np.ascontiguousarray(columns[first]).tobytes()
+        yield pd.DataFrame({
+            "lang": lang, "gram": [flat[i:i + 8 * m] for i in range(0, len(flat), 8 * m)],
+            "a": np.diff(np.append(first, len(at))),
+            "left_min": np.minimum.reduceat(left, first), "left_max": np.maximum.reduceat(left, first),
+            "right_min": np.minimum.reduceat(right, first), "right_max": np.maximum.reduceat(right, first)})
+
+    def counted(batches):
+        held: dict[str, list[np.ndarray]] = {}
         for batch in batches:
             for lang, ids in zip(batch["lang"], batch["ids"], strict=True):
-                w = np.frombuffer(ids, np.uint64)
-                if len(w) < m:
-                    continue
-                one = _sequence_hash([w], lang)
-                usable = (w != BREAK) & frequent.has(one)
-                run = usable[:len(w) - m + 1].copy()
-                for j in range(1, m):
-                    run &= usable[j:len(w) - m + 1 + j]
-                end = ends.has(one)
-                at = np.flatnonzero(run & (end[:len(run)] | end[m - 1:]))
-                for earlier in done:
-                    old = earlier.has(one)
-                    at = at[~(old[at] | old[at + m - 1])]
-                if m > 2:
-                    head = shorter.has(_sequence_hash([w[at + j] for j in range(m - 1)], lang))
-                    tail = shorter.has(_sequence_hash([w[at + j] for j in range(1, m)], lang))
-                    at = at[(end[at] & head) | (end[at + m - 1] & tail)]
-                if not len(at):
-                    continue
-                order = np.argsort(_sequence_hash([w[at + j] for j in range(m)], lang))
-                at = at[order]
-                columns = np.stack([w[at + j] for j in range(m)], axis=1)
-                new = np.ones(len(at), bool)
-                new[1:] = (columns[1:] != columns[:-1]).any(axis=1)    # equal hashes of different words start anew
-                first = np.flatnonzero(new)
-                left = np.where(at > 0, w[np.maximum(at - 1, 0)], BREAK).view(np.int64)
-                right = np.where(at + m < len(w), w[np.minimum(at + m, len(w) - 1)], BREAK).view(np.int64)
-                flat = np.ascontiguousarray(columns[first]).tobytes()
-                yield pd.DataFrame({
-                    "lang": lang, "gram": [flat[i:i + 8 * m] for i in range(0, len(flat), 8 * m)],
-                    "a": np.diff(np.append(first, len(at))),
-                    "left_min": np.minimum.reduceat(left, first), "left_max": np.maximum.reduceat(left, first),
-                    "right_min": np.minimum.reduceat(right, first), "right_max": np.maximum.reduceat(right, first)})
+                own = held.setdefault(lang, [])                        # an array ends with a BREAK
+                own.append(np.frombuffer(ids, np.uint64))
+                if sum(map(len, own)) >= COUNT_WORDS:
+                    yield from grown(lang, np.concatenate(held.pop(lang)))
+        for lang, own in held.items():
+            yield from grown(lang, np.concatenate(own))
 
     return _summed(arrays.select("lang", "ids").mapInPandas(counted, COUNTED)).filter(F.col("a") >= min_count)
 

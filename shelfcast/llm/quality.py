@@ -32,7 +32,6 @@ STOP_WORDS = (
 #: threshold table: (measure, comparison, bound).  A text is kept if it passes every row.
 RULES = (
     ("n_words", ">=", 50),
-    ("n_words", "<=", 1_000_000),
     ("mean_word_chars", ">=", 2.0),
     ("mean_word_chars", "<=", 15.0),
     ("symbol_ratio", "<=", 0.10),
@@ -102,8 +101,7 @@ def measures(df: DataFrame, text: str = "text") -> DataFrame:
         return column
 
     stop = [w for s in STOP_WORDS for w in (s, s.capitalize())]
-    return d.select(
-        *[F.col(f"`{c}`") for c in df.columns],
+    counts = F.struct(
         F.size("_q_words").cast("bigint").alias("n_words"),
         F.length(without(t, "\t\n\x0b\f\r ")).cast("bigint").alias("word_chars"),
         (F.length(t) - F.length(without(t, SYMBOLS))).cast("bigint").alias("n_symbols"),
@@ -111,8 +109,10 @@ def measures(df: DataFrame, text: str = "text") -> DataFrame:
         (F.size("_q_lines") - F.size(F.array_distinct("_q_lines"))).cast("bigint").alias("n_dup_lines"),
         F.expr("size(array_distinct(flatten(transform(_q_repeated, i -> array(i, i + 1, i + 2)))))")
         .cast("bigint").alias("n_repeat_words"),
-        F.size(F.filter("_q_words", lambda w: w.isin(stop))).cast("bigint").alias("n_stop_words"),
-    )
+        F.size(F.filter("_q_words", lambda w: w.isin(stop))).cast("bigint").alias("n_stop_words"))
+    # the counts pass through a generator: a filter on them stays above it, and is not pushed into the projections
+    # below, where every mention of a count would repeat its computation
+    return d.select(*[F.col(f"`{c}`") for c in df.columns], F.inline_outer(F.array(counts)))
 
 
 def ratios() -> dict[str, Column]:
@@ -153,10 +153,7 @@ def keep_good(df: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
     """The rows of ``df`` whose text passes, with the columns of ``df``."""
     cols = df.columns
     renamed = df.select(*[F.col(f"`{c}`").alias(f"_in_{i}") for i, c in enumerate(cols)])
-    scored = score(renamed, f"_in_{cols.index(text)}", rules)
-    # the verdict passes through a generator, so that the filter is not pushed into the projections below and
-    # every measure inside it computed again
-    kept = scored.withColumn("_verdict", F.explode_outer(F.array("kept"))).filter("_verdict")
+    kept = score(renamed, f"_in_{cols.index(text)}", rules).filter("kept")
     return kept.select(*[F.col(f"_in_{i}").alias(c) for i, c in enumerate(cols)])
 
 

@@ -63,13 +63,11 @@ _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.ui
 
 # ---------------------------------------------------------------- runs
 
-def _gram_hashes(data: np.ndarray) -> np.ndarray:
+def _gram_hashes(data: bytes) -> np.ndarray:
     """Hash of the 16 bytes at every place."""
-    n = len(data) - 7
-    word = np.zeros(n, np.uint64)
-    for j in range(8):
-        word |= data[j:j + n].astype(np.uint64) << np.uint64(8 * j)
-    h = word[:-8] * _A + word[8:] * _B
+    word = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))     # the 8 bytes at every place
+    h = word[:-8] * _A
+    h += word[8:] * _B
     h ^= h >> np.uint64(32)
     h *= _C
     h ^= h >> np.uint64(29)
@@ -87,8 +85,7 @@ def _least(h: np.ndarray, span: int) -> np.ndarray:
 
 def find_runs(data: bytes, bounds: np.ndarray, length: int):
     """Runs of the windows of the texts between ``bounds``: start, number of windows, key, and a hash of their ends."""
-    flat = np.frombuffer(data, np.uint8)
-    grams = _gram_hashes(flat)
+    grams = _gram_hashes(data)
     span = length - GRAM + 1
     key = _least(grams, span)
     n = len(key)
