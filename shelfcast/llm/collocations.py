@@ -34,6 +34,7 @@ from itertools import count, islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,7 +47,7 @@ SHARES = (1 / 16, 1 / 2, 1.0)
 #: bits of a bitmap, at most (16 MB)
 BITMAP_BITS = 1 << 27
 #: words of one packed array, words that are counted together, distinct words held by a task
-ARRAY_WORDS, COUNT_WORDS, HELD_WORDS = 1 << 16, 1 << 19, 200_000
+ARRAY_WORDS, COUNT_WORDS, HELD_WORDS = 1 << 16, 1 << 18, 200_000
 BREAK = np.uint64(0)
 PACKED = "kind string, lang string, word binary, gram binary, c bigint, ids binary"
 
@@ -76,14 +77,14 @@ class _Language:
         self.read: list[np.ndarray] = []
         self.length = 0
 
-    def add(self, text: str) -> None:
-        tokens = text.encode("utf-8", "surrogatepass").lower().translate(_PIECES).replace(b"\n", b" \n ").split(b" ")
+    def add(self, text: bytes) -> None:
+        tokens = text.lower().translate(_PIECES).replace(b"\n", b" \n ").split(b" ")
         found = np.fromiter(map(self.numbers.__getitem__, tokens), np.int32, len(tokens))
         self.read.append(found[found > 0])
         self.read.append(np.ones(1, np.int32))                         # a document ends a piece
         self.length += len(found) + 1
 
-    def array(self) -> pd.DataFrame:
+    def array(self) -> pa.RecordBatch:
         """The packed array of what was read; the counts stay."""
         found = np.concatenate(self.read)
         fresh = [xxhash.xxh3_64_intdigest(w, self.seed) for w in islice(self.numbers, len(self.known), None)]
@@ -91,21 +92,32 @@ class _Language:
         self.counts = np.concatenate([self.counts, np.zeros(len(fresh), np.int64)])
         self.counts += np.bincount(found, minlength=len(self.known))
         self.read, self.length = [], 0
-        return pd.DataFrame({"kind": ["ids"], "lang": [self.lang], "word": [None], "gram": [None], "c": [len(found)],
-                             "ids": [self.known[found].tobytes()]})
+        return _rows("ids", self.lang, [None], [None], [len(found)], [self.known[found].tobytes()])
 
     def words(self):
         """Held words with their counts, which are held no longer."""
         words = list(self.numbers)
         for at in range(2, len(words), ARRAY_WORDS):
             to = min(at + ARRAY_WORDS, len(words))
-            grams = self.known[at:to].tobytes()
-            yield pd.DataFrame({"kind": "words", "lang": self.lang, "word": words[at:to],
-                                "gram": [grams[i:i + 8] for i in range(0, len(grams), 8)], "c": self.counts[at:to],
-                                "ids": None})
+            yield _rows("words", self.lang, words[at:to], _grams(self.known[at:to, None]), self.counts[at:to],
+                        pa.nulls(to - at, pa.binary()))
         self.clear()
 
 
+def _grams(columns: np.ndarray) -> pa.Array:
+    """Rows of word hashes as binary values."""
+    n, width = columns.shape
+    offsets = np.arange(0, 8 * width * (n + 1), 8 * width, dtype=np.int32)
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(columns))])
+
+
+def _rows(kind: str, lang: str, word, gram, c, ids) -> pa.RecordBatch:
+    n = len(c)
+    return pa.record_batch([pa.repeat(kind, n), pa.repeat(lang, n), pa.array(word, pa.binary()), pa.array(gram, pa.binary()),
+                            pa.array(c, pa.int64()), pa.array(ids, pa.binary())],
+                           names=["kind", "lang", "word", "gram", "c", "ids"])
+
+
 def _pack(seed: int):
     def pack(batches):
         held: dict[str, _Language] = {}
@@ -118,9 +130,9 @@ def _pack(seed: int):
             held.clear()
 
         for batch in batches:
-            for lang, text in zip(batch["lang"], batch["text"], strict=True):
+            for lang, text in zip(batch["lang"].to_pylist(), batch["text"], strict=True):
                 own = held.get(lang) or held.setdefault(lang, _Language(lang, seed))
-                own.add(text)
+                own.add(text.as_py())
                 if own.length >= ARRAY_WORDS:
                     yield own.array()
                     if sum(len(x.numbers) for x in held.values()) > HELD_WORDS:
@@ -178,6 +190,7 @@ def bitmap(sequences: DataFrame, n: int) -> Bitmap:
     return Bitmap(bits, packed.view(np.uint8))
 
 
+COUNTED_NAMES = ["lang", "gram", "a", "left_min", "left_max", "right_min", "right_max"]
 COUNTED = "lang string, gram binary, a bigint, left_min bigint, left_max bigint, right_min bigint, right_max bigint"
 
 
@@ -225,25 +238,23 @@ def count_sequences(arrays: DataFrame, m: int, frequent: Bitmap, shorter: Bitmap
         first = np.flatnonzero(new)
         left = np.where(at > 0, w[np.maximum(at - 1, 0)], BREAK).view(np.int64)
         right = np.where(at + m < len(w), w[np.minimum(at + m, len(w) - 1)], BREAK).view(np.int64)
-        flat = np.ascontiguousarray(columns[first]).tobytes()
-        yield pd.DataFrame({
-            "lang": lang, "gram": [flat[i:i + 8 * m] for i in range(0, len(flat), 8 * m)],
-            "a": np.diff(np.append(first, len(at))),
-            "left_min": np.minimum.reduceat(left, first), "left_max": np.maximum.reduceat(left, first),
-            "right_min": np.minimum.reduceat(right, first), "right_max": np.maximum.reduceat(right, first)})
+        yield pa.record_batch([
+            pa.repeat(lang, len(first)), _grams(columns[first]), np.diff(np.append(first, len(at))),
+            np.minimum.reduceat(left, first), np.maximum.reduceat(left, first),
+            np.minimum.reduceat(right, first), np.maximum.reduceat(right, first)], names=COUNTED_NAMES)
 
     def counted(batches):
         held: dict[str, list[np.ndarray]] = {}
         for batch in batches:
-            for lang, ids in zip(batch["lang"], batch["ids"], strict=True):
+            for lang, ids in zip(batch["lang"].to_pylist(), batch["ids"], strict=True):
                 own = held.setdefault(lang, [])                        # an array ends with a BREAK
-                own.append(np.frombuffer(ids, np.uint64))
+                own.append(np.frombuffer(ids.as_py(), np.uint64))
                 if sum(map(len, own)) >= COUNT_WORDS:
                     yield from grown(lang, np.concatenate(held.pop(lang)))
         for lang, own in held.items():
             yield from grown(lang, np.concatenate(own))
 
-    return _summed(arrays.select("lang", "ids").mapInPandas(counted, COUNTED)).filter(F.col("a") >= min_count)
+    return _summed(arrays.select("lang", "ids").mapInArrow(counted, COUNTED)).filter(F.col("a") >= min_count)
 
 
 # ---------------------------------------------------------------- scores
@@ -326,10 +337,10 @@ def mine(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP, shares: tu
         df.write.parquet(f"{folder}/{name}", **options)
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
-    rows = docs.filter(F.col("text").isNotNull()).select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
+    rows = docs.filter(F.col("text").isNotNull()).select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text"))
     seed = 0
     while True:
-        packed = stored(rows.mapInPandas(_pack(seed), PACKED), f"packed-{seed}", partitionBy="kind")
+        packed = stored(rows.mapInArrow(_pack(seed), PACKED), f"packed-{seed}", partitionBy="kind")
         words = stored(packed.filter("kind = 'words'").groupBy("lang", "word", "gram").agg(F.sum("c").alias("a")),
                        f"words-{seed}")
         clash = words.groupBy("gram").agg(F.count_distinct("word").alias("n")) \

@@ -11,6 +11,7 @@ DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text"
                      T.StructField("kept", T.StringType())])
 PAGES = "page_id bigint, url string, html string, payload string"
 LABELS = "doc_id bigint, quality int, toxic int"
+VECTORS = "vec_id bigint, embedding array<float>, label int, score string"
 
 PROSE = ("the stone wall of the old garden was warm and it held the light for a long while as people went by on foot "
          "with bread and milk to sell at a small market near the river where boats waited for wind in the evening ")
@@ -39,6 +40,12 @@ def hard_dir(spark, tmp_path_factory):
     spark.createDataFrame(pages, PAGES).write.parquet(os.path.join(d, "pages.parquet"))
     labels = [(i, 1, int(i % 4 == 0)) for i in range(12)] + [(None, None, 1), (5, 1, None)]
     spark.createDataFrame(labels, LABELS).write.parquet(os.path.join(d, "labels.parquet"))
+    vectors = [(i, [0.1 * (i % 7), -0.3, 0.01 * i], i % 3, "c") for i in range(-200, 240, 8)]
+    vectors += [(100, [0.5, 0.5, 0.5], 1, "c")] * 2 + [(200, [], 1, "c"), (203, [], 1, "c"), (205, [], 4, "c")]
+    vectors += [(None, [1.0, 1.0, 1.0], 1, "c"), (300, None, 1, "c"), (400, [1.0, None, 1.0], 1, "c"), (500, [1.0, 1.0, 1.0], None, "c"),
+                (600, [float("nan"), 0.0, 0.0], 1, "c"), (700, [float("inf"), 0.0, 0.0], 1, "c"), (800, [0.0, 0.0, 0.0], 1, "c"),
+                (900, [3e38, 3e38, 3e38], 1, None), (901, [1.0, 2.0], 1, None)]
+    spark.createDataFrame(vectors, VECTORS).write.parquet(os.path.join(d, "embeddings.parquet"))
     return d
 
 
@@ -48,4 +55,5 @@ def empty_dir(spark, tmp_path_factory):
     spark.createDataFrame([], DOCS).write.parquet(os.path.join(d, "documents.parquet"))
     spark.createDataFrame([], PAGES).write.parquet(os.path.join(d, "pages.parquet"))
     spark.createDataFrame([], LABELS).write.parquet(os.path.join(d, "labels.parquet"))
+    spark.createDataFrame([], VECTORS).write.parquet(os.path.join(d, "embeddings.parquet"))
     return d
