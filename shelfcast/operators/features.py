@@ -65,6 +65,15 @@ def _month_bounds(src: SourceSet, year_from: int, year_to: int, months: Months =
     return cal.select(F.min(idx)).scalar(), cal.select(F.max(idx)).scalar()
 
 
+def baseline_months(src: SourceSet, year_from: int, year_to: int) -> list[int]:
+    """Month indexes of the baseline (collected: at most the calendar's months)."""
+    known = _span_months(src, year_from, year_to, None)
+    if known is not None:
+        return list(range(known[0], known[1] + 1))
+    idx = month_index("year", "month").alias("m")
+    return sorted(r["m"] for r in src.calendar.where(F.col("year").between(year_from, year_to)).select(idx).distinct().collect())
+
+
 def _frame_days(lo: int, hi: int) -> tuple[dt.date, dt.date]:
     """First day of the 12 months before month ``lo`` and last day of month ``hi``."""
     start, after = lo - 12, hi + 1

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.classification import LEVELS, level_path
+from .relational import running_total
 
 NOT_AVAILABLE = "N/A"
 
@@ -55,13 +56,36 @@ def category_pairs(doc: DataFrame, with_level: bool = False) -> DataFrame:
 def category_node_lists(doc: DataFrame, ordered: bool = False) -> DataFrame:
     """Category -> node list with duplicates, sorted; NULL and 'N/A' groups kept.
 
-    A list holds at most six entries per category document (one per level),
-    so its size is bounded by the document collection, not by the facts.
+    A small view: a list holds up to six entries per category document (one per level)
+    and is one row.  ``category_node_chunks`` has the same lists in rows of bounded size.
     """
     return _sorted(category_pairs(doc).groupBy("category")
                    .agg(F.sort_array(F.collect_list("nodeid")).alias("nodeids")), "category", ordered)
 
 
+def category_node_chunks(doc: DataFrame, chunk_size: int = 10_000) -> DataFrame:
+    """H3 / D13 in bounded rows: category, chunk (from 0), nodeids: at most ``chunk_size`` entries of the sorted list.
+
+    The chunks of a category in their order are its list in ``category_node_lists``.
+    A node's entries in a category are counted first; the count of the entries before
+    it (``running_total``: no task holds a whole category) says which chunks they fall in.
+    """
+    counted = category_pairs(doc).where(F.col("nodeid").isNotNull()).groupBy("category", "nodeid") \
+        .agg(F.count(F.lit(1)).alias("times"))
+    at = running_total(counted, ["category"], "nodeid", "times", "before")
+    first, last = F.floor(F.col("before") / chunk_size), F.floor((F.col("before") + F.col("times") - 1) / chunk_size)
+    pieces = at.select("category", "nodeid", "before", "times", F.explode(F.sequence(first, last)).alias("chunk"))
+    inside = F.least(F.col("before") + F.col("times"), (F.col("chunk") + 1) * chunk_size) \
+        - F.greatest("before", F.col("chunk") * chunk_size)
+    lists = pieces.select("category", "chunk", F.struct("nodeid", inside.cast("int").alias("times")).alias("entry")) \
+        .groupBy("category", "chunk").agg(F.array_sort(F.collect_list("entry")).alias("entries"))
+    # categories all of whose documents lack a node have an empty list
+    empty = category_pairs(doc).groupBy("category").agg(F.count("nodeid").alias("n")).where("n = 0").select(
+        "category", F.lit(0).cast("bigint").alias("chunk"), F.array().cast("array<bigint>").alias("nodeids"))
+    return lists.select("category", "chunk", F.flatten(F.transform(
+        "entries", lambda e: F.array_repeat(e["nodeid"], e["times"]))).alias("nodeids")).unionByName(empty)
+
+
 def category_nodes(doc: DataFrame, ordered: bool = False) -> DataFrame:
     """Distinct (category, nodeid) without missing levels and without 'N/A'."""
     p = category_pairs(doc)

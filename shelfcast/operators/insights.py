@@ -14,7 +14,7 @@ from ..functions.columns import money_from_cents, month_index, node_id, rounded_
 from ..sources.tables import SourceSet
 from . import hierarchy
 from .relational import dense_rank_top
-from .views import node_month_sales, node_sales, product_month_facts, review_sums, reviews_by_node
+from .views import node_month_reviews, node_month_sales, node_sales, product_month_facts
 
 TOKEN_SPLIT = r"[^\p{L}]+"    # a token is a maximal run of letters, after lower-casing
 
@@ -120,9 +120,8 @@ def review_summary(src: SourceSet) -> DataFrame:
 
 def review_sentiment(src: SourceSet) -> DataFrame:
     """L3: the reviews aggregate (D2) with the mean sentiment of the same reviews."""
-    j = reviews_by_node(src, "left", 0)
-    g = j.groupBy("asin", "nodeid", "month", "year").agg(*review_sums())
-    return g.select("asin", "nodeid", "month", "year", season("month").alias("season"),
+    g = node_month_reviews(src)
+    return g.select("asin", "nodeid", "month", "year", "season",
                     F.col("n_reviews").alias("numreviews"),
                     rounded_mean("sum_overall", "n_overall", 2).alias("avgrating"),
                     rounded_mean("sum_sent", "n_sent", 2).alias("avgsentiment"))

@@ -19,11 +19,12 @@ Plan notes (what runs at scale):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import cents, holiday_season, money_from_cents, node_id, rounded_mean, season
 from ..sources.tables import SourceSet
+from .relational import dense_ranks, salted_left_join
 
 
 # --------------------------------------------------------------------------- dating
@@ -61,7 +62,7 @@ def _star(src: SourceSet, with_calendar: bool, cast_node: bool) -> DataFrame:
     # Order-level dimensions are attached to orders before the line join: their
     # predicates read only order columns, so the result is the same as joining
     # them last, but the customer shuffle moves orders, not order lines.
-    enriched = o.join(c, "customerid", "left").join(cp, "campaignid", "left")
+    enriched = salted_left_join(o.join(c, "customerid", "left"), cp, "campaignid", "orderid")
     return enriched.join(ol, "orderid").join(p, "productid")
 
 
@@ -77,17 +78,27 @@ def is_sales(src: SourceSet) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- facts
-def product_month_facts(src: SourceSet, with_calendar: bool = True) -> DataFrame:
-    """(productid, year, month) -> units/price sums and counts, pre-aggregated.
+def season_key(src: SourceSet) -> tuple[str, ...]:
+    """Grouping column for the season: none where it follows from the month, the calendar's own where one is given."""
+    return () if src.calendar_table is None and src.span is not None else ("season",)
+
+
+def add_season(df: DataFrame) -> DataFrame:
+    """``df`` with its calendar's season, or the month's."""
+    return df if "season" in df.columns else df.withColumn("season", season("month"))
+
+
+def product_month_facts(src: SourceSet, more: tuple[str, ...] = ()) -> DataFrame:
+    """(productid, year, month, *more) -> units/price sums and counts, pre-aggregated.
 
     Reads only orderid/productid/numunits/totalprice of the lines and
-    orderid/orderdate of the orders.
+    orderid/orderdate of the orders.  ``more``: further calendar columns.
     """
     o = src.orders.select("orderid", "orderdate")
-    o = dated(src, o, "orderdate").select("orderid", "year", "month")
+    o = dated(src, o, "orderdate").select("orderid", "year", "month", *more)
     ol = src.orderlines.select("orderid", "productid", "numunits", "totalprice")
     return (ol.join(o, "orderid")
-              .groupBy("productid", "year", "month")
+              .groupBy("productid", "year", "month", *more)
               .agg(F.sum("numunits").alias("units"), F.count("numunits").alias("n_units"),
                    F.sum(cents("totalprice")).alias("price_c"), F.count("totalprice").alias("n_price")))
 
@@ -95,12 +106,13 @@ def product_month_facts(src: SourceSet, with_calendar: bool = True) -> DataFrame
 def node_sales(src: SourceSet, keys: tuple[str, ...] = ("year", "month"), cast_node: bool = True) -> DataFrame:
     """(nodeid, *keys) -> units, n_units, price_c (cents), n_price (node NULL kept as a group).
 
-    ``keys`` is a subset of (year, month): the product-month facts are
+    ``keys`` is a subset of (year, month, season): the product-month facts are
     grouped straight to the requested grain, one aggregation after the
     product lookup.
     """
+    more = tuple(k for k in keys if k == "season")
     p = src.products.select("productid", (node_id("nodeid") if cast_node else F.col("nodeid")).alias("nodeid"))
-    return (product_month_facts(src).join(p, "productid")
+    return (product_month_facts(src, more).join(p, "productid")
               .groupBy("nodeid", *keys)
               .agg(F.sum("units").alias("units"), F.sum("n_units").alias("n_units"),
                    F.sum("price_c").alias("price_c"), F.sum("n_price").alias("n_price")))
@@ -114,9 +126,9 @@ def node_month_sales(src: SourceSet, cast_node: bool = True) -> DataFrame:
 # --------------------------------------------------------------------------- D1
 def salesaggregate(src: SourceSet) -> DataFrame:
     """By nodeid, month, year, season: total/avg units, total/avg price."""
-    f = node_month_sales(src)
+    f = add_season(node_sales(src, ("year", "month", *season_key(src))))
     return f.select(
-        "nodeid", "month", "year", season("month").alias("season"),
+        "nodeid", "month", "year", "season",
         F.col("units").alias("total_sales_volume"),
         rounded_mean("units", "n_units", 4).alias("avg_sales_volume"),
         money_from_cents("price_c").alias("total_sales_price"),
@@ -129,7 +141,8 @@ def sales_agg(src: SourceSet, by: list[str]) -> DataFrame:
     """Sales, vol, avgprice by node and ``by`` (subset of yr, mn).
 
     With one grouping column (mn or yr) the two dense ranks of a node inside
-    that month/year are added, descending, NULLs first as in PostgreSQL.
+    that month/year are added, descending, NULLs first as in PostgreSQL.  No task
+    holds all nodes of a month or year (``relational.dense_ranks``).
     """
     names = {"yr": "year", "mn": "month"}
     g = node_sales(src, tuple(names[b] for b in by))
@@ -138,10 +151,7 @@ def sales_agg(src: SourceSet, by: list[str]) -> DataFrame:
     out = g.select("nodeid", *by, money_from_cents("_sales_c").alias("sales"), "vol",
                    rounded_mean("_sales_c", "_n_price", 2, total_scale=2).alias("avgprice"))
     if len(by) == 1:
-        w = Window.partitionBy(by[0])
-        out = out.select("*",
-                         F.dense_rank().over(w.orderBy(F.col("sales").desc_nulls_first())).alias("rank_sales"),
-                         F.dense_rank().over(w.orderBy(F.col("vol").desc_nulls_first())).alias("rank_vol"))
+        out = dense_ranks(out, by[0], {"sales": "rank_sales", "vol": "rank_vol"}, "decimal(38,2)")
     return out
 
 
@@ -179,10 +189,10 @@ def is_sales_by_month(src: SourceSet, with_season: bool = False) -> DataFrame:
     month and year, so joining before or after grouping keeps the same rows,
     and after grouping it touches a few rows per node instead of every line.
     """
-    f = node_month_sales(src, cast_node=False)
+    f = node_sales(src, ("year", "month", *(season_key(src) if with_season else ())), cast_node=False)
     keys = ["nodeid", "month", "year"] + (["season"] if with_season else [])
-    out = f.select(
-        "nodeid", "month", "year", *([season("month").alias("season")] if with_season else []),
+    out = (add_season(f) if with_season else f).select(
+        *keys,
         F.col("units").alias("total_sales_volume"),
         rounded_mean("units", "n_units", 4).alias("avg_sales_volume"),
         money_from_cents("price_c").alias("total_sales_price"),
@@ -195,8 +205,8 @@ def is_sales_by_month(src: SourceSet, with_season: bool = False) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- reviews
-def asin_month_reviews(src: SourceSet, score_col: str = "sentiment") -> DataFrame:
-    """(asin, year, month) -> review counts and rating/score sums, pre-aggregated.
+def asin_month_reviews(src: SourceSet, score_col: str = "sentiment", more: tuple[str, ...] = ()) -> DataFrame:
+    """(asin, year, month, *more) -> review counts and rating/score sums, pre-aggregated.
 
     Reviews whose day is not in the calendar are dropped (inner join).
     ``score_col`` is the per-review score averaged by ``mlview`` (sentiment).
@@ -211,7 +221,7 @@ def asin_month_reviews(src: SourceSet, score_col: str = "sentiment") -> DataFram
         aggs += [F.sum("_score").alias("sum_sent"), F.count("_score").alias("n_sent")]
     else:
         aggs += [F.lit(None).cast("decimal(15,2)").alias("sum_sent"), F.lit(0).cast("bigint").alias("n_sent")]
-    return r.groupBy("asin", "year", "month").agg(*aggs)
+    return r.groupBy("asin", "year", "month", *more).agg(*aggs)
 
 
 def review_sums():
@@ -220,24 +230,30 @@ def review_sums():
             F.sum("n_sent").alias("n_sent")]
 
 
-def reviews_by_node(src: SourceSet, how: str, default_node: int | None) -> DataFrame:
-    """(asin, nodeid, year, month) review sums after joining products on asin.
+def reviews_by_node(src: SourceSet, how: str, default_node: int | None, more: tuple[str, ...] = ()) -> DataFrame:
+    """(asin, nodeid, year, month, *more) review sums after joining products on asin.
 
     ``how='left'`` keeps reviews without a product; ``default_node`` replaces a
     NULL node (unknown product or product without node).  Two products with
     one asin count that asin's reviews twice, as the source join does.
     """
     p = src.products.select("asin", node_id("nodeid").alias("nodeid"))
-    j = asin_month_reviews(src).join(p, "asin", how)
+    j = asin_month_reviews(src, more=more).join(p, "asin", how)
     node = F.col("nodeid") if default_node is None else F.coalesce("nodeid", F.lit(default_node).cast("bigint"))
     return j.withColumn("nodeid", node)
 
 
+def node_month_reviews(src: SourceSet) -> DataFrame:
+    """Review sums by asin, node (0 if unknown), month, year and the calendar's season."""
+    more = season_key(src)
+    return add_season(reviews_by_node(src, "left", 0, more).groupBy("asin", "nodeid", "month", "year", *more)
+                       .agg(*review_sums()))
+
+
 def reviewsaggregate(src: SourceSet) -> DataFrame:
     """By asin, node (0 if unknown), month, year, season: numreviews, avgrating."""
-    j = reviews_by_node(src, "left", 0)
-    g = j.groupBy("asin", "nodeid", "month", "year").agg(*review_sums())
-    return g.select("asin", "nodeid", "month", "year", season("month").alias("season"),
+    g = node_month_reviews(src)
+    return g.select("asin", "nodeid", "month", "year", "season",
                     F.col("n_reviews").alias("numreviews"),
                     rounded_mean("sum_overall", "n_overall", 2).alias("avgrating"))
 
