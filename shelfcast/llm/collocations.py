@@ -39,15 +39,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ensure_checkpoint_dir, read_table, ship_package
+from .common import arrow_rows, ensure_checkpoint_dir, read_table, ship_package
 
 MIN_COUNT, MAX_WORDS, TOP = 100, 5, 2000
 #: shares of a language's words whose rarest words are expanded, round by round, until it is settled
-SHARES = (1 / 16, 1 / 2, 1.0)
+SHARES = (1 / 16, 1 / 4, 1.0)
 #: bits of a bitmap, at most (16 MB)
 BITMAP_BITS = 1 << 27
 #: words of one packed array, words that are counted together, distinct words held by a task
-ARRAY_WORDS, COUNT_WORDS, HELD_WORDS = 1 << 16, 1 << 18, 200_000
+ARRAY_WORDS, COUNT_WORDS, HELD_WORDS = 1 << 16, 1 << 20, 200_000
 BREAK = np.uint64(0)
 PACKED = "kind string, lang string, word binary, gram binary, c bigint, ids binary"
 
@@ -340,7 +340,8 @@ def mine(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP, shares: tu
     rows = docs.filter(F.col("text").isNotNull()).select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text"))
     seed = 0
     while True:
-        packed = stored(rows.mapInArrow(_pack(seed), PACKED), f"packed-{seed}", partitionBy="kind")
+        with arrow_rows(spark, 1000):
+            packed = stored(rows.mapInArrow(_pack(seed), PACKED), f"packed-{seed}", partitionBy="kind")
         words = stored(packed.filter("kind = 'words'").groupBy("lang", "word", "gram").agg(F.sum("c").alias("a")),
                        f"words-{seed}")
         clash = words.groupBy("gram").agg(F.count_distinct("word").alias("n")) \
@@ -362,8 +363,9 @@ def mine(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP, shares: tu
         ends = single.join(state, "lang").filter(F.col("a") <= F.col("limit")).select("lang", "gram")
         ends, shorter = bitmap(ends, ends.count()), None
         for m in range(2, MAX_WORDS + 1):
-            counts = counts.union(stored(count_sequences(arrays, m, frequent, shorter, ends, done, min_count),
-                                         f"counts-{number}-{m}"))
+            with arrow_rows(spark, 16):
+                found = stored(count_sequences(arrays, m, frequent, shorter, ends, done, min_count), f"counts-{number}-{m}")
+            counts = counts.union(found)
             if m < MAX_WORDS:
                 level = counts.filter(F.length("gram") == 8 * m).select("lang", "gram")
                 known = level.count()

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +60,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Jobs run inside send at most ``rows`` rows at a time to a Python worker: for rows of large binary values, whose
+    batches Spark measures by rows and keeps outside the heap."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def bit_sum_lanes(value: Column, weight: Column | None = None) -> list[Column]:
     """32 sums that count, for one 64-bit hash per row, how much weight has each bit set.
 

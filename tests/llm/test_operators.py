@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -515,28 +516,95 @@ def test_quotation_weighs_less():
     assert quoted[0] < abuse[0]
 
 
+def test_toxicity_contract_columns(hard, texts):
+    """held_out, predicted and the range of the score, recomputed in plain Python."""
+    for r in hard["op10_toxicity"]:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) if r["doc_id"] is not None else True
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.7)
+
+
+# ---------------------------------------------------------------- quality under filters
+
+def test_filters_do_not_repeat_the_measures(spark):
+    docs = read_table(spark, SMOKE, "documents").select("doc_id", "text")
+
+    def sorts(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("sort_array")
+
+    scored = quality.score(docs)
+    assert sorts(scored) == sorts(scored.filter("kept")) == sorts(scored.filter("n_words > 60 and not base_failed"))
+    assert sorts(quality.keep_good(docs)) == sorts(scored)
+
+
+def test_a_long_clean_text_is_kept(spark):
+    words = [f"{a}{b}{c}" for a in "bcdfglmnprst" for b in "aeiou" for c in "bcdfglmnprst"]
+    rng = random.Random(3)
+    text = " ".join(w if i % 5 else "the" for i, w in enumerate(rng.choices(words, k=1_050_000)))
+    r = quality.score(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert r["n_words"] == 1_050_000 and not r["base_failed"] and r["kept"]
+
+
 # ---------------------------------------------------------------- pipeline
 
+def plain_copies(doc_id, rate, seed=mixing.SEED):
+    """Poisson count: how many of the distribution's cumulative sums are at most the hash-seeded uniform number."""
+    u = (int(hashlib.md5(f"{seed}:{doc_id}:0".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+    k, p = 0, math.exp(-rate)
+    total = p
+    while total <= u:
+        k += 1
+        p *= rate / k
+        total += p
+    return k
+
+
 def test_pipeline_against_brute_force(spark, tmp_path):
+    """Every stage on its own input, and the whole run: rows, counts and token ids recomputed in plain Python."""
+    from tokenizers import Tokenizer
     d = str(tmp_path)
     read_table(spark, SMOKE, "documents").limit(120).write.parquet(f"{d}/documents.parquet")
     docs = read_table(spark, d, "documents").orderBy("doc_id").collect()
     good = [r for r in docs if not plain_quality(r["text"])[5]]
     stages = dict(corpus_pipeline.STAGES)
-    kept = stages["quality rules"](spark, read_table(spark, d, "documents"), d)
+
+    def written(name, source):
+        stages[name](spark, source, d).write.parquet(f"{d}/{name}")
+        return spark.read.parquet(f"{d}/{name}")
+
+    kept = written("quality rules", read_table(spark, d, "documents"))
     verdicts = {r["doc_id"] for r in quality.score(read_table(spark, d, "documents")).filter("kept").collect()}
     assert {r["doc_id"] for r in kept.collect()} == verdicts <= {r["doc_id"] for r in good}
     good = [r for r in good if r["doc_id"] in verdicts]
-    single = stages["SimHash near-dedup"](spark, kept, d)
+    single = written("SimHash near-dedup", kept)
     ids = [r["doc_id"] for r in good]
     comps = plain_components(ids, [plain_fingerprint(r["text"]) for r in good])
     assert sorted(r["doc_id"] for r in single.collect()) == sorted({c for c in comps})
-    clean = stages["PII"](spark, single, d)
-    for r in clean.collect():
+    clean = written("PII", single)
+    redacted = {r["doc_id"]: r for r in clean.collect()}
+    for r in redacted.values():
         assert not pii.base_spans(r["text"]) and r["n_chars"] == len(r["text"])
+    # copies: the counts that the operator's own rates and draws give, recomputed per row
+    mixed = written("mixing sources to target weights", clean).collect()
+    rates = {r["source"]: r["rate"] for r in mixing.source_rates(clean).collect()}
+    drawn = {r["doc_id"]: plain_copies(r["doc_id"], rates[r["source"]]) for r in redacted.values()}
+    got = collections.Counter(r["doc_id"] for r in mixed)
+    assert got == {i: n for i, n in drawn.items() if n}
+    assert all(r["text"] == redacted[r["doc_id"]]["text"] for r in mixed)
+    t = Tokenizer.from_file(bpe.default_vocabulary())
+    want = collections.Counter()
+    for i, n in drawn.items():
+        if n:
+            text = redacted[i]["text"]
+            coded = t.encode(text, add_special_tokens=False).ids
+            want[i, redacted[i]["source"], len(coded), np.array(coded, "<u4").tobytes(),
+                 hashlib.sha256(t.decode(coded, skip_special_tokens=False).encode()).hexdigest()] += n
     out = corpus_pipeline.run(spark, d).collect()
-    assert {r["doc_id"] for r in out} <= set(comps) and all(len(r["ids"]) == 4 * r["n_tokens"] for r in out)
+    assert collections.Counter((r["doc_id"], r["source"], r["n_tokens"], bytes(r["ids"]), r["decoded_sha256"])
+                               for r in out) == want
 
 
 def test_pipeline_on_hard_rows(spark, hard_dir):
-    assert corpus_pipeline.run(spark, hard_dir).count() >= 0
+    out = corpus_pipeline.run(spark, hard_dir).collect()
+    good = {r["doc_id"] for r in quality.score(read_table(spark, hard_dir, "documents")).filter("kept").collect()}
+    assert good and {r["doc_id"] for r in out} <= good
+    assert all(len(r["ids"]) == 4 * r["n_tokens"] for r in out)
