@@ -44,3 +44,44 @@ def calendar(spark: SparkSession, span: CalendarSpan) -> DataFrame:
 def enrich_calendar(cal: DataFrame) -> DataFrame:
     """Add ``season`` and ``holidayseason`` (no ELSE: other months give NULL)."""
     return cal.withColumn("season", season("month")).withColumn("holidayseason", holiday_season("month"))
+
+
+# Weekday columns of the calendar, Monday first, and the kinds of holidays it has a column for.
+WEEKDAYS = ("Mondays", "Tuesdays", "Wednesdays", "Thursdays", "Fridays", "Saturdays", "Sundays")
+HOLIDAY_KINDS = ("National", "Minor", "Christian", "Jewish", "Muslim", "Chinese", "Other")
+
+
+def calendar_days(cal: DataFrame) -> DataFrame:
+    """The calendar with every date column of the store schema, computed from ``date``.
+
+    iso ``yyyy-mm-dd``; datenum ``yyyymmdd`` as a number; dow three letters and dowint 0 (Sunday)
+    to 6; dom; monthabbr; doy; and one column per weekday that is 1 on that weekday, so
+    that its sum over any days counts them.  Season and holiday season are the calendar's own.
+    """
+    d, base = F.col("date"), cal if "season" in cal.columns else enrich_calendar(cal)
+    return base.select(
+        "date", F.year(d).alias("year"), F.month(d).alias("month"), "season", "holidayseason",
+        F.date_format(d, "yyyy-MM-dd").alias("iso"),
+        (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).alias("datenum"),
+        F.date_format(d, "E").alias("dow"), (F.dayofweek(d) - 1).alias("dowint"), F.dayofmonth(d).alias("dom"),
+        F.date_format(d, "MMM").alias("monthabbr"), F.dayofyear(d).alias("doy"),
+        *[(F.weekday(d) == i).cast("int").alias(name.lower()) for i, name in enumerate(WEEKDAYS)])
+
+
+def with_holidays(days: DataFrame, holidays: DataFrame) -> DataFrame:
+    """``days`` with numholidays, holidayname, holidaytype and one ``hol_`` column per kind from (date, name, kind).
+
+    Several holidays of one day are joined by ``"; "`` in the order of their names; the
+    type of a day is that of its first holiday in the order of ``HOLIDAY_KINDS``.  Kinds that the
+    schema has no column for, and missing ones, are ``Other``.
+    """
+    kind = F.when(F.col("kind").isin(*HOLIDAY_KINDS), F.col("kind")).otherwise(F.lit("Other"))
+    rows = holidays.where(F.col("date").isNotNull() & F.col("name").isNotNull()).select(
+        "date", "name", kind.alias("kind")).distinct()
+    place = F.array_position(F.array(*[F.lit(k) for k in HOLIDAY_KINDS]), F.col("kind"))
+    names = lambda cond: F.array_join(F.array_sort(F.collect_set(F.when(cond, F.col("name")))), "; ")
+    per_day = rows.groupBy("date").agg(
+        F.count(F.lit(1)).cast("int").alias("numholidays"), names(F.lit(True)).alias("holidayname"),
+        F.min_by("kind", place).alias("holidaytype"),
+        *[F.nullif(names(F.col("kind") == k), F.lit("")).alias(f"hol_{k.lower()}") for k in HOLIDAY_KINDS])
+    return days.join(per_day, "date", "left").withColumn("numholidays", F.coalesce("numholidays", F.lit(0)))

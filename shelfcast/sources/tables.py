@@ -10,8 +10,11 @@ views expect.  Two loaders exist:
   stand-in address columns of orders come from ``orders`` itself, so the
   orders source is a plain projection with no join).
 
-Nothing here runs a job; every table is a projection of a parquet scan, so
-column pruning and filters reach the scan.
+Every table is a projection of a parquet scan, so column pruning and filters
+reach the scan.  No table runs a job.  One thing does: the calendar of ``load``
+covers the years of the orders, whose first and last date are read from the one
+date column of a folder when a query first needs them, once per folder and application.
+Give a span to ``from_tables`` (or a calendar table) and nothing is read.
 """
 
 from __future__ import annotations
@@ -31,9 +34,19 @@ from .classification import nest_levels, read_classification
 REVIEW_EPOCH = dt.date(1995, 1, 1)
 
 
-def order_span(orders: DataFrame) -> CalendarSpan:
+_DATES: dict[tuple[str, str], tuple] = {}
+
+
+def order_dates(orders: DataFrame, folder: str, again: bool = False) -> tuple[dt.date | None, dt.date | None]:
+    """First and last order date of a folder; ``again`` reads them anew after the folder has changed."""
+    key = (orders.sparkSession.sparkContext.applicationId, folder)
+    if again or key not in _DATES:
+        _DATES[key] = tuple(orders.agg(F.min("orderdate"), F.max("orderdate")).first())
+    return _DATES[key]
+
+
+def order_span(first: dt.date | None, last: dt.date | None) -> CalendarSpan:
     """Whole years that hold all order dates, and the year before for the first months' history (trap T3)."""
-    first, last = orders.agg(F.min("orderdate"), F.max("orderdate")).first()
     first, last = first or dt.date(1970, 1, 1), last or dt.date(1970, 1, 1)
     return CalendarSpan(dt.date(first.year - 1, 1, 1), dt.date(last.year, 12, 31))
 
@@ -179,8 +192,11 @@ class SourceSet:
 
     # ------------------------------------------------------------------ loaders
     @classmethod
-    def load(cls, spark: SparkSession, sf_dir: str) -> "SourceSet":
-        """Bind the driver test tables (region ... documents) to the store schema."""
+    def load(cls, spark: SparkSession, sf_dir: str, again: bool = False) -> "SourceSet":
+        """Bind the driver test tables (region ... documents) to the store schema.
+
+        ``again``: read the span of the order dates anew (the folder has changed since it was first loaded).
+        """
         raw: dict[str, DataFrame] = {}
 
         def read(name):
@@ -210,7 +226,7 @@ class SourceSet:
             return read("documents").select(F.col("doc_id").alias("reviewid"), "text")
 
         return cls(spark=spark, orders=orders, orderlines=orderlines, products=products,
-                   customers=customers, campaigns=campaigns, reviews=reviews, span=lambda: order_span(orders()),
+                   customers=customers, campaigns=campaigns, reviews=reviews, span=lambda: order_span(*order_dates(orders(), sf_dir, again)),
                    classification=lambda: classification_from_part(read("part")),
                    review_text=review_text, root=sf_dir)
 

@@ -40,10 +40,32 @@ def test_calendar_join_is_a_pushed_filter(spark):
 
 
 def test_aggregate_before_product_shuffle(spark):
-    """Lines are partially aggregated to (product, year, month) before the product join."""
-    qe = E.queries()["salesaggregate"](spark, SMOKE)._jdf.queryExecution()
-    plan = qe.executedPlan().toString()
-    assert "partial_sum" in plan and plan.index("partial_sum") > 0
+    """Lines are partially aggregated to (product, year, month) before any exchange by product."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = E.queries()["salesaggregate"](spark, SMOKE)._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by_product = [i for i, x in enumerate(lines) if "Exchange hashpartitioning(productid" in x and "month" in x]
+    assert by_product
+    # the operator that feeds the exchange is the partial sum over the joined lines
+    assert all("partial_sum" in lines[i + 1] and "productid" in lines[i + 1] for i in by_product)
+    # and no exchange by product moves single lines
+    assert not [x for x in lines if "Exchange hashpartitioning(productid" in x and "numunits" in x]
+
+
+def test_tfidf_moves_counts_not_texts(spark):
+    """No exchange of a text, no file written, and both uses of the counts read one exchange."""
+    for name in ("reviews_tfidf", "tfidf_vocabulary"):
+        df = E.queries()[name](spark, SMOKE)
+        lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+        assert not [x for x in lines if "Exchange" in x and "text" in x]
+        at = [i for i, x in enumerate(lines) if "REPARTITION_BY_COL" in x]
+        assert at and all("terms" in lines[i + 1] for i in at)
+    df = E.queries()["reviews_tfidf"](spark, SMOKE)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert sum("FileScan" in x and "text" in x for x in final.splitlines()) == 1 and "ReusedExchange" in final
 
 
 def test_feature_conditions_reach_the_scans(spark):
