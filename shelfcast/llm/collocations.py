@@ -47,7 +47,9 @@ SHARES = (1 / 16, 1 / 4, 1.0)
 #: bits of a bitmap, at most (16 MB)
 BITMAP_BITS = 1 << 27
 #: words of one packed array, words that are counted together, distinct words held by a task
-ARRAY_WORDS, COUNT_WORDS, HELD_WORDS = 1 << 16, 1 << 20, 200_000
+ARRAY_WORDS, COUNT_WORDS, HELD_WORDS = 1 << 16, 1 << 18, 200_000
+#: rows sent to Spark at a time
+SENT_ROWS = 1 << 15
 BREAK = np.uint64(0)
 PACKED = "kind string, lang string, word binary, gram binary, c bigint, ids binary"
 
@@ -195,7 +197,8 @@ COUNTED = "lang string, gram binary, a bigint, left_min bigint, left_max bigint,
 
 
 def _summed(partial: DataFrame) -> DataFrame:
-    return partial.groupBy("lang", "gram").agg(
+    # tasks have summed what they read; a second sum before the exchange would hold much and save little
+    return partial.repartition("lang", "gram").groupBy("lang", "gram").agg(
         F.sum("a").alias("a"), F.min("left_min").alias("left_min"), F.max("left_max").alias("left_max"),
         F.min("right_min").alias("right_min"), F.max("right_max").alias("right_max"))
 
@@ -238,10 +241,12 @@ def count_sequences(arrays: DataFrame, m: int, frequent: Bitmap, shorter: Bitmap
         first = np.flatnonzero(new)
         left = np.where(at > 0, w[np.maximum(at - 1, 0)], BREAK).view(np.int64)
         right = np.where(at + m < len(w), w[np.minimum(at + m, len(w) - 1)], BREAK).view(np.int64)
-        yield pa.record_batch([
+        out = pa.record_batch([
             pa.repeat(lang, len(first)), _grams(columns[first]), np.diff(np.append(first, len(at))),
             np.minimum.reduceat(left, first), np.maximum.reduceat(left, first),
             np.minimum.reduceat(right, first), np.maximum.reduceat(right, first)], names=COUNTED_NAMES)
+        for start in range(0, len(out), SENT_ROWS):
+            yield out.slice(start, SENT_ROWS)
 
     def counted(batches):
         held: dict[str, list[np.ndarray]] = {}

@@ -27,4 +27,5 @@ ORACLE = {
     "op7_mixing": mixing.ORACLE,
     "op11_collocations": collocations.ORACLE,
     "op12_hard_negatives": hard_negatives.ORACLE,
+    "op13_suffix_dedup": suffix_dedup.ORACLE,
 }

@@ -484,3 +484,34 @@ def op13(spark, sf_dir) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", F.size("starts").cast("bigint").alias("n_spans"),
                                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# windows are read from blocks of 500 bytes and the 49 after them: a place in a long string is dear to find
+ORACLE = """
+with docs as (
+  select row_number() over () as rid, doc_id, coalesce(doc_id, 9223372036854775807) as ord, hex(encode(coalesce(text, ''))) as x
+  from documents
+), blocks as (
+  select rid, ord, 500 * nr as start, substr(x, 1000 * nr + 1, 1098) as part
+  from (select *, unnest(range(0, length(x) // 1000 + 1)) as nr from docs where length(x) >= 100)
+), windows as (
+  select rid, ord, start + k as pos, substr(part, 2 * k + 1, 100) as w
+  from (select *, unnest(range(0, least(500, length(part) // 2 - 49))) as k from blocks)
+), least as (
+  select w, min(ord) as low from windows group by w having min(ord) <> max(ord)
+), gone as (
+  select rid, pos, case when pos <= lag(pos) over o + 50 then 0 else 1 end as fresh
+  from windows join least using (w) where ord > low window o as (partition by rid order by pos)
+), spans as (
+  select rid, min(pos) as a, max(pos) + 50 as b from (
+    select *, sum(fresh) over (partition by rid order by pos) as span from gone) g
+  group by rid, span
+), cuts as (
+  select rid, sum(b - a) as removed, count(*) as n, list(struct_pack(a := a, b := b) order by a) as s from spans group by rid
+)
+select doc_id, (length(x) // 2)::bigint as n_bytes, coalesce(removed, 0)::bigint as n_removed, coalesce(n, 0)::bigint as n_spans,
+  sha256(unhex(case when n is null then x else
+    array_to_string(list_transform(range(0, n + 1), lambda i: substr(x, case when i = 0 then 1 else 2 * s[i].b + 1 end,
+      case when i < n then 2 * s[i + 1].a else length(x) end - case when i = 0 then 0 else 2 * s[i].b end)), '') end)) as kept_sha256
+from docs left join cuts using (rid)
+"""
