@@ -45,8 +45,8 @@ from pyspark.sql import functions as F
 from .common import ensure_checkpoint_dir, read_table, ship_package
 
 LENGTH, GRAM = 50, 16
-#: bytes of text hashed at a time
-STEP = 1 << 17
+#: bytes of text hashed at a time (arrays that stay in the cache)
+STEP = 1 << 15
 #: runs that a task holds before it sends them on
 HELD = 1 << 20
 #: bits of a bitmap at most (16 MB), runs of one hash range
@@ -139,11 +139,12 @@ def _packed_keys(length: int, range_bits: int):
     """Keys of a task's runs, sorted, by hash range: low 32 bits as byte planes of their differences, and weights."""
     def pack(keys, ids, ends):
         key, own, end = np.concatenate(keys), np.concatenate(ids), np.concatenate(ends)
-        order = np.lexsort((end, key))
+        order = np.argsort(key, kind="stable")
         key, own, end = key[order], own[order], end[order]
         new = np.append(True, key[1:] != key[:-1])
         first = np.flatnonzero(new)
         several = np.minimum.reduceat(own, first) != np.maximum.reduceat(own, first)
+        # at least the number of different runs of a key; it decides no more than how they are dealt out
         different = np.add.reduceat((new | np.append(True, end[1:] != end[:-1])).astype(np.int64), first)
         weight = (np.minimum(different, 127) | (several << 7)).astype(np.uint8)
         key = key[first]
