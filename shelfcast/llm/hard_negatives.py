@@ -73,8 +73,8 @@ class Planes:
     def __init__(self, v: np.ndarray, turn: np.ndarray):
         turned = v @ turn.T
         self.dim = v.shape[1]
-        low = turned.min(axis=1, initial=np.inf)
-        step = np.maximum((turned.max(axis=1, initial=-np.inf) - low) / ((1 << PLANES) - 1), 1e-300)
+        low, high = (f(turned, axis=1) if self.dim else np.zeros(len(v)) for f in (np.min, np.max))
+        step = np.maximum((high - low) / ((1 << PLANES) - 1), 1e-300)
         level = np.rint((turned - low[:, None]) / step[:, None]).astype(np.int64)
         near = low[:, None] + step[:, None] * level
         padded = np.zeros((len(v), -(-self.dim // 64) * 64), dtype=np.int64)
@@ -190,8 +190,11 @@ class AnchorBlock:
                         lists = []
                         for number, eligible, low, high in bounds(at[part], ids, labels):
                             kept = best.setdefault((d, number), Best(len(at), k))
-                            reach = np.maximum(low, kept.least[part])
-                            lists.append((kept, eligible & (upper >= reach[:, None]) & (lower <= high[:, None]), low, high))
+                            # scores are held at the limits of a long, their intervals are not
+                            reach = np.maximum(np.where(low <= -_LONG, -np.inf, low), kept.least[part])
+                            reach = np.where(reach >= _LONG, float(1 << 62), reach)
+                            limit = np.where(high >= _LONG, np.inf, high)
+                            lists.append((kept, eligible & (upper >= reach[:, None]) & (lower <= limit[:, None]), low, high))
                         wanted = np.logical_or.reduce([x[1] for x in lists])
                         scores = integer_scores(self.vectors[d][part], v, wanted)
                         for kept, open_, low, high in lists:

@@ -11,6 +11,12 @@ hash bundles, each packed as one group.  So the packing sees a number of units
 bounded by parameters, whatever the input, and the assignment goes back to the
 rows through a join with that bounded table.
 
+``pack_capacity`` is the form with a given capacity: shards open as needed, as few as
+best fit decreasing finds.  Groups are dealt by hash into parts of bounded size, each
+packed in one task; shards that are not nearly full go through another
+round, as units, until one part is left or ``ROUNDS`` have passed.  Nothing of it
+passes through the driver, whatever the number of shards.
+
 Law ``bytes``: the smallest capacity is searched at which the units fit into
 the wanted number of shards.  A group larger than an even share makes its
 shard as much larger; groups stay whole in every case.
@@ -22,11 +28,12 @@ an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, read_table
+from .common import cut, read_table, ship_package
 
 #: units per shard that the packing sees at most (large groups), and hash bundles of small groups per shard
 GRAIN, BUNDLES = 1024, 512
@@ -175,6 +182,79 @@ def assign_shards(rows: DataFrame, shards: int, group: str = "group_key", size:
             .drop("_bundle", "_big_shard", "_small_shard"))
 
 
+#: groups packed in one task, rounds, and the share of the capacity above which a shard is full
+PART_UNITS, ROUNDS, FULL = 100_000, 3, 0.98
+
+
+def _pack_part(capacity: int, round_: int):
+    """Units of a part, largest first -> (unit, bin, filled): best fit decreasing, part by part."""
+    def scan(batches):
+        part, tree, bins, rows, filled = None, None, 0, [], []
+
+        def done():
+            return pd.DataFrame({"unit": [u for u, _ in rows], "bin": [f"{round_}:{part}:{b}".encode() for _, b in rows],
+                                 "filled": [filled[b] for _, b in rows]})
+
+        for batch in batches:
+            for p, unit, size in zip(batch["part"].tolist(), batch["unit"], batch["bytes"].tolist(), strict=True):
+                if p != part:
+                    if rows:
+                        yield done()
+                    part, tree, bins, rows, filled = p, CapacityTree(), 0, [], []
+                key = tree.tightest(size)
+                if key is None:
+                    key = (max(capacity, size), bins)      # a group above the capacity has a shard of its own
+                    bins += 1
+                    filled.append(0)
+                else:
+                    tree.remove(key)
+                rows.append((unit, key[1]))
+                filled[key[1]] += size
+                tree.add((key[0] - size, key[1]))
+        if rows:
+            yield done()
+
+    return scan
+
+
+def pack_capacity(rows: DataFrame, capacity: int, group: str = "group_key", size: str = "size",
+                  part_units: int = PART_UNITS) -> DataFrame:
+    """``rows`` plus ``shard`` (0, 1, 2, ...): as few shards of at most ``capacity`` as best fit decreasing needs.
+
+    ``group`` is binary; rows of a group share a shard, and a group above the capacity has one of its
+    own.  With up to ``part_units`` groups the packing is that of ``best_fit_decreasing``; beyond, a part can
+    leave one shard half empty, which the next round fills with those of other parts.
+    """
+    ship_package(rows.sparkSession)
+    units = cut(rows.groupBy(group).agg(F.sum(size).alias("bytes")).select(F.col(group).alias("unit"), "bytes"))
+    placed = units.select(F.col("unit").alias("_group"), F.col("unit").alias("_bin"))
+    n = units.count()
+    for round_ in range(ROUNDS):
+        parts = max(1, -(-n // part_units))
+        dealt = units.withColumn("part", F.pmod(F.xxhash64("unit", F.lit(round_)), F.lit(parts)).cast("int"))
+        packed = cut(dealt.repartition(parts, "part").sortWithinPartitions("part", F.desc("bytes"), "unit")
+                     .mapInPandas(_pack_part(capacity, round_), "unit binary, bin binary, filled bigint"))
+        placed = placed.join(packed.select(F.col("unit").alias("_bin"), "bin"), "_bin", "left") \
+            .select("_group", F.coalesce("bin", "_bin").alias("_bin"))
+        if parts == 1:
+            break
+        units = cut(packed.groupBy("bin").agg(F.max("filled").alias("bytes")).filter(F.col("bytes") < FULL * capacity)
+                    .select(F.col("bin").alias("unit"), "bytes"))
+        n = units.count()
+        if not n:
+            break
+    placed = cut(placed)
+    bins = placed.select("_bin").distinct()
+    chunks = max(1, bins.count() // SLOT_ROWS)
+    chunked = bins.withColumn("_chunk", F.pmod(F.xxhash64("_bin"), F.lit(chunks)))
+    counts = chunked.groupBy("_chunk").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(F.lit(0)).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)   # a row a chunk
+    starts = counts.select("_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    numbers = chunked.withColumn("_at", F.row_number().over(Window.partitionBy("_chunk").orderBy("_bin"))) \
+        .join(starts, "_chunk").select("_bin", (F.col("_first") + F.col("_at") - 1).cast("bigint").alias("shard"))
+    return rows.join(placed.join(numbers, "_bin").drop("_bin"), rows[group] == F.col("_group")).drop("_group")
+
+
 def number_slots(rows: DataFrame, order: list[str], shards: int) -> DataFrame:
     """Adds ``slot``: 0, 1, 2, ... without gaps in every shard.
 

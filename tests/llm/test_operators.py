@@ -98,6 +98,56 @@ def test_sharding_law_groups_and_slots(hard, texts):
     assert {r["law"] for r in rows} == {"bytes"} and {r["grown_shard"] for r in rows} == {None}
 
 
+def _sized(spark, sizes):
+    rows = [(i, str(i).encode(), n) for i, n in enumerate(sizes)]
+    return spark.createDataFrame(rows, "id long, group_key binary, size long").repartition(4)
+
+
+def test_sharding_into_a_fixed_capacity(spark):
+    rng = random.Random(6)
+    sizes = [rng.randint(1, 40) if i % 3 else rng.randint(200, 700) for i in range(900)] + [1000] * 5 + [1500, 1]
+    # one part: the shards of a plain best fit decreasing of the same units
+    got = {r["id"]: r["shard"] for r in sharding.pack_capacity(_sized(spark, sizes), 1000).collect()}
+    plain = sharding.best_fit_decreasing([n for n in sizes if n <= 1000], 1000)
+    assert sorted(set(got.values())) == list(range(max(plain) + 2))     # and one for the group above the capacity
+    loads = collections.Counter()
+    for i, shard in got.items():
+        loads[shard] += sizes[i]
+    assert sorted(loads.values())[-1] == 1500 and sorted(loads.values())[-2] <= 1000
+    # several parts: rows of a group together, no shard above the capacity, few shards more
+    many = _sized(spark, sizes[:900]).unionAll(_sized(spark, sizes[:300]).selectExpr("id", "group_key", "1L as size"))
+    total = [n + (i < 300) for i, n in enumerate(sizes[:900])]
+    rows = sharding.pack_capacity(many, 1000, part_units=70).collect()
+    assert len(rows) == 1200
+    by_group = {r["id"]: r["shard"] for r in rows}
+    assert all(by_group[r["id"]] == r["shard"] for r in rows)
+    loads = collections.Counter()
+    for i, shard in by_group.items():
+        loads[shard] += total[i]
+    assert max(loads.values()) <= 1000 and sorted(loads) == list(range(len(loads)))
+    assert len(loads) <= 1.03 * (max(sharding.best_fit_decreasing(total, 1000)) + 1)
+    assert sharding.pack_capacity(_sized(spark, []), 10).count() == 0
+
+
+def test_shards_of_the_query_path_like_a_plain_packing(spark):
+    """Groups above the grain are packed one by one: their shards are those of the plain even packing of the same units."""
+    rng = random.Random(9)
+    sizes = [rng.randint(500, 9000) for _ in range(300)]
+    got = {r["id"]: r["shard"] for r in sharding.assign_shards(_sized(spark, sizes), 8).collect()}
+    order = sorted(range(len(sizes)), key=lambda i: (-sizes[i], str(i).encode()))
+    plain = sharding.pack_evenly([sizes[i] for i in order], 8)
+    assert [got[i] for i in order] == plain
+    # with many small groups in bundles, loads stay within 1 % of an unbundled packing's
+    sizes = [rng.randint(1, 30) for _ in range(20_000)] + [rng.randint(500, 9000) for _ in range(200)]
+    loads = collections.Counter()
+    for r in sharding.assign_shards(_sized(spark, sizes), 8).collect():
+        loads[r["shard"]] += sizes[r["id"]]
+    plain = collections.Counter()
+    for n, shard in zip(sizes, sharding.pack_evenly(sizes, 8), strict=True):
+        plain[shard] += n
+    assert max(loads.values()) <= 1.01 * max(plain.values()) and min(loads.values()) >= 0.99 * min(plain.values())
+
+
 def test_sharding_is_near_equal_and_keeps_groups(spark):
     rows = sharding.shard_documents(read_table(spark, SMOKE, "documents")).collect()
     loads = collections.Counter()
