@@ -3,6 +3,9 @@
 Every byte covered by a ``length``-byte window that also starts in a document of a
 smaller id goes.  The work is dealt out by content, so that equal windows meet:
 
+* *Copies.*  Equal texts are one text with its smallest id; its other copies lose every byte.
+  Copies are found by a strong digest, and what tells the tasks which rows are first copies is a bitmap
+  of bounded size (a false hit costs work, never a result).
 * *Runs.*  The key of a window is the smallest hash of the 16-byte strings inside it.
   Neighbouring windows of one key are one run, a string of at most 84 bytes for
   windows of 50.  Each window lies in one run, equal windows have equal keys.
@@ -42,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ensure_checkpoint_dir, read_table, ship_package
+from .common import cut, read_table, ship_package
 
 LENGTH, GRAM = 50, 16
 #: bytes of text hashed at a time (arrays that stay in the cache)
@@ -52,7 +55,7 @@ HELD = 1 << 20
 #: bits of a bitmap at most (16 MB), runs of one hash range
 BITMAP_BITS, RANGE_RUNS = 1 << 27, 1 << 15
 #: keys with more different runs are dealt out window by window
-HOT_RUNS = 1000
+HOT_RUNS = 5000
 #: strings of one collection, about
 COLLECTION = 1500
 NO_ID = (1 << 63) - 1
@@ -83,6 +86,39 @@ def _least(h: np.ndarray, span: int) -> np.ndarray:
     return np.minimum(h[:k - span], h[span - k:]) if k < span else h
 
 
+class Firsts:
+    """Rows that may be the first copy of their text, as bits of a hash: no first copy is missed."""
+
+    def __init__(self, bits: int, packed: np.ndarray):
+        self.bits, self.packed = bits, packed
+
+    @staticmethod
+    def place(text_hash: np.ndarray, own: np.ndarray, bits: int) -> np.ndarray:
+        h = (text_hash.view(np.uint64) * _A) ^ (own.view(np.uint64) * _B)
+        return ((h ^ (h >> np.uint64(32))) * _C) >> np.uint64(64 - bits)
+
+    def pick(self, batch: pd.DataFrame) -> pd.DataFrame:
+        at = self.place(batch["text_hash"].to_numpy(np.int64), batch["ord"].to_numpy(np.int64), self.bits)
+        return batch[(self.packed[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+
+
+def first_copies(least: DataFrame) -> Firsts:
+    """Bitmap of (``text_hash``, ``least``): at most 16 MB, whatever the number of texts."""
+    bits = max(16, min(BITMAP_BITS.bit_length() - 1, (16 * least.count()).bit_length()))
+
+    def places(batches):
+        for batch in batches:
+            at = Firsts.place(batch["text_hash"].to_numpy(np.int64), batch["least"].to_numpy(np.int64), bits)
+            yield pd.DataFrame({"word": (at >> np.uint64(6)).astype(np.int32),
+                                "bits": (np.uint64(1) << (at & np.uint64(63))).view(np.int64)})
+
+    words = least.select("text_hash", "least").mapInPandas(places, "word int, bits bigint").groupBy("word") \
+        .agg(F.bit_or("bits").alias("bits")).toPandas()
+    packed = np.zeros(1 << bits - 6, np.int64)
+    packed[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    return Firsts(bits, packed.view(np.uint8))
+
+
 def find_runs(data: bytes, bounds: np.ndarray, length: int):
     """Runs of the windows of the texts between ``bounds``: start, number of windows, key, and a hash of their ends."""
     grams = _gram_hashes(data)
@@ -135,16 +171,15 @@ def batch_runs(texts: list[bytes], length: int):
 
 # ---------------------------------------------------------------- shared keys
 
-def _packed_keys(length: int, range_bits: int):
+def _packed_keys(length: int, range_bits: int, firsts):
     """Keys of a task's runs, sorted, by hash range: low 32 bits as byte planes of their differences, and weights."""
     def pack(keys, ids, ends):
         key, own, end = np.concatenate(keys), np.concatenate(ids), np.concatenate(ends)
-        order = np.argsort(key, kind="stable")
+        order = np.lexsort((end, key))
         key, own, end = key[order], own[order], end[order]
         new = np.append(True, key[1:] != key[:-1])
         first = np.flatnonzero(new)
         several = np.minimum.reduceat(own, first) != np.maximum.reduceat(own, first)
-        # at least the number of different runs of a key; it decides no more than how they are dealt out
         different = np.add.reduceat((new | np.append(True, end[1:] != end[:-1])).astype(np.int64), first)
         weight = (np.minimum(different, 127) | (several << 7)).astype(np.uint8)
         key = key[first]
@@ -161,6 +196,7 @@ def _packed_keys(length: int, range_bits: int):
     def scan(batches):
         keys, ids, ends, held = [], [], [], 0
         for batch in batches:
+            batch = firsts.value.pick(batch)
             own = batch["ord"].to_numpy(np.int64)
             for _, text, _, _, _, key, end in batch_runs(list(batch["text"]), length):
                 if len(key):
@@ -217,15 +253,15 @@ class Keys:
         return self._at(self.hot, key)
 
 
-def shared_keys(docs: DataFrame, length: int, hot_runs: int = HOT_RUNS) -> Keys:
+def shared_keys(docs: DataFrame, length: int, firsts, hot_runs: int = HOT_RUNS) -> Keys:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     expected = max(1, 2 * size // (length - GRAM + 1))                 # runs, about
     range_bits = max(1, (expected // RANGE_RUNS).bit_length())
     bits = max(range_bits + 6, min(BITMAP_BITS.bit_length() - 1, (8 * expected).bit_length()))
-    slices = docs.mapInPandas(_packed_keys(length, range_bits), "range int, keys binary, weights binary") \
+    slices = docs.mapInPandas(_packed_keys(length, range_bits, firsts), "range int, keys binary, weights binary") \
         .groupBy("range").applyInPandas(_merged_range(bits - range_bits, hot_runs), "range int, shared binary, hot binary")
     out, step = Keys(bits), 1 << bits - range_bits - 3
-    for row in slices.toLocalIterator():
+    for row in slices.collect():                                       # the two bitmaps, of bounded size
         at = slice(row["range"] * step, (row["range"] + 1) * step)
         out.shared[at] = np.frombuffer(zlib.decompress(row["shared"]), np.uint8)
         if row["hot"] is not None:
@@ -392,12 +428,14 @@ def _resolve(length: int):
 # ---------------------------------------------------------------- documents
 
 def _apply(length: int):
-    def cut(batches):
+    def removed(batches):
         for batch in batches:
             rows = {"doc_id": batch["doc_id"], "n_bytes": [], "n_removed": [], "starts": [], "ends": [], "kept": []}
-            for text, places, masks in zip(batch["text"], batch["places"], batch["masks"], strict=True):
+            for text, copy, places, masks in zip(batch["text"], batch["copy"], batch["places"], batch["masks"], strict=True):
                 starts = ends = np.zeros(0, np.int64)
-                if places is not None and len(places):
+                if copy and len(text) >= length:
+                    starts, ends = np.zeros(1, np.int64), np.full(1, len(text))
+                elif places is not None and len(places):
                     bits = np.unpackbits(np.asarray(masks, np.int64).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
                     run, j = np.nonzero(bits)
                     at = np.unique(np.asarray(places, np.int64)[run] + j)
@@ -412,7 +450,7 @@ def _apply(length: int):
                 rows["kept"].append(kept)
             yield pd.DataFrame(rows)
 
-    return cut
+    return removed
 
 
 def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH,
@@ -422,12 +460,15 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", le
         raise ValueError("length must be 17 to 78: a run's windows are bits of a long")
     spark = df.sparkSession
     ship_package(spark)
-    ensure_checkpoint_dir(spark)
     docs = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"))
     docs = docs.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("ord"), F.xxhash64("t").alias("text_hash"),
                        F.col("t").cast("binary").alias("text"))
+    digest = F.unhex(F.sha2("text", 256)).alias("digest")
+    least = cut(docs.select("ord", "text_hash", digest).groupBy("digest").agg(
+        F.min("ord").alias("least"), F.min("text_hash").alias("text_hash")))
+    firsts = spark.sparkContext.broadcast(first_copies(least))
     long_enough = docs.filter(F.octet_length("text") >= length).select("ord", "text_hash", "text")
-    shared = spark.sparkContext.broadcast(shared_keys(long_enough.select("ord", "text"), length, hot_runs))
+    shared = spark.sparkContext.broadcast(shared_keys(long_enough, length, firsts, hot_runs))
 
     def strings(batches):
         held = {}
@@ -437,6 +478,7 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", le
                                  "low": [v[0] for v in held.values()], "high": [v[1] for v in held.values()]})
 
         for batch in batches:
+            batch = firsts.value.pick(batch)
             own = batch["ord"].tolist()
             for t, _, _, key, string in _shared_strings(list(batch["text"]), length, shared.value):
                 was = held.get((key, string))
@@ -453,32 +495,37 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", le
 
     def occurrences(batches):
         for batch in batches:
+            batch = firsts.value.pick(batch)
             own, hashes = batch["ord"].tolist(), batch["text_hash"].tolist()
             rows = []
             for t, place, windows, key, string in _shared_strings(list(batch["text"]), length, shared.value):
-                rows.append((key, _digest(string), own[t], hashes[t], place, windows))
+                rows.append((key, _digest(string), own[t], hashes[t], place << 8 | windows))
                 if len(rows) >= HELD // 8:
                     yield pd.DataFrame(rows, columns=OCCURRENCE)
                     rows = []
             if rows:
                 yield pd.DataFrame(rows, columns=OCCURRENCE)
 
-    decided = long_enough.select("ord", "text").mapInPandas(strings, "key bigint, string binary, low bigint, high bigint") \
+    decided = long_enough.mapInPandas(strings, "key bigint, string binary, low bigint, high bigint") \
         .repartition("key").sortWithinPartitions("key") \
         .mapInPandas(_resolve(length), "key bigint, string bigint, low bigint, earlier bigint")
-    found = long_enough.mapInPandas(occurrences, "key bigint, string bigint, ord bigint, text_hash bigint, place int, n int")
+    found = long_enough.mapInPandas(occurrences, "key bigint, string bigint, ord bigint, text_hash bigint, run bigint")
     windows = found.join(decided, ["key", "string"]).select(
-        "ord", "text_hash", "place",
-        F.when(F.col("ord") > F.col("low"), F.expr("shiftleft(1L, n) - 1")).otherwise(F.col("earlier")).alias("mask")) \
+        "ord", "text_hash", F.shiftright("run", 8).alias("place"),
+        F.when(F.col("ord") > F.col("low"), F.expr("shiftleft(1L, cast(run & 255 as int)) - 1")).otherwise(F.col("earlier"))
+        .alias("mask")) \
         .filter("mask <> 0")
     by_text = windows.groupBy("ord", "text_hash").agg(F.collect_set(F.struct("place", "mask")).alias("cuts"))
-    return docs.join(by_text, ["ord", "text_hash"], "left").select(
-        "doc_id", "text", F.col("cuts.place").alias("places"), F.col("cuts.mask").alias("masks")) \
+    of_text = least.withColumnRenamed("least", "ord").join(by_text, ["ord", "text_hash"], "left").select(
+        "digest", F.col("ord").alias("least"), F.col("cuts.place").alias("places"), F.col("cuts.mask").alias("masks"))
+    # a text that very many rows share is split by the skew join: its decision is one row
+    return docs.select("doc_id", "ord", "text", digest).join(of_text, "digest").select(
+        "doc_id", "text", (F.col("ord") > F.col("least")).alias("copy"), "places", "masks") \
         .mapInPandas(_apply(length), "doc_id bigint, n_bytes bigint, n_removed bigint, starts array<bigint>, "
                                      "ends array<bigint>, kept binary")
 
 
-OCCURRENCE = ["key", "string", "ord", "text_hash", "place", "n"]
+OCCURRENCE = ["key", "string", "ord", "text_hash", "run"]
 
 
 def op13(spark, sf_dir) -> DataFrame:
