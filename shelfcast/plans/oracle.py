@@ -10,8 +10,15 @@ that rounding is exact (half away from zero).
 
 from __future__ import annotations
 
+from ..functions.columns import SEASON_MONTHS
 from ..operators.features import FEATURE_COLUMNS
 
+
+def season_sql(month: str) -> str:
+    """Season of a month number (no ELSE: other values give NULL)."""
+    return "case " + " ".join(f"when {month} in {months} then '{name}'" for name, months in SEASON_MONTHS) + " end"
+
+
 BINDINGS = {
     "products": """
 select p_partkey as productid, concat('B', lpad(cast(p_partkey as varchar), 9, '0')) as asin,
@@ -47,11 +54,10 @@ select event_id as reviewid,
   cast(date '1995-01-01' + cast(event_id % 2400 as int) as date) as reviewtime,
   cast((event_id % 201 - 100) * 0.01 as decimal(5,2)) as sentiment
 from events""",
-    "calendar": """
+    "calendar": f"""
 select cast(d as date) as date, cast(year(d) as int) as year, cast(month(d) as int) as month,
   cast(day(d) as int) as dom, strftime(d, '%b') as monthabbr,
-  case when month(d) in (3,4,5) then 'Spring' when month(d) in (6,7,8) then 'Summer'
-       when month(d) in (9,10,11) then 'Fall' when month(d) in (12,1,2) then 'Winter' end as season,
+  {season_sql('month(d)')} as season,
   case when month(d) = 12 then 'Christmas_season' end as holidayseason
 from (select unnest(range(date_trunc('year', min(o_orderdate))::timestamp - interval 1 year,
                           date_trunc('year', max(o_orderdate))::timestamp + interval 1 year, interval 1 day)) as d
