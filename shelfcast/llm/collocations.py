@@ -43,7 +43,7 @@ from .common import arrow_rows, ensure_checkpoint_dir, read_table, ship_package
 
 MIN_COUNT, MAX_WORDS, TOP = 100, 5, 2000
 #: shares of a language's words whose rarest words are expanded, round by round, until it is settled
-SHARES = (1 / 16, 1 / 4, 1.0)
+SHARES = (1 / 4, 1.0)
 #: bits of a bitmap, at most (16 MB)
 BITMAP_BITS = 1 << 27
 #: words of one packed array, words that are counted together, distinct words held by a task
@@ -203,17 +203,14 @@ def _summed(partial: DataFrame) -> DataFrame:
         F.min("right_min").alias("right_min"), F.max("right_max").alias("right_max"))
 
 
-def count_sequences(arrays: DataFrame, m: int, frequent: Bitmap, shorter: Bitmap, ends: Bitmap, done: list[Bitmap],
-                    min_count: int) -> DataFrame:
+def count_sequences(arrays: DataFrame, m: int, shared, min_count: int) -> DataFrame:
     """Counts of the sequences of ``m`` words that have a word of ``ends`` first or last and grow from a ``shorter`` one.
 
-    ``frequent`` has the frequent words, ``done`` the end words of every earlier round, whose
-    sequences are counted already.  A sequence is taken or left by its words
+    ``shared``: broadcast (frequent, shorter, ends, done); ``frequent`` has the frequent words, ``done`` the end
+    words of every earlier round, whose sequences are counted already.  A sequence is taken or left by its words
     alone, so that a count is always whole.  The neighbours are the hashes of the words
     before and after, 0 where there is none.
     """
-    shared = arrays.sparkSession.sparkContext.broadcast((frequent, shorter, ends, done))
-
     def grown(lang: str, w: np.ndarray):
         frequent, shorter, ends, done = shared.value
         if len(w) < m:
@@ -338,15 +335,15 @@ def mine(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP, shares: tu
     ship_package(spark)
     folder = f"{ensure_checkpoint_dir(spark)}/collocations-{uuid.uuid4().hex}"
 
-    def stored(df: DataFrame, name: str, **options) -> DataFrame:
-        df.write.parquet(f"{folder}/{name}", **options)
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
     rows = docs.filter(F.col("text").isNotNull()).select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text"))
     seed = 0
     while True:
         with arrow_rows(spark, 1000):
-            packed = stored(rows.mapInArrow(_pack(seed), PACKED), f"packed-{seed}", partitionBy="kind")
+            packed = stored(rows.mapInArrow(_pack(seed), PACKED), f"packed-{seed}")
         words = stored(packed.filter("kind = 'words'").groupBy("lang", "word", "gram").agg(F.sum("c").alias("a")),
                        f"words-{seed}")
         clash = words.groupBy("gram").agg(F.count_distinct("word").alias("n")) \
@@ -368,8 +365,10 @@ def mine(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP, shares: tu
         ends = single.join(state, "lang").filter(F.col("a") <= F.col("limit")).select("lang", "gram")
         ends, shorter = bitmap(ends, ends.count()), None
         for m in range(2, MAX_WORDS + 1):
-            with arrow_rows(spark, 16):
-                found = stored(count_sequences(arrays, m, frequent, shorter, ends, done, min_count), f"counts-{number}-{m}")
+            shared = spark.sparkContext.broadcast((frequent, shorter, ends, done))
+            with arrow_rows(spark, 4):
+                found = stored(count_sequences(arrays, m, shared, min_count), f"counts-{number}-{m}")
+            shared.destroy()                                           # the counts are a written table now
             counts = counts.union(found)
             if m < MAX_WORDS:
                 level = counts.filter(F.length("gram") == 8 * m).select("lang", "gram")
