@@ -84,7 +84,7 @@ def test_best_first_leaves_common_words_unexpanded(spark, corpus, monkeypatch):
         return out
 
     monkeypatch.setattr(collocations, "_limits", watched)
-    got = mined(collocations.mine(spark.createDataFrame(rows, "lang string, text string"), 5, 3, (0.02, 1.0)))
+    got = mined(collocations.mine(spark.createDataFrame(rows, "lang string, text string"), 5, 3, (0.6, 1.0)))
     assert got == plain(rows, 5, 3)
     counts = collections.Counter(w for _, t in rows for w in re.split(r"[ \t.,\n]+", t or "") if w)
     assert limits == sorted(limits) and limits[-1] < counts.most_common(1)[0][1]
