@@ -20,87 +20,68 @@ TOKEN_SPLIT = r"[^\p{L}]+"    # a token is a maximal run of letters, after lower
 
 
 # --------------------------------------------------------------------------- L1 TF-IDF
-def term_counts(docs: DataFrame, text_col: str) -> DataFrame:
-    """``docs`` without its text, with ``terms``: (term, cnt) of every different term of the row's whole text.
+def term_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, term, len, cnt): occurrences of each term per document and the document's token count.
 
-    One expression per row, no shuffle: the tokens are sorted, so that a
-    term's first place and the next term's tell how often it occurs.
+    Texts are tokenised once, where they are read; what is partitioned by ``id`` are the
+    terms, and vocabulary, weights and a join by id all read that one exchange.
     """
-    others = [c for c in docs.columns if c != text_col]
-    tokens = F.filter(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), TOKEN_SPLIT), lambda t: t != "")
-    d = docs.select(*others, F.sort_array(tokens).alias("_tokens"))
-    first = "filter(sequence(0, size(_tokens) - 1), i -> i = 0 or _tokens[i] <> get(_tokens, i - 1))"
-    d = d.select(*others, "_tokens",
-                 F.expr(f"case when size(_tokens) = 0 then cast(array() as array<int>) else {first} end").alias("_first"))
-    return d.select(*others, F.expr(
-        "transform(_first, (p, k) -> struct(_tokens[p] as term, coalesce(get(_first, k + 1), size(_tokens)) - p as cnt))")
-        .alias("terms"))
-
-
-def vocabulary(counted: DataFrame, top_n: int = 50) -> DataFrame:
-    """termid 0.., word, df: the ``top_n`` terms in most rows (ties by word), by a distributed top-k."""
-    # inline_outer: a plain one makes the optimizer add a size(terms) > 0 filter, which would count every text twice
-    dfreq = counted.select(F.inline_outer("terms")).where(F.col("term").isNotNull()) \
-        .groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    tokens = F.filter(F.split(F.lower(F.col(text_col)), TOKEN_SPLIT), lambda t: t != "")
+    tok = docs.select(F.col(id_col).alias("id"), tokens.alias("terms"))
+    # explode_outer: a plain explode makes the optimizer add a size(terms) > 0
+    # filter below the projection, which would tokenise every text twice.
+    ex = tok.select("id", F.size("terms").alias("len"), F.explode_outer("terms").alias("term"))
+    return ex.where(F.col("term").isNotNull()).repartition("id").groupBy("id", "term", "len") \
+        .agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def vocabulary(counts: DataFrame, top_n: int = 50) -> DataFrame:
+    """termid 0.., word, df: the ``top_n`` terms in most documents (ties by word), by a distributed top-k."""
+    dfreq = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     order = (F.col("df").desc(), F.col("term").asc())
     top = dfreq.orderBy(*order).limit(top_n)
     return top.select((F.row_number().over(Window.orderBy(*order)) - 1).alias("termid"), F.col("term").alias("word"), "df")
 
 
-def term_weights(counted: DataFrame, keys: list[str], n_docs, top_n: int = 50, digits: int = 6,
-                 keep_all: bool = True) -> DataFrame:
-    """``keys`` and the weights term0..term{n-1} of every row of ``counted`` (see ``term_counts``).
+def term_weights(counts: DataFrame, n_docs, top_n: int = 50, digits: int = 6) -> DataFrame:
+    """``id`` and the weights term0..term{n-1} of every document with a vocabulary term.
 
     tf = count of term in doc / tokens in doc; idf = ln(N / df) with ``n_docs`` the
-    number of documents; weight = tf * idf rounded to ``digits``, 0 for a term that the document lacks.
-
-    The vocabulary (its size is the parameter) is broadcast.  A document is one
-    row until its few vocabulary terms are looked up, and those are
-    pivoted by one aggregation over ``keys``, which needs no exchange where
-    ``counted`` is partitioned by one of them.  With ``keep_all`` every document has an
-    entry without a term, so that one without vocabulary terms keeps its row.
+    number of documents; weight = tf * idf rounded to ``digits``, 0 for a term that the
+    document lacks.  The vocabulary (its size is the parameter) is broadcast; the
+    pivot needs no exchange, as the counts are partitioned by ``id``.
     """
-    vocab = vocabulary(counted, top_n).select("termid", "word", "df")
-    vocab = vocab.unionByName(vocab.sparkSession.sql(
-        "select cast(null as int) as termid, cast(null as string) as word, cast(null as bigint) as df"))
-    none = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(None).cast("int").alias("cnt")))
-    entries = counted.select(*keys, F.expr("aggregate(terms, 0L, (n, t) -> n + t.cnt)").alias("_len"),
-                             F.inline_outer(F.concat(none, "terms") if keep_all else F.col("terms")))
-    if not keep_all:
-        entries = entries.where(F.col("term").isNotNull())
-    found = entries.join(F.broadcast(vocab), F.col("term").eqNullSafe(F.col("word"))).select(
-        *keys, "termid", F.round(F.col("cnt") / F.col("_len") * F.log(n_docs / F.col("df")), digits).alias("w"))
+    vocab = vocabulary(counts, top_n).select("termid", F.col("word").alias("term"), "df")
+    w = counts.join(F.broadcast(vocab), "term").select(
+        "id", "termid", F.round(F.col("cnt") / F.col("len") * F.log(n_docs / F.col("df")), digits).alias("w"))
     # (document, term) pairs are unique here: one aggregation pivots them (pivot() would aggregate twice)
-    return found.groupBy(*keys).agg(*[F.expr(f"coalesce(max(case when termid = {i} then w end), 0D) as term{i}")
-                                      for i in range(top_n)])
+    return w.groupBy("id").agg(*[F.expr(f"coalesce(max(case when termid = {i} then w end), 0D) as term{i}")
+                                 for i in range(top_n)])
 
 
 def tfidf(docs: DataFrame, id_col: str, text_col: str, top_n: int = 50, digits: int = 6):
-    """L1: (vocabulary, weights) of any documents; ``weights`` has ``id`` and a row for each document with a vocabulary term."""
-    counted = term_counts(docs.select(F.col(id_col).alias("id"), text_col), text_col).repartition("id")
+    """L1: (vocabulary, weights) for the ``top_n`` terms of highest document frequency; one lazy plan each."""
+    counts = term_counts(docs, id_col, text_col)
     n_docs = docs.select(F.count_distinct(F.col(id_col))).scalar()
-    return vocabulary(counted, top_n), term_weights(counted, ["id"], n_docs, top_n, digits, keep_all=False)
-
+    return vocabulary(counts, top_n), term_weights(counts, n_docs, top_n, digits)
 
-def _review_corpus(src: SourceSet) -> DataFrame:
-    """(reviewid, asin, terms): reviews with the term counts of their texts.
 
-    Texts are counted where they are read; what is partitioned by ``reviewid`` for the
-    join are the counts.  Vocabulary and weights read the same exchange, so
-    each text is counted once.
-    """
-    counted = term_counts(src.review_text.select("reviewid", "text"), "text").repartition("reviewid")
-    return src.reviews.select("reviewid", "asin").join(counted, "reviewid")
+def _review_terms(src: SourceSet) -> DataFrame:
+    """Term counts of the texts that belong to a review."""
+    counts = term_counts(src.review_text, "reviewid", "text")
+    return counts.join(src.reviews.select(F.col("reviewid").alias("id")), "id", "left_semi")
 
 
 def tfidf_vocabulary(src: SourceSet, top_n: int = 50) -> DataFrame:
-    return vocabulary(_review_corpus(src), top_n).select("termid", "word")
+    return vocabulary(_review_terms(src), top_n).select("termid", "word")
 
 
 def reviews_tfidf(src: SourceSet, top_n: int = 50) -> DataFrame:
     """ReviewsTFIDF: reviewid, asin, term0..term{n-1}."""
-    ids = src.reviews.select("reviewid").join(src.review_text.select("reviewid"), "reviewid")
-    return term_weights(_review_corpus(src), ["reviewid", "asin"], ids.select(F.count_distinct("reviewid")).scalar(), top_n)
+    corpus = src.reviews.select("reviewid", "asin").join(src.review_text.select("reviewid"), "reviewid")
+    wide = term_weights(_review_terms(src), corpus.select(F.count_distinct("reviewid")).scalar(), top_n)
+    zeros = [F.coalesce(F.col(f"term{i}"), F.lit(0.0)).alias(f"term{i}") for i in range(top_n)]
+    return corpus.join(wide.withColumnRenamed("id", "reviewid"), "reviewid", "left").select("reviewid", "asin", *zeros)
 
 
 # --------------------------------------------------------------------------- L2 L3 L4
