@@ -51,7 +51,7 @@ LENGTH, GRAM = 50, 16
 #: bytes of text hashed at a time (arrays that stay in the cache)
 STEP = 1 << 15
 #: runs that a task holds before it sends them on
-HELD = 1 << 20
+HELD = 1 << 18
 #: bits of a bitmap at most (16 MB), runs of one hash range
 BITMAP_BITS, RANGE_RUNS = 1 << 27, 1 << 15
 #: keys with more different runs are dealt out window by window
