@@ -98,6 +98,16 @@ def test_profile_single_pass(spark):
     assert rows["y"].n_null == 1 and rows["y"].mean is None
 
 
+def test_exact_distinct_counts_neither_repeat_nor_sort_the_rows(spark):
+    df = spark.createDataFrame([(1, "a", 0.0), (2, None, -0.0), (2, "", float("nan")), (None, "a", float("nan")), (1, "a", None)],
+                               "x int, y string, z double")
+    out = explore.profile_table(df, exact_distinct=True)
+    assert {r.column: (r.n_rows, r.n_null, r.n_distinct) for r in out.collect()} == {"x": (5, 1, 2), "y": (5, 1, 2), "z": (5, 1, 2)}
+    assert [r.n_distinct for r in explore.profile_table(df.limit(0), exact_distinct=True).collect()] == [0, 0, 0]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "Expand" not in plan and "Sort [" not in plan
+
+
 def test_predictions_key_must_be_unique(spark):
     df = spark.createDataFrame([(1, 1, 1, 2000, "Winter", 5), (1, 2, 1, 2000, "Winter", 5)],
                                "demandid long, nodeid long, month int, year int, season string, predictedsales int")
