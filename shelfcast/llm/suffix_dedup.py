@@ -13,9 +13,10 @@ smaller id goes.  The work is dealt out by content, so that equal windows meet:
   may occur in two documents become a bitmap of bounded size (a false hit costs work,
   never a result), and so do keys with many different runs (the edges of a passage that
   a large part of the documents quote): their windows are dealt out one by one, each by
-  its own hash.
+  its own hash.  A third bitmap has the shared keys whose runs are not all the same string.
 * *Collections.*  Different runs of shared keys, with the smallest and largest id that has
-  them, come together by key.  Some thousand strings at a time form a
+  them, come together by key.  Where all runs of a key are one string (the inside of a repeat) there is
+  nothing to sort: only its hash and ids are sent.  Of the others some thousand strings at a time form a
   collection.  Its transform is built from the right: each round inserts one more symbol
   of every string; where the longer suffix goes is the rank of its symbol in the transform so
   far, and its common prefix with its neighbours is one more than the least common
@@ -25,7 +26,8 @@ smaller id goes.  The work is dealt out by content, so that equal windows meet:
   only its strings and its results are tables.  Neighbouring suffixes with a common
   prefix of ``length`` start with equal windows, and such a group's smallest id decides.
 * *Documents.*  Decisions are joined to the runs of the documents (a key of any size is
-  split by the skew join), gathered per document and applied to whole texts.
+  split by the skew join), gathered per text and applied to the whole text of its first copy.  Texts
+  go to that join compressed; of a later copy only the size goes, as all its bytes are removed.
 
 Defined cases: null and empty texts have no bytes; a missing doc_id counts as larger than
 every id, and rows of the same doc_id are one document, so they remove nothing from
@@ -41,7 +43,6 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,9 +56,11 @@ HELD = 1 << 18
 #: bits of a bitmap at most (16 MB), runs of one hash range
 BITMAP_BITS, RANGE_RUNS = 1 << 27, 1 << 15
 #: keys with more different runs are dealt out window by window
-HOT_RUNS = 5000
+HOT_RUNS = 20000
 #: strings of one collection, about
-COLLECTION = 1500
+COLLECTION = 3000
+#: different runs of a key in one task are counted to here, then by quarters of a power of two
+COUNTED = 96
 NO_ID = (1 << 63) - 1
 START = 0xFF                                           # before a string's first symbol; no byte of UTF-8
 
@@ -97,9 +100,12 @@ class Firsts:
         h = (text_hash.view(np.uint64) * _A) ^ (own.view(np.uint64) * _B)
         return ((h ^ (h >> np.uint64(32))) * _C) >> np.uint64(64 - bits)
 
-    def pick(self, batch: pd.DataFrame) -> pd.DataFrame:
+    def may_be(self, batch: pd.DataFrame) -> np.ndarray:
         at = self.place(batch["text_hash"].to_numpy(np.int64), batch["ord"].to_numpy(np.int64), self.bits)
-        return batch[(self.packed[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+        return (self.packed[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+    def pick(self, batch: pd.DataFrame) -> pd.DataFrame:
+        return batch[self.may_be(batch)]
 
 
 def first_copies(least: DataFrame) -> Firsts:
@@ -119,8 +125,26 @@ def first_copies(least: DataFrame) -> Firsts:
     return Firsts(bits, packed.view(np.uint8))
 
 
+def _contents(grams: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Hash of the strings that ``count`` neighbouring grams from ``start`` cover: of the grams and their order."""
+    none = np.zeros(1, np.uint64)
+    total = np.concatenate([none, np.cumsum(grams)])
+    by_place = np.concatenate([none, np.cumsum(grams * np.arange(len(grams), dtype=np.uint64))])
+    plain = total[start + count] - total[start]
+    h = plain * _A + (by_place[start + count] - by_place[start] - start.astype(np.uint64) * plain) * _B
+    h += count.astype(np.uint64) * _C
+    h ^= h >> np.uint64(32)
+    h *= _C
+    return h ^ (h >> np.uint64(29))
+
+
+def string_contents(strings: list[bytes]) -> np.ndarray:
+    sizes = np.array([len(s) for s in strings], np.int64)
+    return _contents(_gram_hashes(b"".join(strings)), np.cumsum(sizes) - sizes, sizes - GRAM + 1)
+
+
 def find_runs(data: bytes, bounds: np.ndarray, length: int):
-    """Runs of the windows of the texts between ``bounds``: start, number of windows, key, and a hash of their ends."""
+    """Runs of the windows of the texts between ``bounds``: start, number of windows, key, and a hash of the string."""
     grams = _gram_hashes(data)
     span = length - GRAM + 1
     key = _least(grams, span)
@@ -138,8 +162,11 @@ def find_runs(data: bytes, bounds: np.ndarray, length: int):
         nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
         start, end = np.repeat(start, parts) + nth * span, np.repeat(end, parts)
         end = np.minimum(end, start + span)
-    ends = (grams[start] * _B) ^ (grams[end + length - 1 - GRAM] * _C) ^ (end - start).astype(np.uint64)
-    return start, end - start, key[start], ends
+    # smallest hashes crowd at zero: mixed again, they fill the hash ranges and bitmaps evenly
+    key = key[start] * _A
+    key ^= key >> np.uint64(32)
+    key *= _C
+    return start, end - start, key, _contents(grams, start, end - start + span - 1)
 
 
 def _steps(texts: list[bytes], length: int):
@@ -162,85 +189,151 @@ def _steps(texts: list[bytes], length: int):
 
 
 def batch_runs(texts: list[bytes], length: int):
-    """(bytes, text of each run, place in that text, place in the bytes, windows, key, hash of the ends) of every step."""
+    """(bytes, text of each run, place in that text, place in the bytes, windows, key, content) of every step."""
     for data, bounds, number, offset in _steps(texts, length):
-        start, windows, key, ends = find_runs(data, bounds, length)
+        start, windows, key, content = find_runs(data, bounds, length)
         piece = np.searchsorted(bounds, start, side="right") - 1
-        yield data, number[piece], start - bounds[piece] + offset[piece], start, windows, key, ends
+        yield data, number[piece], start - bounds[piece] + offset[piece], start, windows, key, content
 
 
 # ---------------------------------------------------------------- shared keys
 
+def _ranges(key: np.ndarray, range_bits: int):
+    """Sorted keys -> (hash range, from, to, low 32 bits as byte planes of their differences)."""
+    at = (key >> np.uint64(64 - range_bits)).astype(np.int64)
+    low = (key >> np.uint64(32 - range_bits)).astype(np.uint32)
+    cut = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+    for a, b in zip(cut.tolist(), np.append(cut[1:], len(at)).tolist(), strict=True):
+        yield at[a], a, b, np.diff(low[a:b], prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _lows(packed) -> np.ndarray:
+    """The low 32 bits of the keys of ``_ranges``."""
+    return np.concatenate([np.cumsum(np.frombuffer(k, np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel(), dtype=np.uint32)
+                           for k in packed])
+
+
+def _counted(n: np.ndarray) -> np.ndarray:
+    """Numbers from 1 in 7 bits: exact below ``COUNTED``, then rounded down to quarters of a power of two."""
+    steps = np.floor(4 * np.log2(np.maximum(n, COUNTED) / COUNTED) + 1e-9).astype(np.int64)
+    return np.where(n < COUNTED, n, COUNTED + np.minimum(steps, 127 - COUNTED))
+
+
+def _count_of(code: np.ndarray) -> np.ndarray:
+    code = code.astype(np.int64)
+    return np.where(code < COUNTED, code, (COUNTED * 2.0 ** ((code - COUNTED) / 4)).astype(np.int64))
+
+
 def _packed_keys(length: int, range_bits: int, firsts):
-    """Keys of a task's runs, sorted, by hash range: low 32 bits as byte planes of their differences, and weights."""
-    def pack(keys, ids, ends):
-        key, own, end = np.concatenate(keys), np.concatenate(ids), np.concatenate(ends)
-        order = np.lexsort((end, key))
-        key, own, end = key[order], own[order], end[order]
+    """Keys of a task's runs, sorted, by hash range, and weights: number of different runs, whether of several ids."""
+    def pack(keys, ids, contents):
+        key, own, content = np.concatenate(keys), np.concatenate(ids), np.concatenate(contents)
+        order = np.lexsort((content, key))
+        key, own, content = key[order], own[order], content[order]
         new = np.append(True, key[1:] != key[:-1])
         first = np.flatnonzero(new)
         several = np.minimum.reduceat(own, first) != np.maximum.reduceat(own, first)
-        different = np.add.reduceat((new | np.append(True, end[1:] != end[:-1])).astype(np.int64), first)
-        weight = (np.minimum(different, 127) | (several << 7)).astype(np.uint8)
-        key = key[first]
-        at = (key >> np.uint64(64 - range_bits)).astype(np.int64)
-        low = (key >> np.uint64(32 - range_bits)).astype(np.uint32)
-        rows = {"range": [], "keys": [], "weights": []}
-        cut = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-        for a, b in zip(cut, np.append(cut[1:], len(at)), strict=True):
-            rows["range"].append(at[a])
-            rows["keys"].append(np.diff(low[a:b], prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T.tobytes())
-            rows["weights"].append(weight[a:b].tobytes())
-        return pd.DataFrame(rows)
+        different = np.add.reduceat((new | np.append(True, content[1:] != content[:-1])).astype(np.int64), first)
+        weight = (_counted(different) | (several << 7)).astype(np.uint8)
+        return pd.DataFrame([(at, low, weight[a:b].tobytes()) for at, a, b, low in _ranges(key[first], range_bits)],
+                            columns=["range", "keys", "weights"])
 
     def scan(batches):
-        keys, ids, ends, held = [], [], [], 0
+        keys, ids, contents, held = [], [], [], 0
         for batch in batches:
             batch = firsts.value.pick(batch)
             own = batch["ord"].to_numpy(np.int64)
-            for _, text, _, _, _, key, end in batch_runs(list(batch["text"]), length):
+            for _, text, _, _, _, key, content in batch_runs(list(batch["text"]), length):
                 if len(key):
-                    keys.append(key), ids.append(own[text]), ends.append(end)
+                    keys.append(key), ids.append(own[text]), contents.append(content)
                     held += len(key)
                 if held >= HELD:
-                    yield pack(keys, ids, ends)
-                    keys, ids, ends, held = [], [], [], 0
+                    yield pack(keys, ids, contents)
+                    keys, ids, contents, held = [], [], [], 0
         if held:
-            yield pack(keys, ids, ends)
+            yield pack(keys, ids, contents)
 
     return scan
 
 
+def _slice_of(low: np.ndarray, bits: int) -> bytes:
+    """Compressed bitmap of one hash range."""
+    flags = np.zeros(1 << bits, np.uint8)
+    flags[low >> np.uint32(32 - bits)] = 1
+    return zlib.compress(np.packbits(flags, bitorder="little").tobytes(), 1)
+
+
 def _merged_range(bits: int, hot_runs: int):
     """Bitmaps of one hash range: keys that may be in two documents, and those of many different runs."""
     def merge(rows: pd.DataFrame) -> pd.DataFrame:
-        low = np.concatenate([np.cumsum(np.frombuffer(k, np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel(),
-                                        dtype=np.uint32) for k in rows["keys"]])
+        low = _lows(rows["keys"])
         weight = np.frombuffer(b"".join(rows["weights"]), np.uint8)
         order = np.argsort(low, kind="stable")
         low, weight = low[order], weight[order]
         first = np.flatnonzero(np.append(True, low[1:] != low[:-1]))
         times = np.diff(np.append(first, len(low)))
         shared = (times > 1) | (np.maximum.reduceat(weight, first) > 127)
-        hot = np.add.reduceat((weight & 127).astype(np.int64), first) > hot_runs
+        hot = np.add.reduceat(_count_of(weight & 127), first) > hot_runs
+        return pd.DataFrame({"range": [rows["range"].iloc[0]], "shared": [_slice_of(low[first[shared]], bits)],
+                             "hot": [_slice_of(low[first[hot]], bits) if hot.any() else None]})
+
+    return merge
+
+
+def _packed_contents(length: int, range_bits: int, firsts, keys):
+    """Shared keys of a task's runs, sorted, by hash range, and the hashes of their different strings."""
+    def pack(found, contents):
+        key, content = np.concatenate(found), np.concatenate(contents)
+        order = np.lexsort((content, key))
+        key, content = key[order], content[order]
+        new = np.append(True, (key[1:] != key[:-1]) | (content[1:] != content[:-1]))
+        key, content = key[new], content[new]
+        return pd.DataFrame([(at, low, content[a:b].tobytes()) for at, a, b, low in _ranges(key, range_bits)],
+                            columns=["range", "keys", "contents"])
+
+    def scan(batches):
+        found, contents, held = [], [], 0
+        for batch in batches:
+            batch = firsts.value.pick(batch)
+            for _, _, _, _, _, key, content in batch_runs(list(batch["text"]), length):
+                chosen = keys.value.in_shared(key) & ~keys.value.in_hot(key)
+                found.append(key[chosen]), contents.append(content[chosen])
+                held += len(found[-1])
+                if held >= HELD:
+                    yield pack(found, contents)
+                    found, contents, held = [], [], 0
+        if held:
+            yield pack(found, contents)
 
-        def slice_of(chosen):
-            flags = np.zeros(1 << bits, np.uint8)
-            flags[low[first[chosen]] >> np.uint32(32 - bits)] = 1
-            return zlib.compress(np.packbits(flags, bitorder="little").tobytes(), 1)
+    return scan
 
-        return pd.DataFrame({"range": [rows["range"].iloc[0]], "shared": [slice_of(shared)],
-                             "hot": [slice_of(hot) if hot.any() else None]})
+
+def _varied_range(bits: int):
+    """Bitmap of one hash range: keys of different strings."""
+    def merge(rows: pd.DataFrame) -> pd.DataFrame:
+        low, content = _lows(rows["keys"]), np.frombuffer(b"".join(rows["contents"]), np.uint64)
+        order = np.lexsort((content, low))
+        low, content = low[order], content[order]
+        varied = (low[1:] == low[:-1]) & (content[1:] != content[:-1])
+        return pd.DataFrame({"range": [rows["range"].iloc[0]], "varied": [_slice_of(low[1:][varied], bits)]})
 
     return merge
 
 
 class Keys:
-    """The two bitmaps, addressed by the leading bits of a key."""
+    """The three bitmaps, addressed by the leading bits of a key."""
 
     def __init__(self, bits: int):
         self.shift = np.uint64(64 - bits)
-        self.shared, self.hot = np.zeros(1 << bits - 3, np.uint8), np.zeros(1 << bits - 3, np.uint8)
+        self.shared, self.hot, self.varied = (np.zeros(1 << bits - 3, np.uint8) for _ in range(3))
+
+    def __getstate__(self):
+        """Sent compressed: few bits are set, and every executor keeps a copy on its disk."""
+        return self.shift, [zlib.compress(flags.tobytes(), 1) for flags in (self.shared, self.hot, self.varied)]
+
+    def __setstate__(self, state):
+        self.shift, packed = state
+        self.shared, self.hot, self.varied = (np.frombuffer(zlib.decompress(flags), np.uint8) for flags in packed)
 
     def _at(self, flags: np.ndarray, key: np.ndarray) -> np.ndarray:
         at = key >> self.shift
@@ -252,44 +345,52 @@ class Keys:
     def in_hot(self, key):
         return self._at(self.hot, key)
 
+    def in_varied(self, key):
+        return self._at(self.varied, key)
+
 
 def shared_keys(docs: DataFrame, length: int, firsts, hot_runs: int = HOT_RUNS) -> Keys:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     expected = max(1, 2 * size // (length - GRAM + 1))                 # runs, about
     range_bits = max(1, (expected // RANGE_RUNS).bit_length())
     bits = max(range_bits + 6, min(BITMAP_BITS.bit_length() - 1, (8 * expected).bit_length()))
-    slices = docs.mapInPandas(_packed_keys(length, range_bits, firsts), "range int, keys binary, weights binary") \
-        .groupBy("range").applyInPandas(_merged_range(bits - range_bits, hot_runs), "range int, shared binary, hot binary")
     out, step = Keys(bits), 1 << bits - range_bits - 3
-    for row in slices.collect():                                       # the two bitmaps, of bounded size
-        at = slice(row["range"] * step, (row["range"] + 1) * step)
-        out.shared[at] = np.frombuffer(zlib.decompress(row["shared"]), np.uint8)
-        if row["hot"] is not None:
-            out.hot[at] = np.frombuffer(zlib.decompress(row["hot"]), np.uint8)
+
+    def put(flags, row, name):                                         # the bitmaps, of bounded size
+        if row[name] is not None:
+            flags[row["range"] * step:(row["range"] + 1) * step] = np.frombuffer(zlib.decompress(row[name]), np.uint8)
+
+    for row in docs.mapInPandas(_packed_keys(length, range_bits, firsts), "range int, keys binary, weights binary") \
+            .groupBy("range").applyInPandas(_merged_range(bits - range_bits, hot_runs), "range int, shared binary, hot binary") \
+            .collect():
+        put(out.shared, row, "shared")
+        put(out.hot, row, "hot")
+    so_far = docs.sparkSession.sparkContext.broadcast(out)
+    for row in docs.mapInPandas(_packed_contents(length, range_bits, firsts, so_far), "range int, keys binary, contents binary") \
+            .groupBy("range").applyInPandas(_varied_range(bits - range_bits), "range int, varied binary").collect():
+        put(out.varied, row, "varied")
+    so_far.unpersist()
     return out
 
 
-def _shared_strings(texts: list[bytes], length: int, keys: Keys):
-    """(text, place, windows, key, string) of the runs of shared keys; a hot key's windows one by one."""
-    for data, text, place, start, windows, key, _ in batch_runs(texts, length):
+def _shared_runs(texts: list[bytes], length: int, keys: Keys):
+    """(bytes, text, place, place in the bytes, windows, leading half of the key, content, whether its key has different
+    strings) of the runs of shared keys; a hot key's windows one by one, each a key of its own."""
+    half = np.uint64(32)
+    for data, text, place, start, windows, key, content in batch_runs(texts, length):
         shared = keys.in_shared(key)
         hot = keys.in_hot(key) & shared
-        chosen = np.flatnonzero(shared & ~hot)
-        signed = key.view(np.int64)
-        for t, p, s, n, k in zip(text[chosen].tolist(), place[chosen].tolist(), start[chosen].tolist(),
-                                 windows[chosen].tolist(), signed[chosen].tolist(), strict=True):
-            yield t, p, n, k, data[s:s + n + length - 1]
-        for i in np.flatnonzero(hot).tolist():
-            t, p, s = int(text[i]), int(place[i]), int(start[i])
-            for j in range(int(windows[i])):
-                string = data[s + j:s + j + length]
-                k = xxhash.xxh3_64_intdigest(string, 1)
-                yield t, p + j, 1, k - (1 << 64) if k >> 63 else k, string
-
-
-def _digest(string: bytes) -> int:
-    d = xxhash.xxh3_64_intdigest(string)
-    return d - (1 << 64) if d >> 63 else d
+        one = np.flatnonzero(shared & ~hot)
+        yield (data, text[one], place[one], start[one], windows[one], (key[one] >> half).astype(np.uint32).view(np.int32),
+               content[one].view(np.int64), keys.in_varied(key[one]))
+        many = np.flatnonzero(hot)
+        if len(many):
+            n = windows[many]
+            nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            at = np.repeat(start[many], n) + nth
+            own = _contents(_gram_hashes(data), at, np.full(len(at), length - GRAM + 1))
+            yield (data, np.repeat(text[many], n), np.repeat(place[many], n) + nth, at, np.ones(len(at), np.int64),
+                   ((own * _A) >> half).astype(np.uint32).view(np.int32), own.view(np.int64), np.zeros(len(at), bool))
 
 
 # ---------------------------------------------------------------- the collection's transform
@@ -392,15 +493,17 @@ def _resolve(length: int):
     """Strings sorted by key -> decision of every string: smallest id that has it, windows that an earlier one has."""
     def decide(strings: list[bytes], keys: list[int], lows: list[int]):
         least = np.array(lows, np.int64)
-        return pd.DataFrame({"key": keys, "string": [_digest(s) for s in strings], "low": least,
+        return pd.DataFrame({"key": keys, "content": string_contents(strings).view(np.int64), "low": least,
                              "earlier": earlier_windows(strings, least, length)})
 
     def scan(batches):
-        strings, keys, lows = [], [], []
-        open_key, held = None, {}
+        strings, keys, lows, alone = [], [], [], []
+        open_key, held, single = None, {}, {}
 
         def close():
             """The open key is whole: its strings join the collection if two documents have it."""
+            alone.extend((open_key, c, low, 0) for c, (low, high) in single.items() if low != high)
+            single.clear()
             if held and min(v[0] for v in held.values()) != max(v[1] for v in held.values()):
                 strings.extend(held)
                 keys.extend([open_key] * len(held))
@@ -408,42 +511,57 @@ def _resolve(length: int):
             held.clear()
 
         for batch in batches:
-            for key, string, low, high in zip(batch["key"].tolist(), batch["string"], batch["low"].tolist(),
-                                              batch["high"].tolist(), strict=True):
+            low_ids = batch["low"].to_numpy(np.int64)
+            high_ids = low_ids + batch["span"].to_numpy(np.int64)      # wraps as the difference did
+            for key, content, string, low, high in zip(batch["key"].tolist(), batch["content"].tolist(), batch["string"],
+                                                       low_ids.tolist(), high_ids.tolist(), strict=True):
                 if key != open_key:
                     close()
                     open_key = key
                     if len(strings) >= COLLECTION:
                         yield decide(strings, keys, lows)
                         strings, keys, lows = [], [], []
-                was = held.get(string)
-                held[string] = (low, high) if was is None else (min(low, was[0]), max(high, was[1]))
+                    if len(alone) >= HELD // 8:
+                        yield pd.DataFrame(alone, columns=DECISION)
+                        alone.clear()
+                into, what = (single, content) if string is None else (held, string)
+                was = into.get(what)
+                into[what] = (low, high) if was is None else (min(low, was[0]), max(high, was[1]))
         close()
         if strings:
             yield decide(strings, keys, lows)
+        if alone:
+            yield pd.DataFrame(alone, columns=DECISION)
 
     return scan
 
 
+OCCURRENCE = ["key", "content", "ord", "text_hash", "run"]
+DECISION = ["key", "content", "low", "earlier"]
+
+
 # ---------------------------------------------------------------- documents
 
 def _apply(length: int):
     def removed(batches):
         for batch in batches:
-            rows = {"doc_id": batch["doc_id"], "n_bytes": [], "n_removed": [], "starts": [], "ends": [], "kept": []}
-            for text, copy, places, masks in zip(batch["text"], batch["copy"], batch["places"], batch["masks"], strict=True):
+            rows = {"doc_id": batch["doc_id"], "n_bytes": batch["size"], "n_removed": [], "starts": [], "ends": [], "kept": []}
+            for size, packed, copy, places, masks in zip(batch["size"].tolist(), batch["packed"], batch["copy"], batch["places"],
+                                                         batch["masks"], strict=True):
                 starts = ends = np.zeros(0, np.int64)
-                if copy and len(text) >= length:
-                    starts, ends = np.zeros(1, np.int64), np.full(1, len(text))
-                elif places is not None and len(places):
+                copied = copy and size >= length                       # all of it goes
+                if copied:
+                    starts, ends = np.zeros(1, np.int64), np.full(1, size)
+                else:
+                    text = zlib.decompress(packed)
+                if not copied and places is not None and len(places):
                     bits = np.unpackbits(np.asarray(masks, np.int64).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
                     run, j = np.nonzero(bits)
                     at = np.unique(np.asarray(places, np.int64)[run] + j)
                     gap = np.flatnonzero(np.diff(at) > length)
                     starts, ends = at[np.append(0, gap + 1)], at[np.append(gap, len(at) - 1)] + length
-                kept = b"".join(text[a:b] for a, b in zip(np.append(0, ends).tolist(), np.append(starts, len(text)).tolist(),
-                                                          strict=True))
-                rows["n_bytes"].append(len(text))
+                kept = b"" if copied else b"".join(text[a:b] for a, b in zip(
+                    np.append(0, ends).tolist(), np.append(starts, size).tolist(), strict=True))
                 rows["n_removed"].append(int((ends - starts).sum()))
                 rows["starts"].append(starts)
                 rows["ends"].append(ends)
@@ -465,69 +583,88 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", le
                        F.col("t").cast("binary").alias("text"))
     digest = F.unhex(F.sha2("text", 256)).alias("digest")
     least = cut(docs.select("ord", "text_hash", digest).groupBy("digest").agg(
-        F.min("ord").alias("least"), F.min("text_hash").alias("text_hash")))
+        F.min("ord").alias("least"), F.min("text_hash").alias("text_hash")).select("least", "text_hash"))
     firsts = spark.sparkContext.broadcast(first_copies(least))
     long_enough = docs.filter(F.octet_length("text") >= length).select("ord", "text_hash", "text")
     shared = spark.sparkContext.broadcast(shared_keys(long_enough, length, firsts, hot_runs))
 
     def strings(batches):
-        held = {}
+        held = []
 
         def flush():
-            return pd.DataFrame({"key": [k for k, _ in held], "string": [s for _, s in held],
-                                 "low": [v[0] for v in held.values()], "high": [v[1] for v in held.values()]})
+            key, content, own, varied = (np.concatenate([h[i] for h in held]) for i in range(4))
+            string = np.concatenate([h[4] for h in held])
+            order = np.lexsort((content, key))
+            key, content, own = key[order], content[order], own[order]
+            first = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (content[1:] != content[:-1])))
+            low = np.minimum.reduceat(own, first)
+            return pd.DataFrame({"key": key[first], "content": np.where(varied[order[first]], 0, content[first]),
+                                 "string": string[order[first]], "low": low, "span": np.maximum.reduceat(own, first) - low})
 
         for batch in batches:
             batch = firsts.value.pick(batch)
-            own = batch["ord"].tolist()
-            for t, _, _, key, string in _shared_strings(list(batch["text"]), length, shared.value):
-                was = held.get((key, string))
-                o = own[t]
-                if was is None:
-                    held[key, string] = (o, o)
-                    if len(held) >= HELD // 8:
-                        yield flush()
-                        held = {}
-                elif o < was[0] or o > was[1]:
-                    held[key, string] = (min(o, was[0]), max(o, was[1]))
+            own = batch["ord"].to_numpy(np.int64)
+            for data, text, _, start, windows, key, content, varied in _shared_runs(list(batch["text"]), length, shared.value):
+                string = np.full(len(key), None, object)
+                ends = start + windows + length - 1
+                for i in np.flatnonzero(varied).tolist():
+                    string[i] = data[start[i]:ends[i]]
+                if len(key):
+                    held.append((key, content, own[text], varied, string))
+                if sum(len(h[0]) for h in held) >= HELD // 4:
+                    yield flush()
+                    held.clear()
         if held:
             yield flush()
 
     def occurrences(batches):
+        held = []
+
+        def flush():
+            return pd.DataFrame({name: np.concatenate([h[i] for h in held]) for i, name in enumerate(OCCURRENCE)})
+
         for batch in batches:
             batch = firsts.value.pick(batch)
-            own, hashes = batch["ord"].tolist(), batch["text_hash"].tolist()
-            rows = []
-            for t, place, windows, key, string in _shared_strings(list(batch["text"]), length, shared.value):
-                rows.append((key, _digest(string), own[t], hashes[t], place << 8 | windows))
-                if len(rows) >= HELD // 8:
-                    yield pd.DataFrame(rows, columns=OCCURRENCE)
-                    rows = []
-            if rows:
-                yield pd.DataFrame(rows, columns=OCCURRENCE)
-
-    decided = long_enough.mapInPandas(strings, "key bigint, string binary, low bigint, high bigint") \
+            own, hashes = batch["ord"].to_numpy(np.int64), batch["text_hash"].to_numpy(np.int64)
+            for _, text, place, _, windows, key, content, _ in _shared_runs(list(batch["text"]), length, shared.value):
+                held.append((key, content, own[text], hashes[text], place << 8 | windows))
+                if sum(len(h[0]) for h in held) >= HELD // 8:
+                    yield flush()
+                    held.clear()
+        if held:
+            yield flush()
+
+    def packed(batches):
+        """Texts compressed; of a row that is no first copy the size is enough."""
+        for batch in batches:
+            whole = firsts.value.may_be(batch) | (batch["size"].to_numpy(np.int64) < length)
+            small = [zlib.compress(t, 1) if w else None for t, w in zip(batch["text"], whole.tolist(), strict=True)]
+            yield batch[["doc_id", "ord", "text_hash", "size"]].assign(packed=small)
+
+    decided = long_enough.mapInPandas(strings, "key int, content bigint, string binary, low bigint, span bigint") \
         .repartition("key").sortWithinPartitions("key") \
-        .mapInPandas(_resolve(length), "key bigint, string bigint, low bigint, earlier bigint")
-    found = long_enough.mapInPandas(occurrences, "key bigint, string bigint, ord bigint, text_hash bigint, run bigint")
-    windows = found.join(decided, ["key", "string"]).select(
+        .mapInPandas(_resolve(length), "key int, content bigint, low bigint, earlier bigint")
+    found = long_enough.mapInPandas(occurrences, "key int, content bigint, ord bigint, text_hash bigint, run bigint")
+    windows = found.join(decided, ["key", "content"]).select(
         "ord", "text_hash", F.shiftright("run", 8).alias("place"),
         F.when(F.col("ord") > F.col("low"), F.expr("shiftleft(1L, cast(run & 255 as int)) - 1")).otherwise(F.col("earlier"))
         .alias("mask")) \
         .filter("mask <> 0")
-    by_text = windows.groupBy("ord", "text_hash").agg(F.collect_set(F.struct("place", "mask")).alias("cuts"))
-    of_text = least.withColumnRenamed("least", "ord").join(by_text, ["ord", "text_hash"], "left").select(
-        "digest", F.col("ord").alias("least"), F.col("cuts.place").alias("places"), F.col("cuts.mask").alias("masks"))
-    # a text that very many rows share is split by the skew join: its decision is one row
-    return docs.select("doc_id", "ord", "text", digest).join(of_text, "digest").select(
-        "doc_id", "text", (F.col("ord") > F.col("least")).alias("copy"), "places", "masks") \
+    # sent as rows: the windows of a text come from many tasks, so lists of them would not be shorter
+    by_text = windows.repartition("ord", "text_hash").groupBy("ord", "text_hash").agg(
+        F.collect_set(F.struct("place", "mask")).alias("cuts"))
+    of_text = least.select(F.col("least").alias("ord"), "text_hash", F.lit(True).alias("first")) \
+        .join(by_text, ["ord", "text_hash"], "left")
+    # a row that has no first copy's id and text is a later copy
+    sent = docs.select("doc_id", "ord", "text_hash", F.octet_length("text").cast("bigint").alias("size"), "text") \
+        .mapInPandas(packed, "doc_id bigint, ord bigint, text_hash bigint, size bigint, packed binary")
+    return sent.join(of_text, ["ord", "text_hash"], "left").select(
+        "doc_id", "size", "packed", F.col("first").isNull().alias("copy"), F.col("cuts.place").alias("places"),
+        F.col("cuts.mask").alias("masks")) \
         .mapInPandas(_apply(length), "doc_id bigint, n_bytes bigint, n_removed bigint, starts array<bigint>, "
                                      "ends array<bigint>, kept binary")
 
 
-OCCURRENCE = ["key", "string", "ord", "text_hash", "run"]
-
-
 def op13(spark, sf_dir) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", F.size("starts").cast("bigint").alias("n_spans"),

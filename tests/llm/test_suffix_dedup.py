@@ -1,6 +1,7 @@
 """Removal of long repeats against plain window sets; the transform against sorted suffixes."""
 
 import hashlib
+import pickle
 import random
 
 import numpy as np
@@ -117,6 +118,61 @@ def test_texts_hashed_in_steps(spark, rows, monkeypatch):
     assert small == large
 
 
+def test_keys_fill_ranges_and_bitmaps_evenly():
+    """A key comes of the smallest of many hashes, and its leading bits tell its range and its place in the bitmaps."""
+    rnd = random.Random(4)
+    texts = [bytes(rnd.choice(b"abcdefghij ") for _ in range(3000)) for _ in range(20)]
+    lead = np.concatenate([key >> np.uint64(61) for *_, key, _ in sd.batch_runs(texts, 50)]).astype(np.int64)
+    share = np.bincount(lead, minlength=8) / len(lead)
+    assert share.min() > 0.08 and share.max() < 0.17, share
+
+
+def test_contents_are_those_of_the_strings():
+    rnd = random.Random(5)
+    texts = [bytes(rnd.choice(b"ab") for _ in range(n)) for n in (400, 90, 60)] + [b"x" * 300]
+    by_string = {}
+    for data, _, _, start, windows, _, content in sd.batch_runs(texts * 2, 50):
+        strings = [data[a:a + n + 49] for a, n in zip(start.tolist(), windows.tolist(), strict=True)]
+        assert sd.string_contents(strings).tolist() == content.tolist()
+        for string, c in zip(strings, content.tolist(), strict=True):
+            assert by_string.setdefault(string, c) == c
+    assert len(set(by_string.values())) == len(by_string)
+
+
+def test_only_keys_of_different_strings_send_them(spark):
+    rnd = random.Random(6)
+    prose = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    passage = prose(600)
+    df = spark.createDataFrame([(i, prose(200) + passage + prose(200)) for i in range(6)], "ord bigint, text string") \
+        .select("ord", F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"))
+    firsts = spark.sparkContext.broadcast(sd.first_copies(df.withColumnRenamed("ord", "least")))
+    keys = sd.shared_keys(df, 50, firsts)
+    keys = pickle.loads(pickle.dumps(keys))
+    sent = {}
+    for r in df.collect():
+        for *_, key, content, varied in sd._shared_runs([bytes(r["text"])], 50, keys):
+            for k, c, v in zip(key.tolist(), content.tolist(), varied.tolist(), strict=True):
+                sent.setdefault(k, []).append((c, v))
+    whole = {k: v for k, v in sent.items() if len(v) == 6}
+    assert len(whole) > 20
+    for found in whole.values():                                       # edges of the passage differ, its inside does not
+        assert {v for _, v in found} == {len({c for c, _ in found}) > 1}
+    assert 0 < sum(v[0][1] for v in whole.values()) <= 4
+
+
+def test_counts_of_a_key_in_seven_bits():
+    n = np.array([1, 2, 95, 96, 100, 127, 128, 5000, 10 ** 6])
+    code = sd._counted(n)
+    assert (code <= 127).all() and sd._count_of(code)[:4].tolist() == [1, 2, 95, 96]
+    assert (sd._count_of(code) <= n).all() and (sd._count_of(code)[:8] * 1.2 > n[:8]).all()
+
+
+def test_bitmaps_are_sent_compressed():
+    keys = sd.Keys(20)
+    keys.shared[5] = 3
+    assert len(pickle.dumps(keys)) < 10_000 and (pickle.loads(pickle.dumps(keys)).shared == keys.shared).all()
+
+
 def test_spans_are_what_is_removed(spark, rows):
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     by_id = {}
