@@ -13,9 +13,14 @@ smaller id goes.  The work is dealt out by content, so that equal windows meet:
   may occur in two documents become a bitmap of bounded size (a false hit costs work,
   never a result), and so do keys with many different runs (the edges of a passage that
   a large part of the documents quote): their windows are dealt out one by one, each by
-  its own hash.  A third bitmap has the shared keys whose runs are not all the same string.
-* *Collections.*  Different runs of shared keys, with the smallest and largest id that has
-  them, come together by key.  Where all runs of a key are one string (the inside of a repeat) there is
+  its own hash.
+* *Sides.*  Many runs share a key, 16 bytes, and nothing more.  A window's smallest 16-byte string has, in the
+  window, either ``side`` bytes before it or as many behind it, so two different runs with a window in common
+  also have the string that begins ``side`` bytes earlier, or that which begins as many later, in common.  Runs whose
+  sides no other string of their key has are sent only if two documents may have the very run, and as a hash;
+  runs of a single document are not sent.  Two more bitmaps, by key and string, tell which is which.
+* *Collections.*  Strings with a side in common, with the smallest and largest id that has
+  them, come together by key.  Where a run is the same in all documents (the inside of a repeat) there is
   nothing to sort: only its hash and ids are sent.  Of the others some thousand strings at a time form a
   collection.  Its transform is built from the right: each round inserts one more symbol
   of every string; where the longer suffix goes is the rank of its symbol in the transform so
@@ -25,7 +30,7 @@ smaller id goes.  The work is dealt out by content, so that equal windows meet:
   algorithm are; a collection is bounded, so its files stay in the task's memory and
   only its strings and its results are tables.  Neighbouring suffixes with a common
   prefix of ``length`` start with equal windows, and such a group's smallest id decides.
-* *Documents.*  Decisions are joined to the runs of the documents (a key of any size is
+* *Documents.*  Decisions that remove something are joined to the runs of the documents (a key of any size is
   split by the skew join), gathered per text and applied to the whole text of its first copy.  Texts
   go to that join compressed; of a later copy only the size goes, as all its bytes are removed.
 
@@ -53,8 +58,10 @@ LENGTH, GRAM = 50, 16
 STEP = 1 << 15
 #: runs that a task holds before it sends them on
 HELD = 1 << 18
-#: bits of a bitmap at most (16 MB), runs of one hash range
-BITMAP_BITS, RANGE_RUNS = 1 << 27, 1 << 15
+#: bits of a bitmap at most (16 MB)
+BITMAP_BITS = 1 << 27
+#: runs of one hash range; beyond so many ranges they hold more runs, to a limit, as a task sends a row for every range
+RANGE_RUNS, RANGES, RANGE_LIMIT = 1 << 15, 1 << 9, 1 << 21
 #: keys with more different runs are dealt out window by window
 HOT_RUNS = 20000
 #: strings of one collection, about
@@ -196,6 +203,30 @@ def batch_runs(texts: list[bytes], length: int):
         yield data, number[piece], start - bounds[piece] + offset[piece], start, windows, key, content
 
 
+def run_sides(data: bytes, start: np.ndarray, windows: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """24 bits of the 16-byte strings half a window before and behind the smallest one of every run.
+
+    A side is 0 where no window of the run needs it.  Left is 1 where the smallest string is there twice: windows have
+    it at different places, and any other string of the key may share one.
+    """
+    grams = _gram_hashes(data)
+    span = length - GRAM + 1
+    side = span // 2
+    nth = np.arange(2 * span - 1)
+    near = grams[np.minimum(start[:, None] + nth, len(grams) - 1)]
+    near[nth >= (windows + span - 1)[:, None]] = ~np.uint64(0)
+    least = near.argmin(axis=1)
+    twice = (near == near[np.arange(len(near)), least][:, None]).sum(axis=1) > 1
+
+    def bits(at, needed):
+        value = (grams[np.clip(at, 0, len(grams) - 1)] >> np.uint64(40)).astype(np.uint32)
+        return np.where(needed, np.maximum(value, np.uint32(2)), np.uint32(0))
+
+    left = bits(start + least - side, least >= side)
+    left[twice] = 1
+    return left, bits(start + least + side, windows - 1 > least - side)
+
+
 # ---------------------------------------------------------------- shared keys
 
 def _ranges(key: np.ndarray, range_bits: int):
@@ -273,88 +304,141 @@ def _merged_range(bits: int, hot_runs: int):
         first = np.flatnonzero(np.append(True, low[1:] != low[:-1]))
         times = np.diff(np.append(first, len(low)))
         shared = (times > 1) | (np.maximum.reduceat(weight, first) > 127)
-        hot = np.add.reduceat(_count_of(weight & 127), first) > hot_runs
+        hot = shared & (np.add.reduceat(_count_of(weight & 127), first) > hot_runs)
         return pd.DataFrame({"range": [rows["range"].iloc[0]], "shared": [_slice_of(low[first[shared]], bits)],
                              "hot": [_slice_of(low[first[hot]], bits) if hot.any() else None]})
 
     return merge
 
 
+def _packed_sides(left: np.ndarray, right: np.ndarray) -> bytes:
+    return np.stack([left, right], axis=1).view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+
+
+def _sides_of(packed) -> np.ndarray:
+    """Left and right of ``_packed_sides``, as columns."""
+    bytes_ = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, 3)
+    return np.pad(bytes_, ((0, 0), (0, 1))).view(np.uint32).reshape(-1, 2)
+
+
 def _packed_contents(length: int, range_bits: int, firsts, keys):
-    """Shared keys of a task's runs, sorted, by hash range, and the hashes of their different strings."""
-    def pack(found, contents):
-        key, content = np.concatenate(found), np.concatenate(contents)
+    """Shared keys of a task's runs, sorted, by hash range, and of their different strings the hash, the sides and
+    whether several ids have it."""
+    def pack(held):
+        key, content, own, left, right = (np.concatenate(h) for h in zip(*held, strict=True))
         order = np.lexsort((content, key))
-        key, content = key[order], content[order]
-        new = np.append(True, (key[1:] != key[:-1]) | (content[1:] != content[:-1]))
-        key, content = key[new], content[new]
-        return pd.DataFrame([(at, low, content[a:b].tobytes()) for at, a, b, low in _ranges(key, range_bits)],
-                            columns=["range", "keys", "contents"])
+        key, content, own = key[order], content[order], own[order]
+        first = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (content[1:] != content[:-1])))
+        several = np.minimum.reduceat(own, first) != np.maximum.reduceat(own, first)
+        key, content, left, right = key[first], content[first], left[order[first]], right[order[first]]
+        return pd.DataFrame([(at, low, content[a:b].tobytes(), _packed_sides(left[a:b], right[a:b]),
+                              np.packbits(several[a:b]).tobytes()) for at, a, b, low in _ranges(key, range_bits)],
+                            columns=["range", "keys", "contents", "sides", "several"])
 
     def scan(batches):
-        found, contents, held = [], [], 0
+        held, total = [], 0
         for batch in batches:
             batch = firsts.value.pick(batch)
-            for _, _, _, _, _, key, content in batch_runs(list(batch["text"]), length):
-                chosen = keys.value.in_shared(key) & ~keys.value.in_hot(key)
-                found.append(key[chosen]), contents.append(content[chosen])
-                held += len(found[-1])
-                if held >= HELD:
-                    yield pack(found, contents)
-                    found, contents, held = [], [], 0
+            own = batch["ord"].to_numpy(np.int64)
+            for data, text, _, start, windows, key, content in batch_runs(list(batch["text"]), length):
+                one = np.flatnonzero(keys.value.in_shared(key) & ~keys.value.in_hot(key))
+                if len(one):
+                    held.append((key[one], content[one], own[text[one]], *run_sides(data, start[one], windows[one], length)))
+                    total += len(one)
+                if total >= HELD:
+                    yield pack(held)
+                    held, total = [], 0
         if held:
-            yield pack(found, contents)
+            yield pack(held)
 
     return scan
 
 
-def _varied_range(bits: int):
-    """Bitmap of one hash range: keys of different strings."""
+def _contents_range(bits: int):
+    """Bitmaps of one hash range: strings with a side that another string of their key has, and other strings that
+    several ids may have."""
     def merge(rows: pd.DataFrame) -> pd.DataFrame:
         low, content = _lows(rows["keys"]), np.frombuffer(b"".join(rows["contents"]), np.uint64)
+        sides = _sides_of(rows["sides"])
+        several = np.concatenate([np.unpackbits(np.frombuffer(s, np.uint8), count=len(c) // 8)
+                                  for s, c in zip(rows["several"], rows["contents"], strict=True)])
         order = np.lexsort((content, low))
         low, content = low[order], content[order]
-        varied = (low[1:] == low[:-1]) & (content[1:] != content[:-1])
-        return pd.DataFrame({"range": [rows["range"].iloc[0]], "varied": [_slice_of(low[1:][varied], bits)]})
+        first = np.flatnonzero(np.append(True, (low[1:] != low[:-1]) | (content[1:] != content[:-1])))
+        several = (np.diff(np.append(first, len(low))) > 1) | (np.maximum.reduceat(several[order], first) > 0)
+        low, content, sides = low[first], content[first], sides[order[first]]
+        key = np.flatnonzero(np.append(True, low[1:] != low[:-1]))
+        strings = np.diff(np.append(key, len(low)))
+        varied = np.repeat(np.maximum.reduceat(sides[:, 0] == 1, key) & (strings > 1), strings)
+        for side in sides.T:
+            there = np.flatnonzero(side > 1)
+            by_side = low[there].astype(np.uint64) << np.uint64(24) | side[there]
+            order = np.argsort(by_side)
+            same = by_side[order[1:]] == by_side[order[:-1]]
+            varied[there[order[1:][same]]] = varied[there[order[:-1][same]]] = True
+        lead = (content >> np.uint64(32)).astype(np.uint32)
+        return pd.DataFrame({"range": [rows["range"].iloc[0]], "varied": [_slice_of(lead[varied], bits)],
+                             "alike": [_slice_of(lead[several & ~varied], bits)]})
 
     return merge
 
 
 class Keys:
-    """The three bitmaps, addressed by the leading bits of a key."""
+    """The bitmaps: of keys, addressed by their leading bits, and of strings, by those of the key's range and of the string's hash."""
+
+    FLAGS = "shared", "hot", "varied", "alike"
 
-    def __init__(self, bits: int):
-        self.shift = np.uint64(64 - bits)
-        self.shared, self.hot, self.varied = (np.zeros(1 << bits - 3, np.uint8) for _ in range(3))
+    def __init__(self, bits: int, range_bits: int = 0):
+        self.bits, self.range_bits = bits, range_bits
+        self.shared, self.hot, self.varied, self.alike = (np.zeros(1 << bits - 3, np.uint8) for _ in self.FLAGS)
 
     def __getstate__(self):
         """Sent compressed: few bits are set, and every executor keeps a copy on its disk."""
-        return self.shift, [zlib.compress(flags.tobytes(), 1) for flags in (self.shared, self.hot, self.varied)]
+        return self.bits, self.range_bits, [zlib.compress(getattr(self, name).tobytes(), 1) for name in self.FLAGS]
 
     def __setstate__(self, state):
-        self.shift, packed = state
-        self.shared, self.hot, self.varied = (np.frombuffer(zlib.decompress(flags), np.uint8) for flags in packed)
+        self.bits, self.range_bits, packed = state
+        for name, flags in zip(self.FLAGS, packed, strict=True):
+            setattr(self, name, np.frombuffer(zlib.decompress(flags), np.uint8))
+
+    def only(self, *names: str) -> Keys:
+        """These bitmaps and no others."""
+        out = Keys(self.bits, self.range_bits)
+        for name in self.FLAGS:
+            setattr(out, name, getattr(self, name) if name in names else np.zeros(0, np.uint8))
+        return out
 
-    def _at(self, flags: np.ndarray, key: np.ndarray) -> np.ndarray:
-        at = key >> self.shift
+    @staticmethod
+    def _at(flags: np.ndarray, at: np.ndarray) -> np.ndarray:
         return (flags[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
+    def _of_string(self, key, content):
+        rest = self.bits - self.range_bits
+        return (key >> np.uint64(64 - self.range_bits)) << np.uint64(rest) | content >> np.uint64(64 - rest)
+
     def in_shared(self, key):
-        return self._at(self.shared, key)
+        return self._at(self.shared, key >> np.uint64(64 - self.bits))
 
     def in_hot(self, key):
-        return self._at(self.hot, key)
+        return self._at(self.hot, key >> np.uint64(64 - self.bits))
+
+    def in_varied(self, key, content):
+        return self._at(self.varied, self._of_string(key, content))
+
+    def in_alike(self, key, content):
+        return self._at(self.alike, self._of_string(key, content))
+
 
-    def in_varied(self, key):
-        return self._at(self.varied, key)
+def range_bits_for(runs: int) -> int:
+    return max(1, min((runs // RANGE_RUNS).bit_length(), RANGES.bit_length() - 1), (runs // RANGE_LIMIT).bit_length())
 
 
 def shared_keys(docs: DataFrame, length: int, firsts, hot_runs: int = HOT_RUNS) -> Keys:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     expected = max(1, 2 * size // (length - GRAM + 1))                 # runs, about
-    range_bits = max(1, (expected // RANGE_RUNS).bit_length())
+    range_bits = range_bits_for(expected)
     bits = max(range_bits + 6, min(BITMAP_BITS.bit_length() - 1, (8 * expected).bit_length()))
-    out, step = Keys(bits), 1 << bits - range_bits - 3
+    out, step = Keys(bits, range_bits), 1 << bits - range_bits - 3
 
     def put(flags, row, name):                                         # the bitmaps, of bounded size
         if row[name] is not None:
@@ -365,24 +449,25 @@ def shared_keys(docs: DataFrame, length: int, firsts, hot_runs: int = HOT_RUNS)
             .collect():
         put(out.shared, row, "shared")
         put(out.hot, row, "hot")
-    so_far = docs.sparkSession.sparkContext.broadcast(out)
-    for row in docs.mapInPandas(_packed_contents(length, range_bits, firsts, so_far), "range int, keys binary, contents binary") \
-            .groupBy("range").applyInPandas(_varied_range(bits - range_bits), "range int, varied binary").collect():
+    so_far = docs.sparkSession.sparkContext.broadcast(out.only("shared", "hot"))
+    for row in docs.mapInPandas(_packed_contents(length, range_bits, firsts, so_far),
+                                "range int, keys binary, contents binary, sides binary, several binary") \
+            .groupBy("range").applyInPandas(_contents_range(bits - range_bits), "range int, varied binary, alike binary").collect():
         put(out.varied, row, "varied")
+        put(out.alike, row, "alike")
     so_far.unpersist()
-    return out
+    return out.only("hot", "varied", "alike")
 
 
 def _shared_runs(texts: list[bytes], length: int, keys: Keys):
-    """(bytes, text, place, place in the bytes, windows, leading half of the key, content, whether its key has different
-    strings) of the runs of shared keys; a hot key's windows one by one, each a key of its own."""
+    """(bytes, text, place, place in the bytes, windows, leading half of the key, content, whether it has a side of another
+    string) of the runs that may have something in common; a hot key's windows one by one, each a key of its own."""
     half = np.uint64(32)
     for data, text, place, start, windows, key, content in batch_runs(texts, length):
-        shared = keys.in_shared(key)
-        hot = keys.in_hot(key) & shared
-        one = np.flatnonzero(shared & ~hot)
+        hot, varied = keys.in_hot(key), keys.in_varied(key, content)
+        one = np.flatnonzero((varied | keys.in_alike(key, content)) & ~hot)
         yield (data, text[one], place[one], start[one], windows[one], (key[one] >> half).astype(np.uint32).view(np.int32),
-               content[one].view(np.int64), keys.in_varied(key[one]))
+               content[one].view(np.int64), varied[one])
         many = np.flatnonzero(hot)
         if len(many):
             n = windows[many]
@@ -491,13 +576,15 @@ def earlier_windows(strings: list[bytes], least: np.ndarray, length: int) -> np.
 
 def _resolve(length: int):
     """Strings sorted by key -> decision of every string: smallest id that has it, windows that an earlier one has."""
-    def decide(strings: list[bytes], keys: list[int], lows: list[int]):
+    def decide(strings: list[bytes], keys: list[int], lows: list[int], several: list[bool]):
         least = np.array(lows, np.int64)
-        return pd.DataFrame({"key": keys, "content": string_contents(strings).view(np.int64), "low": least,
-                             "earlier": earlier_windows(strings, least, length)})
+        earlier = earlier_windows(strings, least, length)
+        told = np.flatnonzero((earlier != 0) | np.array(several))      # the others remove nothing
+        content = string_contents([strings[i] for i in told.tolist()]).view(np.int64) if len(told) else earlier[told]
+        return pd.DataFrame({"key": np.array(keys)[told], "content": content, "low": least[told], "earlier": earlier[told]})
 
     def scan(batches):
-        strings, keys, lows, alone = [], [], [], []
+        strings, keys, lows, several, alone = [], [], [], [], []
         open_key, held, single = None, {}, {}
 
         def close():
@@ -508,6 +595,7 @@ def _resolve(length: int):
                 strings.extend(held)
                 keys.extend([open_key] * len(held))
                 lows.extend(v[0] for v in held.values())
+                several.extend(v[0] != v[1] for v in held.values())
             held.clear()
 
         for batch in batches:
@@ -519,8 +607,8 @@ def _resolve(length: int):
                     close()
                     open_key = key
                     if len(strings) >= COLLECTION:
-                        yield decide(strings, keys, lows)
-                        strings, keys, lows = [], [], []
+                        yield decide(strings, keys, lows, several)
+                        strings, keys, lows, several = [], [], [], []
                     if len(alone) >= HELD // 8:
                         yield pd.DataFrame(alone, columns=DECISION)
                         alone.clear()
@@ -529,7 +617,7 @@ def _resolve(length: int):
                 into[what] = (low, high) if was is None else (min(low, was[0]), max(high, was[1]))
         close()
         if strings:
-            yield decide(strings, keys, lows)
+            yield decide(strings, keys, lows, several)
         if alone:
             yield pd.DataFrame(alone, columns=DECISION)
 

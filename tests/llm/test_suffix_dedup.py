@@ -96,6 +96,23 @@ def rows():
     return out
 
 
+@pytest.mark.parametrize("length", [17, 50, 77])
+def test_like_plain_windows_on_repeated_content(spark, length):
+    """Few letters, periods and shifted pieces: smallest strings that are twice in a window, runs cut in the middle."""
+    rnd = random.Random(length)
+    units = ["na ", "abcabd", "x", "lorem ipsum dolor sit amet "]
+    rows = []
+    for i in range(120):
+        parts = []
+        for _ in range(rnd.randint(1, 4)):
+            unit = rnd.choice(units)
+            parts.append((unit * 40)[rnd.randint(0, 9):rnd.randint(60, 160)] if rnd.random() < 0.6
+                         else "".join(rnd.choice("ab") for _ in range(rnd.randint(0, 90))))
+        rows.append((rnd.randint(0, 100), "".join(parts)))
+    got = sd.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5), length=length)
+    assert found(got) == plain(rows, length)
+
+
 @pytest.mark.parametrize("length, hot_runs, collection", [(50, sd.HOT_RUNS, sd.COLLECTION), (50, 2, 3), (20, 5, 40), (78, 1, 1)])
 def test_like_plain_windows(spark, rows, monkeypatch, length, hot_runs, collection):
     monkeypatch.setattr(sd, "COLLECTION", collection)
@@ -160,6 +177,83 @@ def test_only_keys_of_different_strings_send_them(spark):
     assert 0 < sum(v[0][1] for v in whole.values()) <= 4
 
 
+def test_runs_with_only_a_key_in_common_are_not_sent(spark):
+    """Texts that quote phrases shorter than a window share keys, and nothing that could be removed."""
+    rnd = random.Random(8)
+    prose = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    phrases = [prose(26) for _ in range(5)]
+    passage = prose(300)
+    texts = [" ".join(f"{prose(40)}{rnd.choice(phrases)}{prose(40)}" for _ in range(12)) for _ in range(30)]
+    texts = [t + passage if i % 10 == 0 else t for i, t in enumerate(texts)]
+    df = spark.createDataFrame(list(enumerate(texts)), "ord bigint, text string") \
+        .select("ord", F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"))
+    firsts = spark.sparkContext.broadcast(sd.first_copies(df.withColumnRenamed("ord", "least")))
+    keys = sd.shared_keys(df, 50, firsts)
+    quoted = by_text = 0
+    for i, t in enumerate(texts):
+        runs = sum(len(text) for _, text, *_ in sd._shared_runs([t.encode()], 50, keys))
+        if i % 10:
+            quoted, by_text = quoted + runs, by_text + 1
+        else:
+            assert runs >= 250 // 35
+    assert quoted < by_text / 2                                        # each text quotes a dozen phrases
+
+
+@pytest.mark.parametrize("length", [17, 20, 50, 78])
+def test_strings_with_a_window_in_common_have_a_side_in_common(length):
+    rnd = random.Random(length)
+    passages = ["".join(rnd.choice("abc") for _ in range(n)) for n in (60, 90, 200)] + ["na " * 60, "x" * 150]
+    texts = ["".join(rnd.choice("abc") for _ in range(rnd.randint(0, 50))) + rnd.choice(passages)[rnd.randint(0, 30):]
+             + "".join(rnd.choice("abc") for _ in range(rnd.randint(0, 50))) for _ in range(120)]
+    runs, by_window = {}, {}
+    for data, _, _, start, windows, key, content in sd.batch_runs([t.encode() for t in texts], length):
+        left, right = sd.run_sides(data, start, windows, length)
+        for a, n, k, c, x, y in zip(start.tolist(), windows.tolist(), key.tolist(), content.tolist(), left.tolist(),
+                                    right.tolist(), strict=True):
+            runs[c] = (k, x, y)
+            for j in range(n):
+                by_window.setdefault(data[a + j:a + j + length], set()).add(c)
+    twice = {k for k, x, _ in runs.values() if x == 1}
+    told = 0
+    for contents in by_window.values():
+        for a in contents:
+            for b in contents - {a}:
+                (k, x, y), (other, v, w) = runs[a], runs[b]
+                assert k == other and (k in twice or x == v > 1 or y == w > 1)
+                told += k not in twice
+    assert told
+
+
+def test_sides_packed_in_three_bytes():
+    left, right = np.array([0, 1, 2, 0xFFFFFF], np.uint32), np.array([5, 0x010203, 0, 7], np.uint32)
+    packed = [sd._packed_sides(left[:1], right[:1]), sd._packed_sides(left[1:], right[1:])]
+    assert sd._sides_of(packed).tolist() == np.stack([left, right], axis=1).tolist()
+
+
+def test_decisions_that_remove_nothing_are_not_sent():
+    import pandas as pd
+
+    rnd = random.Random(9)
+    own = ["".join(rnd.choice("abcdefgh ") for _ in range(60)).encode() for _ in range(4)]
+    shift = own[0][5:] + b"zzzzz"                                       # windows of the first string, in a larger id
+    rows = [(1, 0, own[0], 10, 0), (1, 0, shift, 11, 0), (1, 0, own[1], 12, 0), (1, 0, own[2], 13, 2), (2, 77, None, 3, 0),
+            (2, 78, None, 3, 4)]
+    batch = pd.DataFrame(rows, columns=["key", "content", "string", "low", "span"])
+    got = pd.concat(sd._resolve(50)(iter([batch])))
+    content = dict(zip(own + [shift], sd.string_contents(own + [shift]).view(np.int64).tolist(), strict=True))
+    assert sorted(zip(got["key"].tolist(), got["content"].tolist(), got["low"].tolist(), got["earlier"].tolist(), strict=True)) \
+        == sorted([(1, content[shift], 11, 0b111111), (1, content[own[2]], 13, 0), (2, 78, 3, 0)])
+
+
+def test_a_task_sends_few_rows_of_keys():
+    """The number of hash ranges does not follow the input until the ranges are large."""
+    assert sd.range_bits_for(1) == 1 and sd.range_bits_for(10 ** 6) == 5
+    assert sd.range_bits_for(10 ** 8) == 9 and sd.range_bits_for(3 * 10 ** 9) == 11
+    rnd = random.Random(10)
+    key = np.sort(np.array([rnd.getrandbits(64) for _ in range(sd.HELD // 8)], np.uint64))
+    assert len(list(sd._ranges(key, sd.range_bits_for(5 * 10 ** 7)))) <= 512
+
+
 def test_counts_of_a_key_in_seven_bits():
     n = np.array([1, 2, 95, 96, 100, 127, 128, 5000, 10 ** 6])
     code = sd._counted(n)
